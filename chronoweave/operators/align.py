@@ -19,31 +19,29 @@ class AlignmentError(ValueError):
     pass
 
 
-def _payload_side(payload: DataFrame, name: str, index_col: str) -> DataFrame:
-    return payload.select(*KEYS, F.col("row").alias(index_col),
+def _payload_side(payload: DataFrame, name: str) -> DataFrame:
+    return payload.select(*KEYS, F.col("row").alias(f"_{name}_key"),
                           F.col("value").alias(f"_{name}_val"))
 
 
 def gather(alignment: DataFrame, payload: DataFrame) -> DataFrame:
     """Left gather-joins of the payload rows at ``source_index`` and
-    ``next_index``. Only rows that need a value take part in the joins: gap
-    rows (and their -1 keys, which would all hash to one partition) bypass
-    them and are unioned back."""
+    ``next_index``.
+
+    Rows that need no value (gaps, hold kernels for the second join, -1
+    indices) join on a unique negative key ``-1 - frame_index`` instead of a
+    shared -1 or NULL: it never matches a payload row (rows are ≥ 0) and
+    spreads those rows evenly over partitions instead of one hot key.
+    """
     kern = F.col("kernel")
     need_src = F.col("valid") & (F.col("source_index") >= 0)
     need_next = need_src & (kern == "continuous") & (F.col("next_index") >= 0)
-    a = alignment.withColumn("_need_src", need_src).withColumn("_need_next", need_next)
-
-    hit = a.where("_need_src").join(_payload_side(payload, "a", "source_index"),
-                                    KEYS + ["source_index"], "left")
-    hit_b = hit.where("_need_next").join(_payload_side(payload, "b", "next_index"),
-                                         KEYS + ["next_index"], "left")
-    hit_a = (hit.where("not _need_next")
-                .withColumn("_b_val", F.lit(None).cast("array<float>")))
-    miss = (a.where("not _need_src")
-             .withColumn("_a_val", F.lit(None).cast("array<float>"))
-             .withColumn("_b_val", F.lit(None).cast("array<float>")))
-    return hit_b.unionByName(hit_a).unionByName(miss)
+    miss = -1 - F.col("frame_index")
+    a = (alignment.withColumn("_a_key", F.when(need_src, F.col("source_index")).otherwise(miss))
+                  .withColumn("_b_key", F.when(need_next, F.col("next_index")).otherwise(miss)))
+    return (a.join(_payload_side(payload, "a"), KEYS + ["_a_key"], "left")
+             .join(_payload_side(payload, "b"), KEYS + ["_b_key"], "left")
+             .drop("_a_key", "_b_key"))
 
 
 def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,

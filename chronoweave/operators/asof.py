@@ -38,6 +38,21 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], *, t: str,
              .drop("_b", "_off"))
 
 
+def _bucket_headers(edges: DataFrame, left_buckets: DataFrame, keys: list[str]) -> DataFrame:
+    """Small per-(key, bucket) table: row offset, carried-in last edge of the
+    nearest earlier non-empty bucket, carried-out first edge of the nearest
+    later one. ``edges(keys, _b, _cnt, _first, _last)``."""
+    bk = edges.join(left_buckets, keys + ["_b"], "full")
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    return bk.select(
+        *keys, "_b", F.coalesce("_cnt", F.lit(0)).alias("_hcnt"),
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_hoff"),
+        F.last("_last", True).over(before).alias("_cin"),
+        F.first("_first", True).over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"),
+    ).where("_hasl")
+
+
 def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t: str,
                    right_t: str, right_cols: list[str], bucket_us: int = DEFAULT_BUCKET_US,
                    prev: str = "prev", nxt: str = "next") -> DataFrame:
@@ -45,47 +60,175 @@ def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t
     (t, right_cols) where ``t ≤ left_t``; ``nxt`` = the smallest with
     ``t > left_t``. Both are structs ``(t, *right_cols)`` or NULL.
 
-    Exact for any gap length; every window partition is one time bucket of
-    one key (plus two carried edge rows).
+    Exact for any gap length. One large shuffle: left ∪ right ∪ one header
+    row per bucket, windowed by (key, bucket); the headers carry the edges of
+    the neighbouring non-empty buckets, computed on a small bucket table.
     """
     lcols = left.columns
-    r = right.select(*keys, F.col(right_t).cast("long").alias("_t"), *right_cols) \
-             .withColumn("_b", _bucket("_t", bucket_us))
     rs = F.struct(F.col("_t").alias("t"), *[F.col(c) for c in right_cols])
-    r = r.select(*keys, "_b", "_t", rs.alias("_r"))
+    r = (right.select(*keys, F.col(right_t).cast("long").alias("_t"), *right_cols)
+              .withColumn("_b", _bucket("_t", bucket_us))
+              .select(*keys, "_b", "_t", rs.alias("_r")))
     lf = left.withColumn("_t", F.col(left_t).cast("long")).withColumn("_b", _bucket("_t", bucket_us))
-
-    # per-bucket edges of the right side, and the buckets that hold left rows
-    edges = r.groupBy(*keys, "_b").agg(F.max("_r").alias("_last"), F.min("_r").alias("_first"))
+    edges = r.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"),
+                                       F.min("_r").alias("_first"), F.max("_r").alias("_last"))
     lb = lf.select(*keys, "_b").distinct().withColumn("_hasl", F.lit(True))
-    bk = edges.join(lb, keys + ["_b"], "full")
-    wk = Window.partitionBy(*keys).orderBy("_b")
-    carry = bk.select(
-        *keys, "_b", "_hasl",
-        F.last("_last", True).over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
-        F.first("_first", True).over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"),
-    ).where("_hasl")
-    virt = (carry.select(*keys, "_b", F.col("_cin").alias("_r")).where("_r is not null")
-            .unionByName(carry.select(*keys, "_b", F.col("_cout").alias("_r")).where("_r is not null"))
-            .withColumn("_t", F.col("_r.t")))
-
-    lrows = lf.select(*keys, "_b", "_t", F.lit(1).alias("_side"),
-                      F.struct(*[F.col(c) for c in lcols]).alias("_l"),
-                      F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
-    rrows = (r.unionByName(virt.select(*keys, "_b", "_t", "_r"))
-              .join(lb.select(*keys, "_b"), keys + ["_b"], "left_semi")
-              .select(*keys, "_b", "_t", F.lit(0).alias("_side"),
-                      F.lit(None).cast(lrows.schema["_l"].dataType).alias("_l"), "_r"))
-    u = lrows.unionByName(rrows)
-    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_side", "_r")
+    hdr = _bucket_headers(edges, lb, keys)
+    rtype = r.schema["_r"].dataType
+    ltype = F.struct(*[F.col(c) for c in lcols])
+    lrows = lf.select(*keys, "_b", "_t", F.lit(1).alias("_side"), ltype.alias("_l"),
+                      F.lit(None).cast(rtype).alias("_r"),
+                      F.lit(None).cast(rtype).alias("_cin"), F.lit(None).cast(rtype).alias("_cout"))
+    lt = lrows.schema["_l"].dataType
+    rrows = r.select(*keys, "_b", "_t", F.lit(0).alias("_side"), F.lit(None).cast(lt).alias("_l"),
+                     "_r", F.lit(None).cast(rtype).alias("_cin"), F.lit(None).cast(rtype).alias("_cout"))
+    hrows = hdr.select(*keys, "_b", F.lit(None).cast("long").alias("_t"), F.lit(-1).alias("_side"),
+                       F.lit(None).cast(lt).alias("_l"), F.lit(None).cast(rtype).alias("_r"),
+                       "_cin", "_cout")
+    u = lrows.unionByName(rrows).unionByName(hrows)
+    part = Window.partitionBy(*keys, "_b")
+    w = part.orderBy("_t", "_side", "_r")
     out = u.select(
         "_side", "_l",
-        F.last("_r", True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(prev),
-        F.first("_r", True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias(nxt),
+        F.coalesce(F.last("_r", True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                   F.max("_cin").over(part)).alias(prev),
+        F.coalesce(F.first("_r", True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+                   F.max("_cout").over(part)).alias(nxt),
     ).where("_side = 1")
     return out.select(*[F.col("_l")[c].alias(c) for c in lcols], prev, nxt)
 
 
+def align_samples(samples: DataFrame, bounds: DataFrame, streams: DataFrame, *,
+                  step_us: int, tolerance_us: int, order: str,
+                  sync: DataFrame | None = None, tau_us: float | None = None,
+                  bucket_us: int = DEFAULT_BUCKET_US) -> dict:
+    """Fused B1 grid + row numbering + B3/B4 as-of alignment in one windowed pass.
+
+    ``samples(session_id, device_id, stream_id, t_us, <order>, value)``,
+    ``bounds(session_id, lo_us, hi_us)`` → ``grid``, ``payload`` (0-based
+    ``row`` in (t_us, order) order per stream) and ``alignment`` (indices into
+    those rows, confidence components). ``sync(session_id, t_us)`` are the
+    session's sync events: conf_clock = exp(−d/τ) with d the distance to the
+    nearest one (1.0 without any).
+
+    One large shuffle: samples ∪ sync events ∪ grid×streams ∪ one header per
+    (stream, time bucket), windowed by (stream, bucket). Headers carry the row
+    offset and the neighbouring buckets' edges, computed on a small bucket
+    table, so no window ever spans a whole stream.
+    """
+    from .grid import grid_from_bounds
+    keys = ["session_id", "device_id", "stream_id"]
+    grid = grid_from_bounds(bounds, step_us)
+    st = streams.select(*keys, "kernel")
+    s = samples.select(*keys, "t_us", F.col(order).alias("_o"), "value", F.lit(0).alias("_kind"))
+    if sync is not None:
+        sy = (sync.select("session_id", "t_us").join(st, "session_id")
+                  .select(*keys, "t_us", F.lit(None).cast(s.schema["_o"].dataType).alias("_o"),
+                          F.lit(None).cast(s.schema["value"].dataType).alias("value"),
+                          F.lit(2).alias("_kind")))
+        s = s.unionByName(sy)
+    s = s.withColumn("_b", _bucket("t_us", bucket_us))
+    edge = F.struct(F.col("t_us").alias("t"), F.col("_o").alias("o"))
+    is_smp, is_syn = F.col("_kind") == 0, F.col("_kind") == 2
+    edges = s.groupBy(*keys, "_b").agg(
+        F.sum(is_smp.cast("long")).alias("_cnt"),
+        F.min(F.when(is_smp, edge)).alias("_first"), F.max(F.when(is_smp, edge)).alias("_last"),
+        F.min(F.when(is_syn, F.col("t_us"))).alias("_sfirst"),
+        F.max(F.when(is_syn, F.col("t_us"))).alias("_slast"))
+    gb = bounds.select("session_id", F.explode(F.sequence(
+        F.floor(F.col("lo_us") / bucket_us).cast("long"),
+        F.floor(F.col("hi_us") / bucket_us).cast("long"))).alias("_b"))
+    lb = gb.join(st, "session_id").select(*keys, "_b").withColumn("_hasl", F.lit(True))
+    bk = edges.join(lb, keys + ["_b"], "full")
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    later = wk.rowsBetween(1, Window.unboundedFollowing)
+    hdr = bk.select(
+        *keys, "_b", F.coalesce("_cnt", F.lit(0)).alias("_hcnt"),
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_hoff"),
+        F.last("_last", True).over(before).alias("_cin"),
+        F.first("_first", True).over(later).alias("_cout"),
+        F.last("_slast", True).over(before).alias("_scin"),
+        F.first("_sfirst", True).over(later).alias("_scout"),
+    ).where("_hasl")
+    left = grid.join(st, "session_id").withColumn("_b", _bucket("t_ref_us", bucket_us))
+
+    ct = hdr.schema["_cin"].dataType
+    common = {"_t": "long", "_o": s.schema["_o"].dataType.simpleString(),
+              "value": s.schema["value"].dataType.simpleString(), "_kind": "int",
+              "frame_index": "long", "kernel": "string", "_hcnt": "long", "_hoff": "long",
+              "_scin": "long", "_scout": "long"}
+
+    def rows(df, side, have):
+        cols = [*keys, "_b", F.lit(side).alias("_side")]
+        for c, t in common.items():
+            cols.append(F.col(c).cast(t).alias(c) if c in have else F.lit(None).cast(t).alias(c))
+        for c in ("_cin", "_cout"):
+            cols.append(F.col(c) if c in have else F.lit(None).cast(ct).alias(c))
+        return df.select(*cols)
+
+    u = (rows(s.withColumnRenamed("t_us", "_t"), 0, {"_t", "_o", "value", "_kind"})
+         .unionByName(rows(left.withColumnRenamed("t_ref_us", "_t"), 1, {"_t", "frame_index", "kernel"}))
+         .unionByName(rows(hdr, -1, {"_hcnt", "_hoff", "_cin", "_cout", "_scin", "_scout"})))
+    part = Window.partitionBy(*keys, "_b")
+    w = part.orderBy("_t", "_side", "_kind", "_o")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    smp = (F.col("_side") == 0) & (F.col("_kind") == 0)
+    syn = (F.col("_side") == 0) & (F.col("_kind") == 2)
+    out = u.select(
+        *keys, "_side", "_kind", "_t", "value", "frame_index", "kernel",
+        F.sum(smp.cast("long")).over(upto).alias("_k"),
+        F.last(F.when(smp, F.col("_t")), True).over(upto).alias("_pt"),
+        F.first(F.when(smp, F.col("_t")), True).over(after).alias("_nt"),
+        F.last(F.when(syn, F.col("_t")), True).over(upto).alias("_spt"),
+        F.first(F.when(syn, F.col("_t")), True).over(after).alias("_snt"),
+        F.max("_hoff").over(part).alias("_off"), F.max("_hcnt").over(part).alias("_cnt"),
+        F.max("_cin").over(part).alias("_ci"), F.max("_cout").over(part).alias("_co"),
+        F.max("_scin").over(part).alias("_sci"), F.max("_scout").over(part).alias("_sco"))
+
+    payload = out.where("_side = 0 and _kind = 0").select(
+        *keys, (F.col("_off") + F.col("_k") - 1).alias("row"), F.col("_t").alias("t_us"), "value")
+
+    a = out.where("_side = 1")
+    src_row = (F.when(F.col("_k") > 0, F.col("_off") + F.col("_k") - 1)
+                .when(F.col("_ci").isNotNull(), F.col("_off") - 1))
+    src_t = F.coalesce(F.col("_pt"), F.col("_ci.t"))
+    nxt_row = (F.when(F.col("_nt").isNotNull(), F.col("_off") + F.col("_k"))
+                .when(F.col("_co").isNotNull(), F.col("_off") + F.col("_cnt")))
+    nxt_t = F.coalesce(F.col("_nt"), F.col("_co.t"))
+    if sync is not None:
+        d = F.least(F.col("_t") - F.coalesce("_spt", "_sci"), F.coalesce("_snt", "_sco") - F.col("_t"))
+        clock = F.coalesce(F.exp(-d.cast("double") / F.lit(float(tau_us))), F.lit(1.0))
+    else:
+        clock = F.lit(1.0)
+    a = a.select(*keys, "frame_index", F.col("_t").alias("t_ref_us"), "kernel",
+                 clock.alias("conf_clock"),
+                 src_row.alias("_sr"), src_t.alias("_st"), nxt_row.alias("_nr"), nxt_t.alias("_ntt"))
+    return {"grid": grid, "payload": payload, "alignment": _indices_to_alignment(a, tolerance_us)}
+
+
+def _indices_to_alignment(a: DataFrame, tolerance_us: int) -> DataFrame:
+    """(… t_ref_us, _sr, _st, _nr, _ntt) → alignment columns (B3/B4 rules)."""
+    back = F.col("t_ref_us") - F.col("_st")
+    fwd = F.col("_ntt") - F.col("t_ref_us")
+    gap = F.least(back, F.coalesce(fwd, back))
+    has_src = F.col("_st").isNotNull()
+    valid = has_src & (gap <= F.lit(tolerance_us))
+    weight = F.when(has_src & F.col("_ntt").isNotNull(),
+                    (back.cast("double") / (F.col("_ntt") - F.col("_st")).cast("double")).cast("float")
+                    ).otherwise(F.lit(0.0).cast("float"))
+    interp = F.when(valid, clip_unit(F.lit(1.0) - gap.cast("double") / F.lit(float(tolerance_us)))) \
+              .otherwise(F.lit(0.0))
+    return a.select(
+        "session_id", "device_id", "stream_id", "frame_index", "t_ref_us", "kernel",
+        F.coalesce(F.col("_sr"), F.lit(-1)).cast("long").alias("source_index"),
+        F.coalesce(F.col("_nr"), F.lit(-1)).cast("long").alias("next_index"),
+        weight.alias("weight"), valid.alias("valid"),
+        F.lit(1.0).alias("conf_source"), F.coalesce(F.col("conf_clock").cast("double"), F.lit(1.0))
+        .alias("conf_clock"), interp.alias("conf_interp"))
+
+
 def asof_alignment(grid: DataFrame, streams: DataFrame, payload: DataFrame, *,
                    tolerance_us: int, bucket_us: int = DEFAULT_BUCKET_US,
                    clock: DataFrame | None = None) -> DataFrame:
@@ -113,22 +256,10 @@ def asof_alignment(grid: DataFrame, streams: DataFrame, payload: DataFrame, *,
     nb = asof_neighbors(left, payload.select(*keys, "t_us", "row"), keys,
                         left_t="t_ref_us", right_t="t_us", right_cols=["row"],
                         bucket_us=bucket_us, prev="_p", nxt="_x")
-    back = F.col("t_ref_us") - F.col("_p.t")
-    fwd = F.col("_x.t") - F.col("t_ref_us")
-    gap = F.least(back, F.coalesce(fwd, back))
-    valid = F.col("_p").isNotNull() & (gap <= F.lit(tolerance_us))
-    weight = F.when(F.col("_p").isNotNull() & F.col("_x").isNotNull(),
-                    (back.cast("double") / (F.col("_x.t") - F.col("_p.t")).cast("double")).cast("float")
-                    ).otherwise(F.lit(0.0).cast("float"))
-    interp = F.when(valid, clip_unit(F.lit(1.0) - gap.cast("double") / F.lit(float(tolerance_us)))) \
-              .otherwise(F.lit(0.0))
-    return nb.select(
-        *keys, "frame_index", "t_ref_us", "kernel",
-        F.coalesce(F.col("_p.row"), F.lit(-1)).cast("long").alias("source_index"),
-        F.coalesce(F.col("_x.row"), F.lit(-1)).cast("long").alias("next_index"),
-        weight.alias("weight"), valid.alias("valid"),
-        F.lit(1.0).alias("conf_source"), F.col("conf_clock").cast("double").alias("conf_clock"),
-        interp.alias("conf_interp"))
+    a = nb.select(*keys, "frame_index", "t_ref_us", "kernel", "conf_clock",
+                  F.col("_p.row").alias("_sr"), F.col("_p.t").alias("_st"),
+                  F.col("_x.row").alias("_nr"), F.col("_x.t").alias("_ntt"))
+    return _indices_to_alignment(a, tolerance_us)
 
 
 def sync_clock_confidence(grid: DataFrame, sync_events: DataFrame, *, tau_us: float,

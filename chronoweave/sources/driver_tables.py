@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.asof import asof_alignment, number_rows, sync_clock_confidence
+from ..operators.asof import align_samples, number_rows, sync_clock_confidence
 from ..operators.grid import grid_over_samples
 from ..schemas import MAG_KIND, SCHEMA_VERSION
 
@@ -90,31 +90,28 @@ def event_grid(spark: SparkSession, sf_dir: str, mode: str = "day",
 
 def event_alignment(spark: SparkSession, sf_dir: str, mode: str = "day", *,
                     step_us: int = EVENT_STEP_US, tolerance_us: int = EVENT_TOL_US,
-                    with_clock: bool = True, payload: DataFrame | None = None,
-                    streams: DataFrame | None = None) -> DataFrame:
+                    with_clock: bool = True) -> DataFrame:
     """B2–B4 on events: grid, as-of indices and confidence components."""
-    grid = event_grid(spark, sf_dir, mode, step_us)
-    payload = payload if payload is not None else event_payload(spark, sf_dir, mode)
-    streams = streams if streams is not None else event_streams(spark, sf_dir, mode)
-    clock = None
-    if with_clock:
-        sync = (event_samples(spark, sf_dir, mode).where(F.col("device_id") == SYNC_EVENT)
-                .select("session_id", "t_us"))
-        clock = sync_clock_confidence(grid, sync, tau_us=EVENT_TAU_US)
-    return asof_alignment(grid, streams, payload, tolerance_us=tolerance_us, clock=clock)
-
-
-def event_inputs(spark: SparkSession, sf_dir: str, mode: str = "day", **kw) -> dict:
-    """All inputs of a materialization over the events adapter."""
-    payload = event_payload(spark, sf_dir, mode)
+    return event_inputs(spark, sf_dir, mode, step_us=step_us, tolerance_us=tolerance_us,
+                        with_clock=with_clock)["alignment"]
+
+
+def event_inputs(spark: SparkSession, sf_dir: str, mode: str = "day", *,
+                 step_us: int = EVENT_STEP_US, tolerance_us: int = EVENT_TOL_US,
+                 with_clock: bool = True) -> dict:
+    """All inputs of a materialization over the events adapter: payload rows
+    and alignment come out of one fused, bucketed window pass."""
+    samples = event_samples(spark, sf_dir, mode)
     streams = event_streams(spark, sf_dir, mode)
-    return {
-        "payload": payload,
-        "streams": streams,
-        "grid": event_grid(spark, sf_dir, mode, kw.get("step_us", EVENT_STEP_US)),
-        "alignment": event_alignment(spark, sf_dir, mode, payload=payload, streams=streams, **kw),
-        "session_meta": event_session_meta(spark, sf_dir, mode),
-    }
+    bounds = samples.groupBy("session_id").agg(F.min("t_us").alias("lo_us"), F.max("t_us").alias("hi_us"))
+    sync = samples.where(F.col("device_id") == SYNC_EVENT).select("session_id", "t_us") \
+        if with_clock else None
+    out = align_samples(
+        samples.select("session_id", "device_id", "stream_id", "t_us", "event_id", "value"),
+        bounds, streams, step_us=step_us, tolerance_us=tolerance_us, order="event_id",
+        sync=sync, tau_us=EVENT_TAU_US)
+    out.update(streams=streams, session_meta=event_session_meta(spark, sf_dir, mode))
+    return out
 
 
 # ---------------------------------------------------------------------------
