@@ -15,10 +15,29 @@ def on(a, b, keys=K):
     return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
 
 
-def ctes(session=DAY, step=STEP, tol=TOL) -> str:
-    """WITH-list: ev, payload, streams, meta, bounds, grid, gclock, al, sl."""
+def ctes(session=DAY, step=STEP, tol=TOL, device="event_type", pre="") -> str:
+    """WITH-list: ev, payload, streams, meta, bounds, grid, gclock, al, sl, feat
+    (names prefixed with ``pre`` so two versions can live in one query)."""
+    body = _ctes(session, step, tol, device)
+    if pre:
+        names = ["ev", "payload", "streams", "meta", "bounds", "grid", "sync", "gclock", "sg",
+                 "nb2", "nb", "al", "sl", "feat"]
+        body = _prefix(body, names, pre)
+    return body
+
+
+def _prefix(body: str, names, pre: str) -> str:
+    """Rename CTE definitions and their FROM/JOIN references."""
+    import re
+    for n in sorted(names, key=len, reverse=True):
+        body = re.sub(rf"(?m)^{n} AS \(", f"{pre}{n} AS (", body)
+        body = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {pre}{n}", body)
+    return body
+
+
+def _ctes(session, step, tol, device) -> str:
     return f"""
-ev AS (SELECT {session} AS session_id, event_type AS device_id, 'value' AS stream_id, event_id,
+ev AS (SELECT {session} AS session_id, {device} AS device_id, 'value' AS stream_id, event_id,
               epoch_us(ts) AS t_us,
               [value::FLOAT, json_extract_string(props, '$.k')::FLOAT] AS value
        FROM events),
@@ -48,7 +67,7 @@ gclock AS (SELECT g.session_id, g.frame_index, g.t_ref_us,
            ASOF LEFT JOIN sync f ON g.session_id = f.session_id AND g.t_ref_us < f.t_us),
 sg AS (SELECT c.*, s.device_id, s.stream_id, s.kernel FROM gclock c JOIN streams s USING (session_id)),
 nb AS (SELECT sg.*, b."row" AS src_row, b.t_us AS src_t, f."row" AS nxt_row, f.t_us AS nxt_t
-       FROM sg
+       FROM sg AS sg
        ASOF LEFT JOIN payload b ON {on('sg', 'b')} AND sg.t_ref_us >= b.t_us
        ASOF LEFT JOIN payload f ON {on('sg', 'f')} AND sg.t_ref_us < f.t_us),
 nb2 AS (SELECT *, t_ref_us - src_t AS back,
@@ -72,7 +91,7 @@ sl AS (SELECT al.session_id, al.device_id, al.stream_id, al.frame_index, al.t_re
               al.valid,
               greatest(0.0, least(1.0, al.conf_source * al.conf_clock * al.conf_interp)) AS confidence,
               al.conf_source, al.conf_clock, al.conf_interp
-       FROM al
+       FROM al AS al
        LEFT JOIN payload a ON {on('al', 'a')} AND a."row" = al.source_index
                            AND al.valid AND al.source_index >= 0
        LEFT JOIN payload b ON {on('al', 'b')} AND b."row" = al.next_index AND al.valid

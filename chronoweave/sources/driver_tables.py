@@ -42,12 +42,21 @@ def _session_col(mode: str):
     return F.lit("events")
 
 
-def event_samples(spark: SparkSession, sf_dir: str, mode: str = "day") -> DataFrame:
-    """(session_id, device_id, stream_id, event_id, t_us, value array<float>)."""
+def _device_col(device_map: dict | None):
+    d = F.col("event_type")
+    for src, dst in (device_map or {}).items():
+        d = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(d)
+    return d
+
+
+def event_samples(spark: SparkSession, sf_dir: str, mode: str = "day",
+                  device_map: dict | None = None) -> DataFrame:
+    """(session_id, device_id, stream_id, event_id, t_us, value array<float>).
+    ``device_map`` renames event types (a second dataset version)."""
     ev = read(spark, sf_dir, "events")
     return ev.select(
         _session_col(mode).alias("session_id"),
-        F.col("event_type").alias("device_id"),
+        _device_col(device_map).alias("device_id"),
         F.lit("value").alias("stream_id"),
         "event_id",
         F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"),
@@ -62,9 +71,10 @@ def event_payload(spark: SparkSession, sf_dir: str, mode: str = "day") -> DataFr
     return p.select("session_id", "device_id", "stream_id", "row", "t_us", "value")
 
 
-def event_streams(spark: SparkSession, sf_dir: str, mode: str = "day") -> DataFrame:
+def event_streams(spark: SparkSession, sf_dir: str, mode: str = "day",
+                  device_map: dict | None = None) -> DataFrame:
     """Stream descriptors: two hold devices, the others continuous, shape [2]."""
-    s = event_samples(spark, sf_dir, mode).select("session_id", "device_id", "stream_id").distinct()
+    s = event_samples(spark, sf_dir, mode, device_map).select("session_id", "device_id", "stream_id").distinct()
     return s.select(
         "session_id", "device_id", "stream_id",
         F.lit(EVENT_KIND).alias("payload_kind"), F.lit(EVENT_UNITS).alias("units"),
@@ -98,11 +108,11 @@ def event_alignment(spark: SparkSession, sf_dir: str, mode: str = "day", *,
 
 def event_inputs(spark: SparkSession, sf_dir: str, mode: str = "day", *,
                  step_us: int = EVENT_STEP_US, tolerance_us: int = EVENT_TOL_US,
-                 with_clock: bool = True) -> dict:
+                 with_clock: bool = True, device_map: dict | None = None) -> dict:
     """All inputs of a materialization over the events adapter: payload rows
     and alignment come out of one fused, bucketed window pass."""
-    samples = event_samples(spark, sf_dir, mode)
-    streams = event_streams(spark, sf_dir, mode)
+    samples = event_samples(spark, sf_dir, mode, device_map)
+    streams = event_streams(spark, sf_dir, mode, device_map)
     bounds = samples.groupBy("session_id").agg(F.min("t_us").alias("lo_us"), F.max("t_us").alias("hi_us"))
     sync = samples.where(F.col("device_id") == SYNC_EVENT).select("session_id", "t_us") \
         if with_clock else None
