@@ -65,15 +65,36 @@ def _pair_hash(left: Column, right: Column) -> Column:
     return F.sha2(F.concat(F.unhex(left), F.unhex(F.coalesce(right, left))), 256)
 
 
+def _merkle_levels(nodes: Column, n: Column, m: int):
+    """Apply up to ``m`` Merkle levels to an array of consecutive nodes that
+    starts at a multiple of 2^m (so pairs never cross groups, and an odd
+    last node can only be the layer's last). ``n`` is the layer size: a layer
+    of one node is the root and is not hashed again. The levels iterate in
+    an ``aggregate`` so the expression does not grow with ``m``."""
+    def step(acc, _):
+        a, nn = acc["a"], acc["n"]
+        half = F.ceil(F.size(a) / 2).cast("int")
+        paired = F.transform(
+            F.sequence(F.lit(0), half - 1),
+            lambda j: _pair_hash(F.try_element_at(a, j * 2 + 1), F.try_element_at(a, j * 2 + 2)))
+        return F.struct(F.when(nn > 1, paired).otherwise(a).alias("a"),
+                        F.when(nn > 1, F.ceil(nn / 2)).otherwise(nn).cast("long").alias("n"))
+    res = F.aggregate(F.sequence(F.lit(1), F.lit(m)),
+                      F.struct(nodes.alias("a"), n.cast("long").alias("n")), step)
+    return res["a"], res["n"]
+
+
 def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None = None,
-                checkpoint_every: int = 8) -> DataFrame:
+                fan_in_levels: int = 4, checkpoint_every: int = 8) -> DataFrame:
     """Leaves sorted by digest; each layer hashes pairs (an odd layer
     duplicates its last node) until one node remains; empty → sha256("").
 
-    The leaf order is numbered without a global window (digest prefix as the
-    bucketing key); each layer is one ``groupBy(i div 2)``; the layer count is
-    log2 of the largest leaf count (one small aggregate). Lineage is cut with
-    ``checkpoint()`` every few layers."""
+    Leaves are numbered without a global window (the digest prefix is the
+    bucketing key). Each round groups 2^``fan_in_levels`` consecutive nodes
+    and applies that many levels with array functions, so a tree of n leaves
+    takes log2(n)/fan_in_levels shuffles and no group exceeds 2^levels rows.
+    Layer sizes are tracked arithmetically; lineage is cut with
+    ``checkpoint()`` every few rounds."""
     keys = keys or []
     k = keys or ["_all"]
     d = digests.select(*keys, F.col(col).alias("d"))
@@ -81,29 +102,30 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
         d = d.withColumn("_all", F.lit(0))
     d = d.withColumn("_t", F.conv(F.substring("d", 1, 12), 16, 10).cast("long"))
     layer = number_rows(d, k, ["_t", "d"], t="_t", bucket_us=1 << 40, out="i").select(*k, "i", "d")
-    sizes = layer.groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
-    nmax = sizes.agg(F.max("n")).collect()[0][0] or 0
-    depth = 0
-    while (1 << depth) < nmax:
-        depth += 1
-    for lvl in range(depth):
-        # groups already reduced to one node pass through unchanged
-        g = layer.groupBy(*k, F.floor(F.col("i") / 2).alias("_j")).agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.max(F.when(F.col("i") % 2 == 0, F.col("d"))).alias("_l"),
-            F.max(F.when(F.col("i") % 2 == 1, F.col("d"))).alias("_r"))
-        cnt = layer.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
-        g = g.join(cnt, k)
-        layer = g.select(*k, F.col("_j").alias("i"),
-                         F.when(F.col("_n") == 1, F.col("_l")).otherwise(_pair_hash(F.col("_l"), F.col("_r")))
-                         .alias("d"))
-        if checkpoint_every and (lvl + 1) % checkpoint_every == 0 and lvl + 1 < depth:
+    # the numbered leaves feed both the size probe and the rounds: write them
+    # once to the checkpoint folder instead of computing the input twice
+    checkpoint_dir(layer.sparkSession)
+    layer = layer.checkpoint(eager=True)
+    sizes = layer.groupBy(*k).agg(F.count(F.lit(1)).alias("n_leaves"))
+    nmax = sizes.agg(F.max("n_leaves")).collect()[0][0] or 0
+    layer = layer.join(sizes.select(*k, F.col("n_leaves").alias("_n")), k)
+    group = 1 << fan_in_levels
+    rounds, size = 0, nmax
+    while size > 1:
+        g = layer.groupBy(*k, F.floor(F.col("i") / group).alias("i")).agg(
+            F.max("_n").alias("_n"),
+            F.transform(F.array_sort(F.collect_list(F.struct(F.col("i").alias("_i"), "d"))),
+                        lambda x: x["d"]).alias("_nodes"))
+        arr, n2 = _merkle_levels(F.col("_nodes"), F.col("_n"), fan_in_levels)
+        layer = g.select(*k, "i", F.element_at(arr, 1).alias("d"), n2.cast("long").alias("_n"))
+        size = (size + group - 1) // group
+        rounds += 1
+        if checkpoint_every and rounds % checkpoint_every == 0 and size > 1:
             checkpoint_dir(layer.sparkSession)
             layer = layer.checkpoint(eager=True)
     root = layer.groupBy(*k).agg(F.max("d").alias("merkle_root"))
     out = sizes.join(root, k, "left").select(
-        *k, F.col("n").alias("n_leaves"),
-        F.coalesce("merkle_root", F.lit(EMPTY_SHA256)).alias("merkle_root"))
+        *k, "n_leaves", F.coalesce("merkle_root", F.lit(EMPTY_SHA256)).alias("merkle_root"))
     return out.drop("_all") if not keys else out
 
 

@@ -337,3 +337,4 @@ def publishable_q(spark, sf):
     """The same gate with signed lineage: verdicts driven by the metrics."""
     return _gate(spark, sf, True)
 from . import catalog_gold  # noqa: E402,F401
+from . import catalog_lineage  # noqa: E402,F401
