@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import checkpoint_dir
 from ..functions.expr import round6
 from ..operators import align, checks as ck, gate, silver as sv
 from ..operators.grid import infer_grid_rate
@@ -30,9 +31,17 @@ def register(name: str, sql: str | None = None):
 KEYS = ["session_id", "device_id", "stream_id"]
 
 
-def _ev(spark, sf, mode="day", **kw):
+def _ev(spark, sf, mode="day", reuse=False, **kw):
+    """Event-adapter inputs plus Silver. ``reuse``: Silver feeds several
+    aggregates, so it is written once to the checkpoint folder (a reliable
+    checkpoint, not a cache) and every consumer scans that."""
     inp = dt.event_inputs(spark, sf, mode, **kw)
-    inp["silver"] = align.project(inp["alignment"], inp["payload"], inp["streams"])
+    silver = align.project(inp["alignment"], inp["payload"], inp["streams"])
+    if reuse:
+        checkpoint_dir(spark)
+        silver = silver.checkpoint(eager=True)
+        inp["grid"] = silver.select("session_id", "frame_index", "t_ref_us").distinct()
+    inp["silver"] = silver
     return inp
 
 
@@ -277,7 +286,7 @@ def _check_query(name):
     cols = _CHECK_COLS[name]
 
     def run(spark, sf):
-        e = _ev(spark, sf)
+        e = _ev(spark, sf, reuse=True)
         w = ck.all_checks_wide(e["silver"], e["grid"], e["streams"], e["session_meta"])
         return w.select("session_id", *[ck._status(F.col(c)).alias(c) for c in cols])
     run.__name__ = name
@@ -314,7 +323,7 @@ FROM v"""
 
 
 def _gate(spark, sf, signed):
-    e = _ev(spark, sf)
+    e = _ev(spark, sf, reuse=True)
     s, meta = e["silver"], e["session_meta"]
     cov = sv.coverage_min(sv.stream_coverage(s, e["streams"]), meta)
     conf = sv.mean_confidence(s, meta)

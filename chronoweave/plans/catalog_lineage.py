@@ -154,8 +154,8 @@ _DIFF_SQL = ("WITH " + q.ctes() + ",\n" + q.ctes(pre="b_", device=_B_DEVICE, tol
 
 
 def _versions(spark, sf):
-    a = _ev(spark, sf)
-    b = _ev(spark, sf, device_map={"error": "fault"}, tolerance_us=_B_TOL)
+    a = _ev(spark, sf, reuse=True)
+    b = _ev(spark, sf, reuse=True, device_map={"error": "fault"}, tolerance_us=_B_TOL)
     return a, b
 
 
