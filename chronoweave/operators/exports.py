@@ -110,9 +110,9 @@ def lerobot_info(silver: DataFrame, meta: DataFrame, layout: str = "v3") -> Data
     """K4 info record: totals, fps, data path template for the layout."""
     if layout not in LEROBOT_DATA_PATH:
         raise ValueError(f"lerobot layout must be 'v2' or 'v3' (got {layout!r})")
-    ep = episodes(silver)
-    return (ep.agg(F.count(F.lit(1)).alias("total_episodes"), F.sum("length").alias("total_frames"))
-            .crossJoin(meta.agg(F.max("grid_rate_hz").alias("fps")))
+    ep = episodes(silver).join(meta.select("session_id", "grid_rate_hz"), "session_id", "left")
+    return (ep.agg(F.count(F.lit(1)).alias("total_episodes"), F.sum("length").alias("total_frames"),
+                   F.max("grid_rate_hz").alias("fps"))
             .select(F.lit(f"{layout}.0-chronoweave").alias("codebase_version"),
                     F.lit(ROBOT_TYPE).alias("robot_type"), "total_episodes", "total_frames",
                     F.lit(1).alias("total_chunks"), F.lit(1).alias("chunks_size"), "fps",

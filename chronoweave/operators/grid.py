@@ -41,11 +41,13 @@ def grid_over_samples(samples: DataFrame, step_us: int, t="t_us") -> DataFrame:
 def apply_clock(samples: DataFrame, models: DataFrame, t="t_us", out="t_ref_us") -> DataFrame:
     """B2: ``t_ref = alpha·t + beta`` per (session, device) clock model.
 
-    ``models(session_id, device_id, alpha, beta)`` is one row per device; a
-    device without a model keeps its own clock (alpha 1, beta 0).
+    ``models([session_id,] device_id, alpha, beta)`` is one row per device
+    (per session when ``session_id`` is given); a device without a model
+    keeps its own clock (alpha 1, beta 0).
     """
-    m = models.select("session_id", "device_id", "alpha", "beta")
-    j = samples.join(m, ["session_id", "device_id"], "left")
+    keys = [k for k in ("session_id", "device_id") if k in models.columns]
+    m = models.select(*keys, "alpha", "beta")
+    j = samples.join(m, keys, "left")
     a = F.coalesce(F.col("alpha"), F.lit(1.0))
     bb = F.coalesce(F.col("beta"), F.lit(0.0))
     return j.withColumn(out, F.round(a * F.col(t).cast("double") + bb).cast("long")) \

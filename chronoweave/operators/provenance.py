@@ -55,10 +55,12 @@ def content_hash_tree(digests: DataFrame, col: str = "sha256", keys: list[str] |
     keys = keys or []
     b = digests.withColumn("_p", F.substring(col, 1, prefix))
     lvl1 = b.groupBy(*keys, "_p").agg(
-        F.sha2(F.concat_ws("", F.array_sort(F.collect_list(col))), 256).alias("_d"))
+        F.sha2(F.concat_ws("", F.array_sort(F.collect_list(col))), 256).alias("_d"),
+        F.count(col).alias("_n"))
     return lvl1.groupBy(*keys).agg(
         F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("_p", "_d"))),
-                                           lambda x: x["_d"])), 256).alias("content_hash"))
+                                           lambda x: x["_d"])), 256).alias("content_hash"),
+        F.sum("_n").alias("n_leaves"))
 
 
 def _pair_hash(left: Column, right: Column) -> Column:

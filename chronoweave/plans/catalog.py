@@ -113,7 +113,7 @@ def confidence_fold_q(spark, sf):
 
 @register("payload_width_check", q.with_(
     "SELECT p.session_id, p.device_id, p.stream_id, count(*) AS n_rows, "
-    "sum(CASE WHEN len(p.value) <> s.width THEN 1 ELSE 0 END) AS n_bad "
+    "sum(CASE WHEN len(p.value) <> s.width THEN 1 ELSE 0 END)::BIGINT AS n_bad "
     "FROM payload p JOIN streams s USING (session_id, device_id, stream_id) "
     "GROUP BY ALL"))
 def payload_width_check_q(spark, sf):
@@ -158,7 +158,7 @@ def mean_confidence_q(spark, sf):
 @register("export_counts", q.with_(
     "SELECT g.session_id, g.frame_count, coalesce(s.sample_count, 0) AS sample_count FROM "
     "(SELECT session_id, count(*) AS frame_count FROM grid GROUP BY 1) g LEFT JOIN "
-    "(SELECT session_id, sum(valid::BIGINT) AS sample_count FROM sl GROUP BY 1) s USING (session_id)"))
+    "(SELECT session_id, sum(valid::BIGINT)::BIGINT AS sample_count FROM sl GROUP BY 1) s USING (session_id)"))
 def export_counts_q(spark, sf):
     e = _ev(spark, sf)
     return sv.export_counts(e["silver"], e["grid"])

@@ -18,7 +18,7 @@ DEVS = ["click", "error", "purchase", "signup", "view"]
 _EPISODES = """
 ep AS (SELECT session_id, row_number() OVER (ORDER BY session_id) - 1 AS episode_index, length,
               coalesce(sum(length) OVER (ORDER BY session_id ROWS BETWEEN UNBOUNDED PRECEDING
-                                         AND 1 PRECEDING), 0) AS index_offset
+                                         AND 1 PRECEDING), 0)::BIGINT AS index_offset
        FROM (SELECT session_id, count(DISTINCT frame_index) AS length FROM sl GROUP BY 1)),
 obs AS (SELECT session_id, frame_index, t_ref_us, {cols} FROM sl GROUP BY session_id, frame_index, t_ref_us)"""
 

@@ -42,8 +42,7 @@ l1 AS (SELECT substr(h, 1, 2) AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FR
 SELECT sha256(string_agg(d, '' ORDER BY p)) AS content_hash, (SELECT count(*) FROM d) AS n_leaves FROM l1""")
 def content_hash_q(spark, sf):
     d = dt.read(spark, sf, "documents").where("text is not null").select(F.sha2("text", 256).alias("sha256"))
-    h = pv.content_hash_tree(d)
-    return h.crossJoin(d.agg(F.count(F.lit(1)).alias("n_leaves")))
+    return pv.content_hash_tree(d)
 
 
 def _merkle_sql(leaves_sql: str, layers: int = 40) -> str:
@@ -95,9 +94,10 @@ def file_hashes_q(spark, sf):
 @register("source_hashes")
 def source_hashes_q(spark, sf):
     """A7 (rows-only): each event session's source file digests, sorted."""
-    h = pv.file_hashes(spark, [os.path.join(sf, "events.parquet")])
-    sess = dt.event_session_meta(spark, sf).select("session_id")
-    return pv.source_hashes(sess.crossJoin(h.select("sha256")))
+    src = os.path.join(sf, "events.parquet")
+    h = pv.file_hashes(spark, [src]).select(F.lit(src).alias("source"), "sha256")
+    sess = dt.event_session_meta(spark, sf).select("session_id", F.lit(src).alias("source"))
+    return pv.source_hashes(sess.join(h, "source"))
 
 
 @register("provenance")
@@ -441,11 +441,9 @@ FROM ev""")
 @register("apply_clock", _clock_sql())
 def apply_clock_q(spark, sf):
     s = dt.event_samples(spark, sf)
-    sess = s.select("session_id").distinct()
     models = spark.createDataFrame([(d, 1.0 + ppm * 1e-6, o) for d, (o, ppm) in CLOCK_MODELS.items()],
                                    "device_id string, alpha double, beta double")
-    per = sess.crossJoin(models)
-    return apply_clock(s, per).select("session_id", "device_id", "event_id", "t_us", "t_ref_us")
+    return apply_clock(s, models).select("session_id", "device_id", "event_id", "t_us", "t_ref_us")
 
 
 __all__ = ["align"]
