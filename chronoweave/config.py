@@ -47,15 +47,14 @@ def ensure_session_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (tests, local runs) do we set our own scratch folder.
+    Spark applies that setting when the context starts. Only when nothing is
+    configured (tests, local runs) is a scratch folder of our own set — via
+    ``setCheckpointDir``, since the config itself cannot change at runtime.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="cw-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cw-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d

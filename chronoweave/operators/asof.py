@@ -128,11 +128,13 @@ def align_samples(samples: DataFrame, bounds: DataFrame, streams: DataFrame, *,
                           F.lit(2).alias("_kind")))
         s = s.unionByName(sy)
     s = s.withColumn("_b", _bucket("t_us", bucket_us))
-    edge = F.struct(F.col("t_us").alias("t"), F.col("_o").alias("o"))
+    # edges only need times (row indices come from the offsets), so every
+    # aggregate is a scalar and the aggregation stays hash-based
     is_smp, is_syn = F.col("_kind") == 0, F.col("_kind") == 2
     edges = s.groupBy(*keys, "_b").agg(
         F.sum(is_smp.cast("long")).alias("_cnt"),
-        F.min(F.when(is_smp, edge)).alias("_first"), F.max(F.when(is_smp, edge)).alias("_last"),
+        F.min(F.when(is_smp, F.col("t_us"))).alias("_first"),
+        F.max(F.when(is_smp, F.col("t_us"))).alias("_last"),
         F.min(F.when(is_syn, F.col("t_us"))).alias("_sfirst"),
         F.max(F.when(is_syn, F.col("t_us"))).alias("_slast"))
     gb = bounds.select("session_id", F.explode(F.sequence(
@@ -153,18 +155,15 @@ def align_samples(samples: DataFrame, bounds: DataFrame, streams: DataFrame, *,
     ).where("_hasl")
     left = grid.join(st, "session_id").withColumn("_b", _bucket("t_ref_us", bucket_us))
 
-    ct = hdr.schema["_cin"].dataType
     common = {"_t": "long", "_o": s.schema["_o"].dataType.simpleString(),
               "value": s.schema["value"].dataType.simpleString(), "_kind": "int",
               "frame_index": "long", "kernel": "string", "_hcnt": "long", "_hoff": "long",
-              "_scin": "long", "_scout": "long"}
+              "_cin": "long", "_cout": "long", "_scin": "long", "_scout": "long"}
 
     def rows(df, side, have):
         cols = [*keys, "_b", F.lit(side).alias("_side")]
         for c, t in common.items():
             cols.append(F.col(c).cast(t).alias(c) if c in have else F.lit(None).cast(t).alias(c))
-        for c in ("_cin", "_cout"):
-            cols.append(F.col(c) if c in have else F.lit(None).cast(ct).alias(c))
         return df.select(*cols)
 
     u = (rows(s.withColumnRenamed("t_us", "_t"), 0, {"_t", "_o", "value", "_kind"})
@@ -193,10 +192,10 @@ def align_samples(samples: DataFrame, bounds: DataFrame, streams: DataFrame, *,
     a = out.where("_side = 1")
     src_row = (F.when(F.col("_k") > 0, F.col("_off") + F.col("_k") - 1)
                 .when(F.col("_ci").isNotNull(), F.col("_off") - 1))
-    src_t = F.coalesce(F.col("_pt"), F.col("_ci.t"))
+    src_t = F.coalesce(F.col("_pt"), F.col("_ci"))
     nxt_row = (F.when(F.col("_nt").isNotNull(), F.col("_off") + F.col("_k"))
                 .when(F.col("_co").isNotNull(), F.col("_off") + F.col("_cnt")))
-    nxt_t = F.coalesce(F.col("_nt"), F.col("_co.t"))
+    nxt_t = F.coalesce(F.col("_nt"), F.col("_co"))
     if sync is not None:
         d = F.least(F.col("_t") - F.coalesce("_spt", "_sci"), F.coalesce("_snt", "_sco") - F.col("_t"))
         clock = F.coalesce(F.exp(-d.cast("double") / F.lit(float(tau_us))), F.lit(1.0))

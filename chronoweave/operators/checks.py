@@ -83,8 +83,10 @@ def timeline_checks(silver: DataFrame, grid: DataFrame, meta: DataFrame) -> Data
 
 
 def resolved_grid_rate(grid: DataFrame, meta: DataFrame) -> DataFrame:
-    """The session's declared rate, else 1e6/median Δt."""
-    inf = infer_grid_rate(grid)
+    """The session's declared rate, else 1e6/median Δt (A6). Only sessions
+    without a declared rate feed the median job."""
+    undeclared = meta.where(F.coalesce(F.col("grid_rate_hz"), F.lit(0.0)) == 0).select("session_id")
+    inf = infer_grid_rate(grid.join(undeclared, "session_id", "left_semi"))
     return (meta.select("session_id", F.col("grid_rate_hz").alias("_decl"))
             .join(inf, "session_id", "left")
             .select("session_id",
@@ -118,12 +120,70 @@ def confidence_checks(silver: DataFrame, meta: DataFrame) -> DataFrame:
                     F.coalesce("_z", F.lit(True)).alias("confidence_zero_at_gaps")))
 
 
+def session_quality(silver: DataFrame, grid: DataFrame, streams: DataFrame,
+                    meta: DataFrame) -> DataFrame:
+    """All twelve checks plus the gate's metrics (coverage_min,
+    label_confidence) per session, from one per-stream aggregate over Silver
+    and one aggregate over the grid (the separate check functions above give
+    the same answers one family at a time)."""
+    st = streams.select(*KEYS, shape_width("shape").alias("width"))
+    valid = F.col("valid")
+    per = silver.join(st, KEYS, "left").groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("valid").alias("_nv"),
+        F.count("confidence").alias("_nc"),
+        F.bool_and(F.coalesce(F.size("value") == F.col("width"), F.lit(False))).alias("_shape_ok"),
+        (_in_unit("confidence") & _in_unit("conf_source") & _in_unit("conf_clock")
+         & _in_unit("conf_interp")).alias("_unit"),
+        F.bool_and(valid | (F.col("confidence") == 0)).alias("_zero"),
+        F.bool_and(F.when(~valid, F.forall("value", lambda x: F.isnan(x)))).alias("_nofab"),
+        F.avg(valid.cast("double")).alias("_cov"),
+        F.avg(F.when(valid, F.col("confidence"))).alias("_cmean"))
+    g = grid.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("n_grid"), F.count("frame_index").alias("_nf"),
+        F.countDistinct("frame_index").alias("_nd"),
+        F.min("frame_index").alias("_fmin"), F.max("frame_index").alias("_fmax"))
+    d = grid_deltas(grid).groupBy("session_id").agg(
+        F.bool_and(F.col("dt_us") > 0).alias("_mono"),
+        F.min("dt_us").alias("_dmin"), F.max("dt_us").alias("_dmax"))
+    per = (st.select(*KEYS).join(per, KEYS, "left").join(g.select("session_id", "n_grid"), "session_id", "left"))
+    n = F.coalesce("n_grid", F.lit(0))
+    ses = per.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("_ns"),
+        F.bool_and((F.coalesce("_rows", F.lit(0)) == n) & (F.coalesce("_nv", F.lit(0)) == n)
+                   & (F.coalesce("_nc", F.lit(0)) == n) & F.coalesce("_shape_ok", F.lit(True))).alias("_shapes"),
+        F.bool_and(F.coalesce("_unit", F.lit(True))).alias("_u"),
+        F.bool_and(F.coalesce("_zero", F.lit(True))).alias("_z"),
+        F.bool_and(F.coalesce("_nofab", F.lit(True))).alias("_nofab"),
+        F.min(F.coalesce("_cov", F.lit(0.0))).alias("_covmin"),
+        F.avg("_cmean").alias("_conf"))
+    rate = resolved_grid_rate(grid, meta)
+    m = (meta.select("session_id", "reference_clock_id", "schema_version")
+         .join(g, "session_id", "left").join(d, "session_id", "left")
+         .join(ses, "session_id", "left").join(rate, "session_id", "left"))
+    ng = F.coalesce("n_grid", F.lit(0))
+    return m.select(
+        "session_id",
+        ((F.coalesce("_nf", F.lit(0)) == ng) & (F.coalesce("_nd", F.lit(0)) == ng)
+         & (F.coalesce("_fmin", F.lit(0)) == 0) & (F.coalesce("_fmax", F.lit(-1)) == ng - 1))
+        .alias("grid_frame_index_aligned"),
+        F.coalesce("_shapes", F.lit(True)).alias("stream_shapes_consistent"),
+        (F.coalesce(F.length("schema_version"), F.lit(0)) > 0).alias("schema_version_present"),
+        F.coalesce("_mono", F.lit(True)).alias("grid_monotonic"),
+        F.when(F.col("_dmin").isNull(), F.lit(True))
+         .otherwise((F.col("_dmin") >= 1) & (F.col("_dmax") <= 2 * F.col("_dmin"))).alias("bounded_step"),
+        F.coalesce("_nofab", F.lit(True)).alias("no_fabricated_gaps"),
+        (F.coalesce(F.length("session_id"), F.lit(0)) > 0).alias("session_id_present"),
+        (F.coalesce(F.length("reference_clock_id"), F.lit(0)) > 0).alias("reference_clock_present"),
+        (F.coalesce("grid_rate_hz", F.lit(0.0)) > 0).alias("grid_rate_positive"),
+        (F.coalesce("_ns", F.lit(0)) > 0).alias("has_streams"),
+        F.coalesce("_u", F.lit(True)).alias("confidence_in_unit_interval"),
+        F.coalesce("_z", F.lit(True)).alias("confidence_zero_at_gaps"),
+        F.coalesce("_covmin", F.lit(1.0)).alias("coverage_min"),
+        F.coalesce("_conf", F.lit(0.0)).alias("label_confidence"))
+
+
 def all_checks_wide(silver, grid, streams, meta) -> DataFrame:
-    sc = schema_checks(silver, grid, streams, meta)
-    tc = timeline_checks(silver, grid, meta)
-    mc = metadata_checks(grid, streams, meta)
-    cc = confidence_checks(silver, meta)
-    return sc.join(tc, "session_id").join(mc, "session_id").join(cc, "session_id")
+    return session_quality(silver, grid, streams, meta).drop("coverage_min", "label_confidence")
 
 
 def to_long(wide: DataFrame, names=CHECK_ORDER) -> DataFrame:

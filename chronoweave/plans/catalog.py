@@ -324,11 +324,11 @@ FROM v"""
 
 def _gate(spark, sf, signed):
     e = _ev(spark, sf, reuse=True)
-    s, meta = e["silver"], e["session_meta"]
-    cov = sv.coverage_min(sv.stream_coverage(s, e["streams"]), meta)
-    conf = sv.mean_confidence(s, meta)
-    metrics = meta.join(cov, "session_id").join(conf, "session_id")
-    checks = ck.run_checks(s, e["grid"], e["streams"], meta)
+    meta = e["session_meta"]
+    qual = ck.session_quality(e["silver"], e["grid"], e["streams"], meta)
+    metrics = meta.select("session_id", "sync_resid_us", "sync_verdict").join(
+        qual.select("session_id", "coverage_min", "label_confidence"), "session_id")
+    checks = ck.to_long(qual)
     rep = gate.publishable(gate.release_gate(metrics, checks, lineage_signed=signed))
     return rep.select("session_id", "gate_verdict", round6("missing_frame_pct").alias("missing_frame_pct"),
                       round6("label_confidence").alias("label_confidence"), "critical_failed",

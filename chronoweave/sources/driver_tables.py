@@ -32,8 +32,19 @@ EMB_INVALID_LABEL = 9
 EMB_SENSORS = 21
 
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per (session, table): repeated references share the
+    file listing / schema job and give identical plan subtrees, which lets
+    Spark reuse their exchanges."""
+    key = (id(spark), sf_dir, name)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _READS[key] = df
+    return df
 
 
 def _session_col(mode: str):
@@ -137,8 +148,12 @@ def embedding_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = F.col("label") != F.lit(EMB_INVALID_LABEL)
     nanv = F.array_repeat(F.lit(float("nan")).cast("float"), 3 * EMB_SENSORS)
     value = F.when(valid, F.slice("embedding", 1, 3 * EMB_SENSORS).cast("array<float>")).otherwise(nanv)
+    # a data-derived (non-constant) session key keeps the joins on the stream
+    # keys equi-joins instead of letting constant folding turn them into
+    # cartesian products with the dimension tables
     return j.select(
-        F.lit("emb").alias("session_id"), F.lit(EMB_DEVICE).alias("device_id"),
+        F.when(F.col("vec_id").isNotNull(), F.lit("emb")).alias("session_id"),
+        F.lit(EMB_DEVICE).alias("device_id"),
         F.lit(EMB_STREAM).alias("stream_id"), "frame_index",
         (F.col("frame_index") * F.lit(625)).alias("t_ref_us"),
         value.alias("value"), valid.alias("valid"),

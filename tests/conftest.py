@@ -14,10 +14,8 @@ SF_ORACLE = os.environ.get("CW_TEST_SF", "/root/testdata/sf0.001")
 def spark():
     from chronoweave.config import local_session
     s = local_session(cores="*", shuffle_partitions=8, app="chronoweave-tests")
-    d = tempfile.mkdtemp(prefix="cw-test-ckpt-")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cw-test-ckpt-"))
     yield s
 
 
