@@ -61,3 +61,14 @@ def test_bundle_round_trip(spark, tmp_dir):
         load_bundle(spark, bad)
     with pytest.raises(FileNotFoundError):
         load_bundle(spark, os.path.join(tmp_dir, "missing"))
+
+
+def test_datacard_render(spark, tmp_dir):
+    from chronoweave.plans.materialize import render_datacard
+    inp = dt.event_inputs(spark, SF)
+    out = os.path.join(tmp_dir, "gold")
+    r = materialize(spark, inp, out, formats=("parquet",))
+    ds = r["manifest"].collect()[0].dataset_id
+    md = render_datacard(r["datacard"], ds, "0.1.0")
+    assert md.startswith(f"# Dataset {ds}") and "## Streams" in md and "QA verdict: BLOCKED" in md
+    assert md.count("| ") >= 5

@@ -164,3 +164,34 @@ def test_derived_centroid_inside_cluster_and_refusals(spark):
     assert dv.topology_size_mismatch(st, sensors).count() == 0
     cols = dv.derived_export(s, st, sensors, members).columns
     assert "derived.thumb.normal_proxy" in cols and "derived.palm.centroid_y_m" in cols
+
+
+def test_scheme_dispatch_and_message_tables(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "ep.parquet")
+    _write_sensor_file(p)
+    rows = [("sess", "tactile_field", i * 1000, i, json.dumps({"B_uT": [[float(i), 0.0, 1.0]] * 3}))
+            for i in range(5)]
+    mt = os.path.join(tmp_dir, "messages")
+    spark.createDataFrame(rows, "session_id string, topic string, log_time long, seq long, data string") \
+        .write.parquet(mt)
+    refs = spark.createDataFrame([("sess", "A", "tactile_field", f"parquet://{p}"),
+                                  ("sess", "B", "tactile_field", f"messages://{mt}#topic=tactile_field")],
+                                 "session_id string, device_id string, stream_id string, uri string")
+    got = pl.resolve_payload(spark, refs, MAG_KIND, (3, 3))
+    counts = {r.device_id: r["count"] for r in got.groupBy("device_id").count().collect()}
+    assert counts == {"A": 8, "B": 5}
+    assert got.where("device_id = 'B' and row = 2").collect()[0].value[0] == 2.0
+    bad = spark.createDataFrame([("sess", "A", "x", "ftp://x")], refs.schema)
+    with pytest.raises(SourceError):
+        pl.resolve_payload(spark, bad, MAG_KIND)
+    assert {"parquet", "file", "messages"} <= set(pl.registered_sources())
+
+
+def test_threshold_file(tmp_dir):
+    path = os.path.join(tmp_dir, "qa.yaml")
+    with open(path, "w") as fh:
+        fh.write("hard_fail:\n  missing_frame_pct: 5.0\nrelease:\n  label_confidence: 0.8\n")
+    th = pl.load_thresholds(path)
+    assert th["hard_fail"]["missing_frame_pct"] == 5.0 and th["hard_fail"]["sync_resid_us"] == 5000.0
+    assert th["release"]["label_confidence"] == 0.8 and th["certified"]["label_confidence"] == 0.95
+    assert pl.load_thresholds()["hard_fail"]["missing_frame_pct"] == 3.0
