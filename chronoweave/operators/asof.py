@@ -24,6 +24,20 @@ def _bucket(t, bucket_us: int):
     return F.floor(F.col(t) / F.lit(bucket_us)).cast("long")
 
 
+def auto_bucket_us(samples: DataFrame, step_us: int, *, t: str = "t_us",
+                   keys: tuple[str, ...] = ("session_id", "device_id", "stream_id"),
+                   target_rows: int = 1 << 20, min_us: int = 1_000_000) -> int:
+    """A bucket width so that one (stream, bucket) window holds about
+    ``target_rows`` samples + grid frames even for the densest stream (say, a
+    stream with a third of all rows). One small aggregate over the time
+    column; call once per job and pass the result as ``bucket_us``."""
+    st = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                    (F.max(t) - F.min(t) + 1).alias("span"))
+    rate = st.agg(F.max(F.col("n") / F.col("span"))).collect()[0][0] or 0.0
+    per_us = rate + 1.0 / step_us
+    return int(max(min_us, target_rows / per_us))
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], *, t: str,
                 bucket_us: int = DEFAULT_BUCKET_US, out: str = "row") -> DataFrame:
     """0-based position of each row within ``keys`` in ``order`` (``order[0]``

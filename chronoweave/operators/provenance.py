@@ -46,21 +46,31 @@ def content_hash_flat(digests: DataFrame, col: str = "sha256", keys: list[str] |
 
 
 def content_hash_tree(digests: DataFrame, col: str = "sha256", keys: list[str] | None = None,
-                      prefix: int = 2) -> DataFrame:
-    """K13 over an unbounded digest set: digests are split by their first
-    ``prefix`` hex chars (contiguous ranges of the sorted order); each bucket
-    folds to sha256(concat(sorted digests)), then the buckets' digests, in
-    prefix order, fold the same way. At most 16^prefix digests meet in the
-    final group."""
+                      prefixes: tuple[int, ...] = (4, 2)) -> DataFrame:
+    """K13 over an unbounded digest set, as a tree of the flat rule.
+
+    Digests are grouped by their first ``prefixes[0]`` hex chars (contiguous
+    ranges of the sorted order); each group folds to sha256(concat(sorted
+    digests)). Each further level regroups the previous digests by a shorter
+    prefix of their bucket and folds them in prefix order; the last fold is
+    over at most 16^prefixes[-1] digests. With (4, 2) a group holds n/65536
+    leaves, then ≤ 256, then ≤ 256."""
     keys = keys or []
-    b = digests.withColumn("_p", F.substring(col, 1, prefix))
-    lvl1 = b.groupBy(*keys, "_p").agg(
-        F.sha2(F.concat_ws("", F.array_sort(F.collect_list(col))), 256).alias("_d"),
-        F.count(col).alias("_n"))
-    return lvl1.groupBy(*keys).agg(
-        F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("_p", "_d"))),
-                                           lambda x: x["_d"])), 256).alias("content_hash"),
-        F.sum("_n").alias("n_leaves"))
+    lvl = (digests.withColumn("_p", F.substring(col, 1, prefixes[0]))
+           .groupBy(*keys, "_p").agg(
+               F.sha2(F.concat_ws("", F.array_sort(F.collect_list(col))), 256).alias("_d"),
+               F.count(col).alias("_n")))
+
+    def fold(df, by):
+        return df.groupBy(*by).agg(
+            F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("_p", "_d"))),
+                                               lambda x: x["_d"])), 256).alias("_d"),
+            F.sum("_n").alias("_n"))
+    for p in prefixes[1:]:
+        lvl = fold(lvl.withColumn("_q", F.substring("_p", 1, p)), [*keys, "_q"]) \
+            .withColumnRenamed("_q", "_p")
+    out = fold(lvl, keys)
+    return out.select(*keys, F.col("_d").alias("content_hash"), F.col("_n").alias("n_leaves"))
 
 
 def _pair_hash(left: Column, right: Column) -> Column:

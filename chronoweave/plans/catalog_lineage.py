@@ -38,8 +38,9 @@ _DOC_DIGESTS = "SELECT sha256(text) AS h FROM documents WHERE text IS NOT NULL"
 
 @register("content_hash", f"""
 WITH d AS ({_DOC_DIGESTS}),
-l1 AS (SELECT substr(h, 1, 2) AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FROM d GROUP BY 1)
-SELECT sha256(string_agg(d, '' ORDER BY p)) AS content_hash, (SELECT count(*) FROM d) AS n_leaves FROM l1""")
+l1 AS (SELECT substr(h, 1, 4) AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FROM d GROUP BY 1),
+l2 AS (SELECT substr(p, 1, 2) AS p, sha256(string_agg(d, '' ORDER BY p)) AS d FROM l1 GROUP BY 1)
+SELECT sha256(string_agg(d, '' ORDER BY p)) AS content_hash, (SELECT count(*) FROM d) AS n_leaves FROM l2""")
 def content_hash_q(spark, sf):
     d = dt.read(spark, sf, "documents").where("text is not null").select(F.sha2("text", 256).alias("sha256"))
     return pv.content_hash_tree(d)

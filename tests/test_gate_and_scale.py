@@ -83,3 +83,27 @@ def test_silver_hash_invariant_under_partitioning(spark):
     r1 = sorted(pv.merkle_root(pv.silver_chunk_digests(s.repartition(3)), keys=["session_id"]).collect())
     r2 = sorted(pv.merkle_root(pv.silver_chunk_digests(s.coalesce(1)), keys=["session_id"]).collect())
     assert r1 == r2
+
+
+def test_auto_bucket_width_and_content_tree(spark):
+    import hashlib
+    from chronoweave.operators.asof import auto_bucket_us
+    s = dt.event_samples(spark, SF)
+    w = auto_bucket_us(s, dt.EVENT_STEP_US, target_rows=100)
+    assert w >= 1_000_000
+    ds = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(300)]
+    df = spark.createDataFrame([(d,) for d in ds], "sha256 string")
+
+    def flat(xs):
+        return hashlib.sha256("".join(sorted(xs)).encode()).hexdigest()
+    l1 = {}
+    for d in ds:
+        l1.setdefault(d[:4], []).append(d)
+    l1 = {p: flat(v) for p, v in l1.items()}
+    l2 = {}
+    for p in sorted(l1):
+        l2.setdefault(p[:2], []).append(l1[p])
+    l2 = {p: hashlib.sha256("".join(v).encode()).hexdigest() for p, v in l2.items()}
+    want = hashlib.sha256("".join(l2[p] for p in sorted(l2)).encode()).hexdigest()
+    got = pv.content_hash_tree(df).collect()[0]
+    assert got.content_hash == want and got.n_leaves == 300
