@@ -95,10 +95,12 @@ def file_hashes_q(spark, sf):
 @register("source_hashes")
 def source_hashes_q(spark, sf):
     """A7 (rows-only): each event session's source file digests, sorted."""
-    src = os.path.join(sf, "events.parquet")
-    h = pv.file_hashes(spark, [src]).select(F.lit(src).alias("source"), "sha256")
-    sess = dt.event_session_meta(spark, sf).select("session_id", F.lit(src).alias("source"))
-    return pv.source_hashes(sess.join(h, "source"))
+    ev = dt.read(spark, sf, "events")
+    # each session's source files, as recorded by the scan itself
+    src = ev.select(dt._session_col("day").alias("session_id"),
+                    F.col("_metadata.file_path").alias("path")).distinct()
+    h = pv.file_hashes(spark, [os.path.join(sf, "events.parquet")]).select("path", "sha256")
+    return pv.source_hashes(src.join(h, "path"))
 
 
 @register("provenance")
