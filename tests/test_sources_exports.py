@@ -195,3 +195,27 @@ def test_threshold_file(tmp_dir):
     assert th["hard_fail"]["missing_frame_pct"] == 5.0 and th["hard_fail"]["sync_resid_us"] == 5000.0
     assert th["release"]["label_confidence"] == 0.8 and th["certified"]["label_confidence"] == 0.95
     assert pl.load_thresholds()["hard_fail"]["missing_frame_pct"] == 3.0
+
+
+def test_lerobot_directory_layouts(spark, tmp_dir):
+    import glob
+    from chronoweave.operators import align
+    from chronoweave.plans.lerobot_layout import write_lerobot
+    from chronoweave.sources import driver_tables as dt
+    inp = dt.event_inputs(spark, "/root/testdata/sf0.001")
+    s = align.project(inp["alignment"], inp["payload"], inp["streams"])
+    r3 = os.path.join(tmp_dir, "v3")
+    info = write_lerobot(spark, s, inp["streams"], inp["session_meta"], r3, "v3", files=2)
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{r3}/data/chunk-000/*")) == \
+        ["file-000.parquet", "file-001.parquet"]
+    total = sum(pq.read_metadata(p).num_rows for p in glob.glob(f"{r3}/data/chunk-000/*.parquet"))
+    assert total == info["total_frames"] == s.select("session_id", "frame_index").distinct().count()
+    meta = json.load(open(f"{r3}/meta/info.json"))
+    assert meta["total_episodes"] == 30 and meta["features"]["timestamp"]["shape"] == [1]
+    eps = [json.loads(x) for x in open(f"{r3}/meta/episodes.jsonl")]
+    assert [e["episode_index"] for e in eps] == list(range(30))
+    r2 = os.path.join(tmp_dir, "v2")
+    write_lerobot(spark, s, inp["streams"], inp["session_meta"], r2, "v2")
+    names = sorted(os.path.basename(p) for p in glob.glob(f"{r2}/data/chunk-000/*.parquet"))
+    assert names[0] == "episode_000000.parquet" and len(names) == 30
+    assert not os.path.exists(f"{r2}/_staging")
