@@ -112,45 +112,49 @@ def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t
     return out.select(*[F.col("_l")[c].alias(c) for c in lcols], prev, nxt)
 
 
-def align_samples(samples: DataFrame, bounds: DataFrame, streams: DataFrame, *,
+def sample_edges(samples: DataFrame, bucket_us: int = DEFAULT_BUCKET_US,
+                 keys: tuple[str, ...] = ("session_id", "device_id", "stream_id")) -> DataFrame:
+    """Per (stream, time bucket): sample count and first/last sample time —
+    a small table (one row per non-empty bucket) from one partial aggregate."""
+    s = samples.select(*keys, "t_us").withColumn("_b", _bucket("t_us", bucket_us))
+    return s.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"),
+                                      F.min("t_us").alias("_first"), F.max("t_us").alias("_last"))
+
+
+def bounds_from_edges(edges: DataFrame) -> DataFrame:
+    """Session time span (all streams) from the bucket edges — no extra scan."""
+    return edges.groupBy("session_id").agg(F.min("_first").alias("lo_us"), F.max("_last").alias("hi_us"))
+
+
+def align_samples(samples: DataFrame, bounds: DataFrame | None, streams: DataFrame, *,
                   step_us: int, tolerance_us: int, order: str,
                   sync: DataFrame | None = None, tau_us: float | None = None,
-                  bucket_us: int = DEFAULT_BUCKET_US) -> dict:
+                  bucket_us: int = DEFAULT_BUCKET_US, edges: DataFrame | None = None) -> dict:
     """Fused B1 grid + row numbering + B3/B4 as-of alignment in one windowed pass.
 
     ``samples(session_id, device_id, stream_id, t_us, <order>, value)``,
-    ``bounds(session_id, lo_us, hi_us)`` → ``grid``, ``payload`` (0-based
-    ``row`` in (t_us, order) order per stream) and ``alignment`` (indices into
-    those rows, confidence components). ``sync(session_id, t_us)`` are the
-    session's sync events: conf_clock = exp(−d/τ) with d the distance to the
-    nearest one (1.0 without any).
+    ``bounds(session_id, lo_us, hi_us)`` (default: the sample span) → ``grid``,
+    ``payload`` (0-based ``row`` in (t_us, order) order per stream) and
+    ``alignment`` (indices into those rows, confidence components).
+    ``sync(session_id, t_us)`` are the session's sync events: conf_clock =
+    exp(−d/τ) with d the distance to the nearest one (1.0 without any).
 
     One large shuffle: samples ∪ sync events ∪ grid×streams ∪ one header per
     (stream, time bucket), windowed by (stream, bucket). Headers carry the row
-    offset and the neighbouring buckets' edges, computed on a small bucket
-    table, so no window ever spans a whole stream.
+    offset and the neighbouring buckets' edges, computed on small bucket
+    tables, so no window ever spans a whole stream. ``edges`` (from
+    :func:`sample_edges`, same ``bucket_us``) can be passed in when the caller
+    already derived its stream list or bounds from them.
     """
     from .grid import grid_from_bounds
     keys = ["session_id", "device_id", "stream_id"]
+    if edges is None:
+        edges = sample_edges(samples, bucket_us)
+    if bounds is None:
+        bounds = bounds_from_edges(edges)
     grid = grid_from_bounds(bounds, step_us)
     st = streams.select(*keys, "kernel")
     s = samples.select(*keys, "t_us", F.col(order).alias("_o"), "value", F.lit(0).alias("_kind"))
-    if sync is not None:
-        sy = (sync.select("session_id", "t_us").join(st, "session_id")
-                  .select(*keys, "t_us", F.lit(None).cast(s.schema["_o"].dataType).alias("_o"),
-                          F.lit(None).cast(s.schema["value"].dataType).alias("value"),
-                          F.lit(2).alias("_kind")))
-        s = s.unionByName(sy)
-    s = s.withColumn("_b", _bucket("t_us", bucket_us))
-    # edges only need times (row indices come from the offsets), so every
-    # aggregate is a scalar and the aggregation stays hash-based
-    is_smp, is_syn = F.col("_kind") == 0, F.col("_kind") == 2
-    edges = s.groupBy(*keys, "_b").agg(
-        F.sum(is_smp.cast("long")).alias("_cnt"),
-        F.min(F.when(is_smp, F.col("t_us"))).alias("_first"),
-        F.max(F.when(is_smp, F.col("t_us"))).alias("_last"),
-        F.min(F.when(is_syn, F.col("t_us"))).alias("_sfirst"),
-        F.max(F.when(is_syn, F.col("t_us"))).alias("_slast"))
     gb = bounds.select("session_id", F.explode(F.sequence(
         F.floor(F.col("lo_us") / bucket_us).cast("long"),
         F.floor(F.col("hi_us") / bucket_us).cast("long"))).alias("_b"))
@@ -164,9 +168,29 @@ def align_samples(samples: DataFrame, bounds: DataFrame, streams: DataFrame, *,
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_hoff"),
         F.last("_last", True).over(before).alias("_cin"),
         F.first("_first", True).over(later).alias("_cout"),
-        F.last("_slast", True).over(before).alias("_scin"),
-        F.first("_sfirst", True).over(later).alias("_scout"),
     ).where("_hasl")
+    if sync is not None:
+        # sync events are per session: their bucket edges and carries are
+        # computed per (session, bucket), then attached to every stream's header
+        sb = sync.select("session_id", "t_us").withColumn("_b", _bucket("t_us", bucket_us))
+        sed = sb.groupBy("session_id", "_b").agg(F.min("t_us").alias("_sfirst"),
+                                                 F.max("t_us").alias("_slast"))
+        sbk = sed.join(gb.withColumn("_hasl", F.lit(True)), ["session_id", "_b"], "full")
+        ws = Window.partitionBy("session_id").orderBy("_b")
+        shdr = sbk.select(
+            "session_id", "_b",
+            F.last("_slast", True).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_scin"),
+            F.first("_sfirst", True).over(ws.rowsBetween(1, Window.unboundedFollowing)).alias("_scout"),
+        ).where("_hasl")
+        hdr = hdr.join(shdr, ["session_id", "_b"], "left")
+        sy = (sb.join(st, "session_id")
+                .select(*keys, "t_us", F.lit(None).cast(s.schema["_o"].dataType).alias("_o"),
+                        F.lit(None).cast(s.schema["value"].dataType).alias("value"),
+                        F.lit(2).alias("_kind")))
+        s = s.unionByName(sy)
+    else:
+        hdr = hdr.withColumn("_scin", F.lit(None).cast("long")).withColumn("_scout", F.lit(None).cast("long"))
+    s = s.withColumn("_b", _bucket("t_us", bucket_us))
     left = grid.join(st, "session_id").withColumn("_b", _bucket("t_ref_us", bucket_us))
 
     common = {"_t": "long", "_o": s.schema["_o"].dataType.simpleString(),

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.asof import align_samples, number_rows, sync_clock_confidence
+from ..config import checkpoint_dir
+from ..operators.asof import align_samples, number_rows, sample_edges
 from ..operators.grid import grid_over_samples
 from ..schemas import MAG_KIND, SCHEMA_VERSION
 
@@ -86,6 +87,11 @@ def event_streams(spark: SparkSession, sf_dir: str, mode: str = "day",
                   device_map: dict | None = None) -> DataFrame:
     """Stream descriptors: two hold devices, the others continuous, shape [2]."""
     s = event_samples(spark, sf_dir, mode, device_map).select("session_id", "device_id", "stream_id").distinct()
+    return describe_event_streams(s)
+
+
+def describe_event_streams(s: DataFrame) -> DataFrame:
+    """Descriptors for the distinct (session, device, stream) keys in ``s``."""
     return s.select(
         "session_id", "device_id", "stream_id",
         F.lit(EVENT_KIND).alias("payload_kind"), F.lit(EVENT_UNITS).alias("units"),
@@ -122,15 +128,19 @@ def event_inputs(spark: SparkSession, sf_dir: str, mode: str = "day", *,
                  with_clock: bool = True, device_map: dict | None = None) -> dict:
     """All inputs of a materialization over the events adapter: payload rows
     and alignment come out of one fused, bucketed window pass."""
-    samples = event_samples(spark, sf_dir, mode, device_map)
-    streams = event_streams(spark, sf_dir, mode, device_map)
-    bounds = samples.groupBy("session_id").agg(F.min("t_us").alias("lo_us"), F.max("t_us").alias("hi_us"))
+    samples = event_samples(spark, sf_dir, mode, device_map).select(
+        "session_id", "device_id", "stream_id", "t_us", "event_id", "value")
+    # stream list and session bounds come from the small bucket-edge table,
+    # so the samples feed one partial aggregate and the main window only
+    # the edge table is small (one row per stream and bucket) and has several
+    # consumers: written once to the checkpoint folder, read by each
+    checkpoint_dir(spark)
+    edges = sample_edges(samples).checkpoint(eager=True)
+    streams = describe_event_streams(edges.select("session_id", "device_id", "stream_id").distinct())
     sync = samples.where(F.col("device_id") == SYNC_EVENT).select("session_id", "t_us") \
         if with_clock else None
-    out = align_samples(
-        samples.select("session_id", "device_id", "stream_id", "t_us", "event_id", "value"),
-        bounds, streams, step_us=step_us, tolerance_us=tolerance_us, order="event_id",
-        sync=sync, tau_us=EVENT_TAU_US)
+    out = align_samples(samples, None, streams, step_us=step_us, tolerance_us=tolerance_us,
+                        order="event_id", sync=sync, tau_us=EVENT_TAU_US, edges=edges)
     out.update(streams=streams, session_meta=event_session_meta(spark, sf_dir, mode))
     return out
 
