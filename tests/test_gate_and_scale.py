@@ -106,3 +106,16 @@ def test_auto_bucket_width_and_content_tree(spark):
     want = hashlib.sha256("".join(l2[p] for p in sorted(l2)).encode()).hexdigest()
     got = pv.content_hash_tree(df).collect()[0]
     assert got.content_hash == want and got.n_leaves == 300
+
+
+def test_exact_median_matches_numpy_with_and_without_ties(spark):
+    import numpy as np
+    from chronoweave.operators.stats import exact_median
+    rng = np.random.default_rng(5)
+    groups = {"ties": np.full(5000, 600.0), "few": rng.integers(0, 4, 3001).astype(float),
+              "rand": rng.standard_normal(4000), "one": np.array([7.0]), "two": np.array([1.0, 4.0])}
+    rows = [(k, float(x)) for k, xs in groups.items() for x in xs]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x").collect()}
+    for k, xs in groups.items():
+        assert got[k] == pytest.approx(float(np.median(xs)), abs=1e-12)
