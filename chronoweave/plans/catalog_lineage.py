@@ -112,7 +112,7 @@ def provenance_q(spark, sf):
     roots = pv.merkle_root(chunks, keys=["session_id"])
     ids = e["session_meta"].select("session_id", pv.dataset_id("session_id").alias("dataset_id"))
     rec = pv.provenance_records(ids, roots, version="0.1.0", schema_version="1.0")
-    return rec.join(pv.content_hash_flat(chunks, keys=["session_id"]), "session_id")
+    return rec.join(pv.content_hash_tree(chunks, keys=["session_id"]).drop("n_leaves"), "session_id")
 
 
 # ---------------------------------------------------------------------------
