@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # checkpoint files of intermediates go away once their DataFrames do
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
