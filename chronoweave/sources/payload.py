@@ -195,6 +195,24 @@ def missing_sources(resolved: DataFrame) -> DataFrame:
     return resolved.where("uri is null")
 
 
+def assert_sources(resolved: DataFrame) -> DataFrame:
+    """Raise ``KeyError`` naming a stream without a payload source."""
+    row = missing_sources(resolved).limit(1).collect()
+    if row:
+        r = row[0]
+        raise KeyError(f"no payload source for stream {r.device_id}::{r.stream_id} "
+                       f"in session {r.session_id!r}")
+    return resolved
+
+
+def assert_uris(refs: DataFrame, col: str = "uri") -> DataFrame:
+    """Raise for a reference that is not ``scheme://rest``."""
+    row = refs.where(uri_scheme(col).isNull()).limit(1).collect()
+    if row:
+        raise SourceError(f"not a payload URI: {row[0][col]!r}")
+    return refs
+
+
 def missing_descriptors(aligned: DataFrame, streams: DataFrame) -> DataFrame:
     """Aligned streams without a descriptor row (must be empty)."""
     return aligned.select(*KEYS).distinct().join(streams.select(*KEYS), KEYS, "left_anti")

@@ -219,3 +219,15 @@ def test_lerobot_directory_layouts(spark, tmp_dir):
     names = sorted(os.path.basename(p) for p in glob.glob(f"{r2}/data/chunk-000/*.parquet"))
     assert names[0] == "episode_000000.parquet" and len(names) == 30
     assert not os.path.exists(f"{r2}/_staging")
+
+
+def test_uri_and_source_assertions(spark):
+    refs = spark.createDataFrame([("s", "A", "x", "parquet:///a.parquet#row=1"), ("s", "B", "x", "plain/path")],
+                                 "session_id string, device_id string, stream_id string, uri string")
+    with pytest.raises(SourceError):
+        pl.assert_uris(refs)
+    pl.assert_uris(refs.where("device_id = 'A'"))
+    aligned = spark.createDataFrame([("s", "A", "x"), ("s", "C", "y")],
+                                    "session_id string, device_id string, stream_id string")
+    with pytest.raises(KeyError):
+        pl.assert_sources(pl.source_map(refs, None, aligned))
