@@ -29,8 +29,9 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     # JVM warm-up (class loading, JIT) on the smallest scale, not on the measured data
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    if os.path.isdir(warm):
-        QUERIES["silver_long"](spark, warm).write.format("noop").mode("overwrite").save()
+    if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
+        for n in names:
+            QUERIES[n](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
     for n in names:
         t0 = time.perf_counter()

@@ -156,9 +156,9 @@ _DIFF_SQL = ("WITH " + q.ctes() + ",\n" + q.ctes(pre="b_", device=_B_DEVICE, tol
              .replace("JOIN rng r", "JOIN b_rng r") + "\n")
 
 
-def _versions(spark, sf):
-    a = _ev(spark, sf, reuse=True)
-    b = _ev(spark, sf, reuse=True, device_map={"error": "fault"}, tolerance_us=_B_TOL)
+def _versions(spark, sf, reuse):
+    a = _ev(spark, sf, reuse=reuse)
+    b = _ev(spark, sf, reuse=reuse, device_map={"error": "fault"}, tolerance_us=_B_TOL)
     return a, b
 
 
@@ -173,7 +173,7 @@ SELECT coalesce(a.session_id, b.session_id) AS session_id, coalesce(a.stream, b.
        round(b.confidence_mean - a.confidence_mean, 6) AS confidence_delta
 FROM summ a FULL OUTER JOIN b_summ b ON a.session_id = b.session_id AND a.stream = b.stream""")
 def dataset_diff_q(spark, sf):
-    a, b = _versions(spark, sf)
+    a, b = _versions(spark, sf, reuse=False)     # one Silver consumer per version
     return insp.diff_streams(insp.summarize_streams(a["silver"], a["streams"]),
                              insp.summarize_streams(b["silver"], b["streams"]))
 
@@ -189,7 +189,7 @@ SELECT coalesce(sa.session_id, sb.session_id) AS session_id, false AS content_ha
        sb.n_grid - sa.n_grid AS n_grid_delta, sa.coverage_min AS a_coverage_min, sb.coverage_min AS b_coverage_min
 FROM sa FULL OUTER JOIN sb ON sa.session_id = sb.session_id""".replace("\n, sa AS", "SELECT 1 AS _x) , sa AS", 0))
 def diff_summary_q(spark, sf):
-    a, b = _versions(spark, sf)
+    a, b = _versions(spark, sf, reuse=True)      # Silver feeds grid and stream summaries
     sa = insp.summarize_sessions(a["silver"], a["streams"], a["grid"], a["session_meta"])
     sb = insp.summarize_sessions(b["silver"], b["streams"], b["grid"], b["session_meta"])
     return insp.diff_sessions(sa, sb)
