@@ -69,13 +69,17 @@ def write_lerobot(spark: SparkSession, silver: DataFrame, streams: DataFrame, me
             fs.rename(Path(parts[0]), Path(dst))
     fs.delete(Path(tmp), True)
 
-    # meta/episodes.jsonl: one small record per episode (session)
-    eps = ex.lerobot_episodes(silver).select("episode_index", "tasks", "length")
-    etmp = f"{root}/_staging_meta"
-    eps.orderBy("episode_index").coalesce(1).write.mode("overwrite").json(etmp)
+    # meta/episodes.jsonl and meta/tasks.jsonl: one small record per episode
+    # (session), written by Spark — session ids never gather on the driver
+    eps = ex.lerobot_episodes(silver)
     fs.mkdirs(Path(f"{root}/meta"))
-    fs.rename(Path(_parts(fs, Path, etmp)[0]), Path(f"{root}/meta/episodes.jsonl"))
-    fs.delete(Path(etmp), True)
+    for name, df in (("episodes", eps.select("episode_index", "tasks", "length")),
+                     ("tasks", eps.select(F.col("episode_index").alias("task_index"),
+                                          F.col("session_id").alias("task")))):
+        etmp = f"{root}/_staging_{name}"
+        df.orderBy(df.columns[0]).coalesce(1).write.mode("overwrite").json(etmp)
+        fs.rename(Path(_parts(fs, Path, etmp)[0]), Path(f"{root}/meta/{name}.jsonl"))
+        fs.delete(Path(etmp), True)
 
     info = ex.lerobot_info(silver, meta, layout).collect()[0].asDict()
     n_ep = info["total_episodes"]
@@ -84,8 +88,7 @@ def write_lerobot(spark: SparkSession, silver: DataFrame, streams: DataFrame, me
     info["features"] = {r.feature: {"dtype": r.dtype, "shape": list(r.shape),
                                     **({"units": r.units} if r.units is not None else {})}
                         for r in ex.lerobot_features(streams).distinct().collect()}
-    info["tasks"] = [r.session_id for r in
-                     silver.select("session_id").distinct().orderBy("session_id").collect()]
+    info["total_tasks"] = n_ep          # one task per episode, listed in meta/tasks.jsonl
     if info["total_chunks"] is None:
         data_dirs = [s.getPath().toString() for s in fs.listStatus(Path(f"{root}/data"))]
         n_files = sum(len(fs.listStatus(Path(d))) for d in data_dirs)

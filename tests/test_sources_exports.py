@@ -214,6 +214,8 @@ def test_lerobot_directory_layouts(spark, tmp_dir):
     assert meta["total_episodes"] == 30 and meta["features"]["timestamp"]["shape"] == [1]
     eps = [json.loads(x) for x in open(f"{r3}/meta/episodes.jsonl")]
     assert [e["episode_index"] for e in eps] == list(range(30))
+    tasks = [json.loads(x) for x in open(f"{r3}/meta/tasks.jsonl")]
+    assert len(tasks) == 30 and meta["total_tasks"] == 30 and tasks[0]["task"] == eps[0]["tasks"][0]
     r2 = os.path.join(tmp_dir, "v2")
     write_lerobot(spark, s, inp["streams"], inp["session_meta"], r2, "v2")
     names = sorted(os.path.basename(p) for p in glob.glob(f"{r2}/data/chunk-000/*.parquet"))
