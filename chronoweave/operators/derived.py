@@ -9,11 +9,13 @@ recorded with the output say. Silver stays raw.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import nan_d, safe_div, shape_width
-from ..schemas import DERIVED_FEATURES, MAG_KIND, STREAM_KEYS
+from ..schemas import DERIVED_FEATURES, DERIVED_FORMULAS, DERIVED_VERSION, MAG_KIND, STREAM_KEYS
 from .stats import exact_median
 
 KEYS = STREAM_KEYS
@@ -119,15 +121,33 @@ def cluster_features(silver: DataFrame, streams: DataFrame, sensors: DataFrame,
         safe_div(total(lambda m: r_of(m) * m["y_m"]), sr).alias("centroid_y_m"))
 
 
+_FORMULA_KEY = {"normal_proxy": "normal_proxy", "shear_x": "shear_x/shear_y", "shear_y": "shear_x/shear_y",
+                "shear_mag": "shear_mag", "centroid_x_m": "centroid_x_m/centroid_y_m",
+                "centroid_y_m": "centroid_x_m/centroid_y_m"}
+_UNITS = {"normal_proxy": "uT", "shear_x": "uT", "shear_y": "uT", "shear_mag": "uT",
+          "centroid_x_m": "m", "centroid_y_m": "m"}
+
+
 def derived_table(long: DataFrame, clusters: list[str]) -> DataFrame:
     """Per (stream, frame): ``t_ref_us``, ``frame_index`` and six float32
-    columns ``derived.<cluster>.<feature>`` per cluster (explicit pivot list)."""
+    columns ``derived.<cluster>.<feature>`` per cluster (explicit pivot list).
+
+    Each feature column carries its formula, units and the derived version as
+    column metadata (kept in the Parquet footer), and ``t_ref_us`` carries the
+    baseline method, the formula registry and the cluster list, so the output
+    is reproducible and never mistaken for measured truth."""
     aggs = []
     for c in clusters:
         hit = F.col("cluster_id") == c
         for f in DERIVED_FEATURES:
-            aggs.append(F.first(F.when(hit, F.col(f)), True).cast("float").alias(f"derived.{c}.{f}"))
-    return long.groupBy(*KEYS, "frame_index", "t_ref_us").agg(*aggs)
+            meta = {"formula": DERIVED_FORMULAS[_FORMULA_KEY[f]], "units": _UNITS[f],
+                    "derived_version": DERIVED_VERSION, "cluster": c}
+            aggs.append(F.first(F.when(hit, F.col(f)), True).cast("float")
+                        .alias(f"derived.{c}.{f}", metadata=meta))
+    out = long.groupBy(*KEYS, "frame_index", "t_ref_us").agg(*aggs)
+    tmeta = {"derived_version": DERIVED_VERSION, "baseline_method": "per_sensor_median_over_valid",
+             "formulas": json.dumps(DERIVED_FORMULAS), "clusters": json.dumps(clusters)}
+    return out.withColumn("t_ref_us", F.col("t_ref_us").alias("t_ref_us", metadata=tmeta))
 
 
 def derived_export(silver, streams, sensors, members) -> DataFrame:

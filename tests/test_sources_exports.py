@@ -233,3 +233,18 @@ def test_uri_and_source_assertions(spark):
                                     "session_id string, device_id string, stream_id string")
     with pytest.raises(KeyError):
         pl.assert_sources(pl.source_map(refs, None, aligned))
+
+
+def test_derived_metadata_survives_parquet(spark, tmp_dir):
+    from chronoweave.sources import driver_tables as dt
+    s = dt.embedding_frames(spark, "/root/testdata/sf0.001")
+    st = dt.embedding_streams(spark)
+    sensors, members = dt.synthetic_topology(spark)
+    out = os.path.join(tmp_dir, "derived")
+    dv.derived_export(s, st, sensors, members).write.parquet(out)
+    back = spark.read.parquet(out)
+    m = back.schema["derived.thumb.normal_proxy"].metadata
+    assert m["units"] == "uT" and "mean_k" in m["formula"] and m["derived_version"] == "1.0"
+    t = back.schema["t_ref_us"].metadata
+    assert t["baseline_method"] == "per_sensor_median_over_valid"
+    assert json.loads(t["clusters"]) == ["thumb", "index", "middle", "ring", "palm"]
