@@ -7,9 +7,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import round6
 from ..functions.uri import normalize_uri, strip_fragment, uri_rest, uri_scheme
-from ..operators import align, inspect as insp
+from ..operators import inspect as insp
 from ..operators import provenance as pv
 from ..operators import silver as sv
 from ..operators.asof import number_rows
@@ -448,5 +447,3 @@ def apply_clock_q(spark, sf):
                                    "device_id string, alpha double, beta double")
     return apply_clock(s, models).select("session_id", "device_id", "event_id", "t_us", "t_ref_us")
 
-
-__all__ = ["align"]

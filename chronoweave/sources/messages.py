@@ -2,7 +2,7 @@
 table ``(session_id, topic, log_time, seq, data JSON)``."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MESSAGE_KIND_MAP
@@ -43,4 +43,4 @@ def events_as_messages(events: DataFrame, session_col: F.Column) -> DataFrame:
                          F.col("event_id").alias("seq"), F.col("props").alias("data"))
 
 
-__all__ = ["scan_messages", "events_as_messages", "flatten_numbers", "Window"]
+__all__ = ["scan_messages", "events_as_messages", "flatten_numbers"]
