@@ -138,8 +138,9 @@ def feature_list(streams: DataFrame) -> list[tuple[str, str, str, int]]:
 
 def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: zstd Parquet partitioned by session, sorted by stream and frame so
-    row-group min/max statistics skip on (device, stream, frame) filters."""
-    (silver.repartition("session_id", "device_id", "stream_id")
+    row-group min/max statistics skip on (device, stream, frame) filters.
+    Range partitioning (sampled bounds) splits a hot stream across writers."""
+    (silver.repartitionByRange("session_id", "device_id", "stream_id", "frame_index")
            .sortWithinPartitions("session_id", "device_id", "stream_id", "frame_index")
            .write.mode(mode).option("compression", "zstd")
            .partitionBy("session_id").parquet(path))

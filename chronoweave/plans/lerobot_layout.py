@@ -56,6 +56,7 @@ def write_lerobot(spark: SparkSession, silver: DataFrame, streams: DataFrame, me
             fs.mkdirs(Path(dst).getParent())
             fs.rename(Path(src), Path(dst))
     else:
+        # v2 is one file per episode by definition: one writer per episode
         (frames.repartition("episode_index").sortWithinPartitions("frame_index")
          .write.mode("overwrite").option("compression", "zstd").partitionBy("episode_index").parquet(tmp))
         for st in fs.listStatus(Path(tmp)):
