@@ -144,3 +144,25 @@ def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
            .sortWithinPartitions("session_id", "device_id", "stream_id", "frame_index")
            .write.mode(mode).option("compression", "zstd")
            .partitionBy("session_id").parquet(path))
+
+
+def feature_sets(streams: DataFrame) -> DataFrame:
+    """(session_id, feature_set, signature): the sorted (feature, width,
+    device, stream) list a session's wide table needs, and its JSON text."""
+    fn = feature_names(streams)
+    fs = fn.groupBy("session_id").agg(
+        F.array_sort(F.collect_list(F.struct("feature", "width", "device_id", "stream_id"))).alias("feature_set"))
+    return fs.withColumn("signature", F.to_json("feature_set"))
+
+
+def silver_wide_by_feature_set(silver: DataFrame, streams: DataFrame) -> list[tuple[list, DataFrame]]:
+    """P8 for heterogeneous sessions: one wide table per distinct feature set
+    (sessions with different devices get their own schema instead of the
+    union of every column). Only the distinct sets reach the driver."""
+    fs = feature_sets(streams)
+    out = []
+    for row in fs.select("signature", "feature_set").distinct().collect():
+        feats = [(x.device_id, x.stream_id, x.feature, int(x.width)) for x in row.feature_set]
+        sess = fs.where(F.col("signature") == row.signature).select("session_id")
+        out.append((feats, silver_wide(silver.join(sess, "session_id", "left_semi"), feats)))
+    return out
