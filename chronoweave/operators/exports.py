@@ -59,14 +59,22 @@ def episodes(silver: DataFrame) -> DataFrame:
 
 def _array_pivot(silver: DataFrame, features) -> DataFrame:
     """(session, frame, t_ref) → ``observation.<f>`` array<float> and
-    ``observation.<f>.confidence`` float32 per feature (no valid column)."""
-    aggs = []
-    for dev, sid, feat, _w in features:
+    ``observation.<f>.confidence`` float32 per feature (no valid column).
+
+    Elements are pivoted as scalars (hash aggregate, codegen) and re-assembled
+    into arrays afterwards; a feature the session lacks stays NULL."""
+    aggs, post = [], []
+    for i, (dev, sid, feat, width) in enumerate(features):
         hit = (F.col("device_id") == dev) & (F.col("stream_id") == sid)
-        aggs.append(F.first(F.when(hit, F.col("value")), True).alias(f"observation.{feat}"))
-        aggs.append(F.first(F.when(hit, F.col("confidence")), True).cast("float")
-                    .alias(f"observation.{feat}.confidence"))
-    return silver.groupBy("session_id", "frame_index", "t_ref_us").agg(*aggs)
+        aggs.append(F.max(F.when(hit, F.lit(1))).alias(f"_h{i}"))
+        for j in range(width):
+            aggs.append(F.first(F.when(hit, F.col("value")[j]), True).alias(f"_v{i}_{j}"))
+        aggs.append(F.first(F.when(hit, F.col("confidence")), True).cast("float").alias(f"_c{i}"))
+        arr = F.array(*[F.col(f"_v{i}_{j}") for j in range(width)])
+        post.append(F.when(F.col(f"_h{i}").isNotNull(), arr).alias(f"observation.{feat}"))
+        post.append(F.col(f"_c{i}").alias(f"observation.{feat}.confidence"))
+    g = silver.groupBy("session_id", "frame_index", "t_ref_us").agg(*aggs)
+    return g.select("session_id", "frame_index", "t_ref_us", *post)
 
 
 @register_export("parquet")
