@@ -135,7 +135,8 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
         if checkpoint_every and rounds % checkpoint_every == 0 and size > 1:
             checkpoint_dir(layer.sparkSession)
             layer = layer.checkpoint(eager=True)
-    root = layer.groupBy(*k).agg(F.max("d").alias("merkle_root"))
+    # after the last round each key holds exactly one node, index 0
+    root = layer.where(F.col("i") == 0).select(*k, F.col("d").alias("merkle_root"))
     out = sizes.join(root, k, "left").select(
         *k, "n_leaves", F.coalesce("merkle_root", F.lit(EMPTY_SHA256)).alias("merkle_root"))
     return out.drop("_all") if not keys else out
