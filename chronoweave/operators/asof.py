@@ -67,6 +67,21 @@ def _bucket_headers(edges: DataFrame, left_buckets: DataFrame, keys: list[str])
     ).where("_hasl")
 
 
+_PACK = 1 << 40
+_HALF = 1 << 39
+
+
+def _unpack(c: str, right_cols: list[str], right: DataFrame):
+    """Inverse of the (t, col) decimal packing → struct(t, col)."""
+    v = F.col(c)
+    t = F.floor(v / F.lit(_PACK).cast("decimal(38,0)"))
+    fields = [t.cast("long").alias("t")]
+    for rc in right_cols:
+        rest = v - t.cast("decimal(38,0)") * F.lit(_PACK).cast("decimal(38,0)") - F.lit(_HALF).cast("decimal(38,0)")
+        fields.append(rest.cast(right.schema[rc].dataType).alias(rc))
+    return F.when(v.isNotNull(), F.struct(*fields))
+
+
 def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t: str,
                    right_t: str, right_cols: list[str], bucket_us: int = DEFAULT_BUCKET_US,
                    prev: str = "prev", nxt: str = "next") -> DataFrame:
@@ -84,8 +99,21 @@ def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t
               .withColumn("_b", _bucket("_t", bucket_us))
               .select(*keys, "_b", "_t", rs.alias("_r")))
     lf = left.withColumn("_t", F.col(left_t).cast("long")).withColumn("_b", _bucket("_t", bucket_us))
-    edges = r.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"),
-                                       F.min("_r").alias("_first"), F.max("_r").alias("_last"))
+    packable = len(right_cols) <= 1 and all(
+        right.schema[c].dataType.typeName() in ("long", "integer", "short") for c in right_cols)
+    if packable:
+        # (t, col) packed into one DECIMAL(38,0) in the same order (col in
+        # [-2^39, 2^39)): min/max stay hash aggregates instead of struct sorts
+        col = (F.col(f"_r.{right_cols[0]}").cast("decimal(38,0)") if right_cols else F.lit(0)) \
+            + F.lit(_HALF).cast("decimal(38,0)")
+        pk = F.col("_r.t").cast("decimal(38,0)") * F.lit(_PACK).cast("decimal(38,0)") + col
+        e = r.withColumn("_pk", pk.cast("decimal(38,0)")).groupBy(*keys, "_b").agg(
+            F.count(F.lit(1)).alias("_cnt"), F.min("_pk").alias("_pf"), F.max("_pk").alias("_pl"))
+        edges = e.select(*keys, "_b", "_cnt", _unpack("_pf", right_cols, right).alias("_first"),
+                         _unpack("_pl", right_cols, right).alias("_last"))
+    else:
+        edges = r.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"),
+                                           F.min("_r").alias("_first"), F.max("_r").alias("_last"))
     lb = lf.select(*keys, "_b").distinct().withColumn("_hasl", F.lit(True))
     hdr = _bucket_headers(edges, lb, keys)
     rtype = r.schema["_r"].dataType

@@ -55,8 +55,8 @@ def test_asof_is_bucket_size_invariant(spark):
 def test_asof_neighbors_against_bruteforce(spark):
     import random
     rnd = random.Random(3)
-    left = [("k", i, rnd.randrange(0, 10_000)) for i in range(200)]
-    right = [("k", j, rnd.randrange(0, 10_000)) for j in range(50)]
+    left = [("k", i, rnd.randrange(-5_000, 12_000)) for i in range(200)]
+    right = [("k", j - 25, rnd.randrange(-3_000, 10_000)) for j in range(50)]   # negative ids and times
     L = spark.createDataFrame(left, "key string, id long, t long")
     R = spark.createDataFrame(right, "key string, rid long, t long")
     nb = asof_neighbors(L, R, ["key"], left_t="t", right_t="t", right_cols=["rid"], bucket_us=700)
