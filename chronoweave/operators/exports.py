@@ -189,7 +189,10 @@ def trainer_batches(silver: DataFrame, streams: DataFrame, meta=None, *,
         F.array_sort(F.collect_list(F.struct(
             "frame_index", "value", F.col("confidence").cast("float").alias("c"),
             F.col("valid").cast("tinyint").alias("v"), seconds("t_ref_us").alias("ts")))).alias("_r"))
-    return g.select("session_id", "feature", "batch_id",
+    # the HDF5 layout's num_samples / total attributes: frames of the session
+    n = silver.groupBy("session_id").agg(F.countDistinct("frame_index").alias("num_samples"))
+    return g.join(n, "session_id").select(
+                    "session_id", "feature", "batch_id", "num_samples",
                     F.col("_r")[0]["frame_index"].alias("frame_start"),
                     F.size("_r").alias("n_frames"),
                     F.transform("_r", lambda x: x["value"]).alias("values"),

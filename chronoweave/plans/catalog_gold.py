@@ -110,12 +110,15 @@ def message_log_export_q(spark, sf):
 
 @register("trainer_batches", q.with_(f"""
 SELECT s.session_id, f.feature, s.frame_index // {ex.TRAINER_BATCH_FRAMES} AS batch_id,
+       any_value(n.num_samples) AS num_samples,
        min(s.frame_index) AS frame_start, count(*)::INT AS n_frames,
        list(s.value ORDER BY s.frame_index) AS "values",
        list(s.confidence::FLOAT ORDER BY s.frame_index) AS confidence,
        list(s.valid::TINYINT ORDER BY s.frame_index) AS valid,
        list((s.t_ref_us / 1e6)::FLOAT ORDER BY s.frame_index) AS timestamp
-FROM sl s JOIN feat f USING (session_id, device_id, stream_id) GROUP BY 1, 2, 3"""))
+FROM sl s JOIN feat f USING (session_id, device_id, stream_id)
+JOIN (SELECT session_id, count(DISTINCT frame_index) AS num_samples FROM sl GROUP BY 1) n USING (session_id)
+GROUP BY 1, 2, 3"""))
 def trainer_batches_q(spark, sf):
     e = _ev(spark, sf)
     return ex.trainer_batches(e["silver"], e["streams"])
