@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import LEROBOT_DATA_PATH, ROBOT_TYPE, STREAM_KEYS, TRAINER_BATCH_FRAMES
-from .silver import feature_list, feature_names, silver_wide
+from .silver import feature_list, feature_names, silver_wide, with_feature
 
 KEYS = STREAM_KEYS
 _REGISTRY: dict[str, Callable[..., DataFrame]] = {}
@@ -64,8 +64,11 @@ def _array_pivot(silver: DataFrame, features) -> DataFrame:
     Elements are pivoted as scalars (hash aggregate, codegen) and re-assembled
     into arrays afterwards; a feature the session lacks stays NULL."""
     aggs, post = [], []
+    named = "feature" in silver.columns
     for i, (dev, sid, feat, width) in enumerate(features):
         hit = (F.col("device_id") == dev) & (F.col("stream_id") == sid)
+        if named:
+            hit = hit & (F.col("feature") == feat)
         aggs.append(F.max(F.when(hit, F.lit(1))).alias(f"_h{i}"))
         for j in range(width):
             aggs.append(F.first(F.when(hit, F.col("value")[j]), True).alias(f"_v{i}_{j}"))
@@ -80,14 +83,14 @@ def _array_pivot(silver: DataFrame, features) -> DataFrame:
 @register_export("parquet")
 def parquet_rows(silver: DataFrame, streams: DataFrame, meta=None, **_) -> DataFrame:
     """K2: the wide Silver projection as-is."""
-    return silver_wide(silver, feature_list(streams))
+    return silver_wide(with_feature(silver, streams), feature_list(streams))
 
 
 @register_export("lerobot")
 def lerobot_frames(silver: DataFrame, streams: DataFrame, meta=None, **_) -> DataFrame:
     """K3: LeRobot frame rows; one session = one episode, task = its session."""
     ep = episodes(silver)
-    p = _array_pivot(silver, feature_list(streams)).join(ep, "session_id")
+    p = _array_pivot(with_feature(silver, streams), feature_list(streams)).join(ep, "session_id")
     obs = [c for c in p.columns if c.startswith("observation.")]
     return p.select("session_id", *[F.col(f"`{c}`") for c in obs],
                     seconds("t_ref_us").alias("timestamp"), "frame_index", "episode_index",
@@ -139,7 +142,7 @@ def rlds_steps(silver: DataFrame, streams: DataFrame, meta=None, **_) -> DataFra
 
     First/last come from the per-session frame bounds (a small aggregate
     joined back), not from a window over the whole episode (W3)."""
-    p = _array_pivot(silver, feature_list(streams))
+    p = _array_pivot(with_feature(silver, streams), feature_list(streams))
     b = p.groupBy("session_id").agg(F.min("frame_index").alias("_f0"), F.max("frame_index").alias("_f1"))
     obs = [c for c in p.columns if c.startswith("observation.")]
     j = p.join(b, "session_id")

@@ -113,8 +113,11 @@ def silver_wide(silver: DataFrame, features: list[tuple[str, str, str, int]]) ->
     the output schema is fixed. Features absent in a session are NULL.
     """
     aggs = []
+    named = "feature" in silver.columns
     for dev, sid, feat, width in features:
         hit = (F.col("device_id") == dev) & (F.col("stream_id") == sid)
+        if named:      # names are decided per session (see with_feature)
+            hit = hit & (F.col("feature") == feat)
         # scalar first() per element keeps the aggregate hash-based and codegen'd
         for j in range(width):
             aggs.append(F.first(F.when(hit, F.col("value")[j]), True).cast("float")
@@ -125,6 +128,12 @@ def silver_wide(silver: DataFrame, features: list[tuple[str, str, str, int]]) ->
     return silver.groupBy("session_id", "frame_index", "t_ref_us").agg(*aggs)
 
 
+def with_feature(silver: DataFrame, streams: DataFrame) -> DataFrame:
+    """Attach each row's per-session feature name, so pivots over several
+    sessions put a stream under the name its own session gives it."""
+    return silver.join(feature_names(streams).select(*KEYS, "feature"), KEYS)
+
+
 def feature_list(streams: DataFrame) -> list[tuple[str, str, str, int]]:
     """The pivot list: distinct (device, stream, feature, width) over sessions.
 

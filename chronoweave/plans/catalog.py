@@ -217,7 +217,7 @@ def _wide_sql():
 @register("silver_wide", _wide_sql())
 def silver_wide_q(spark, sf):
     e = _ev(spark, sf)
-    return sv.silver_wide(e["silver"], sv.feature_list(e["streams"]))
+    return sv.silver_wide(sv.with_feature(e["silver"], e["streams"]), sv.feature_list(e["streams"]))
 
 
 # ---------------------------------------------------------------------------
