@@ -55,7 +55,8 @@ def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,
     a = alignment
     if "kernel" in a.columns:
         a = a.drop("kernel")
-    # Every aligned stream needs a descriptor row (inner join; see assert_descriptors)
+    # Every aligned stream needs a descriptor row (inner join; the rows it
+    # would drop are reported by sources.payload.missing_descriptors)
     a = a.join(st, KEYS)
     if "t_ref_us" not in a.columns:
         if grid is None:
