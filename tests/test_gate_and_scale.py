@@ -52,14 +52,15 @@ def test_asof_is_bucket_size_invariant(spark):
     assert big == small
 
 
-def test_asof_neighbors_against_bruteforce(spark):
+@pytest.mark.parametrize("bucket", [1, 700, 10**12])
+def test_asof_neighbors_against_bruteforce(spark, bucket):
     import random
     rnd = random.Random(3)
     left = [("k", i, rnd.randrange(-5_000, 12_000)) for i in range(200)]
     right = [("k", j - 25, rnd.randrange(-3_000, 10_000)) for j in range(50)]   # negative ids and times
     L = spark.createDataFrame(left, "key string, id long, t long")
     R = spark.createDataFrame(right, "key string, rid long, t long")
-    nb = asof_neighbors(L, R, ["key"], left_t="t", right_t="t", right_cols=["rid"], bucket_us=700)
+    nb = asof_neighbors(L, R, ["key"], left_t="t", right_t="t", right_cols=["rid"], bucket_us=bucket)
     got = {r.id: (r.prev.rid if r.prev else None, r.next.rid if r.next else None) for r in nb.collect()}
     for _k, i, t in left:
         prev = max(((rt, rid) for _k2, rid, rt in right if rt <= t), default=None)
