@@ -9,6 +9,7 @@ from ..operators import derived as dv
 from ..operators import exports as ex
 from ..operators.grid import grid_from_bounds
 from ..operators.subframe import compute_R, subframes
+from ..schemas import DATASET_ID_PREFIX
 from ..sources import driver_tables as dt
 from . import sql_events as q
 from .catalog import KEYS, _ev, register
@@ -85,8 +86,8 @@ def rlds_steps_q(spark, sf):
 @register("rlds_episodes", q.with_("""
 SELECT session_id AS episode_id, 'unknown' AS outcome, count(DISTINCT frame_index) AS num_steps,
        '0.1.0' AS version, session_id,
-       'ds_' || session_id || '_' || substr(sha256('sentrix-dataset::' || session_id), 1, 12) AS dataset_id
-FROM sl GROUP BY session_id"""))
+       'ds_' || session_id || '_' || substr(sha256('{DATASET_ID_PREFIX}' || session_id), 1, 12) AS dataset_id
+FROM sl GROUP BY session_id""".replace("{DATASET_ID_PREFIX}", DATASET_ID_PREFIX)))
 def rlds_episodes_q(spark, sf):
     from ..operators.provenance import dataset_id
     e = _ev(spark, sf)

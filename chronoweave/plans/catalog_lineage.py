@@ -13,7 +13,7 @@ from ..operators import provenance as pv
 from ..operators import silver as sv
 from ..operators.asof import number_rows
 from ..operators.grid import apply_clock
-from ..schemas import MAG_KIND, TEMP_KIND
+from ..schemas import DATASET_ID_PREFIX, MAG_KIND, TEMP_KIND
 from ..sources import driver_tables as dt
 from ..sources import messages as msg
 from ..sources import payload as pl
@@ -23,7 +23,7 @@ from .catalog import KEYS, _ev, register
 # ---------------------------------------------------------------------------
 # K11–K15 on event sessions and document digests
 # ---------------------------------------------------------------------------
-_DSID = "'ds_' || session_id || '_' || substr(sha256('sentrix-dataset::' || session_id), 1, 12)"
+_DSID = f"'ds_' || session_id || '_' || substr(sha256('{DATASET_ID_PREFIX}' || session_id), 1, 12)"
 
 
 @register("dataset_id", q.with_(f"SELECT session_id, {_DSID} AS dataset_id FROM meta"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.operators import derived as dv
 from chronoweave.operators import exports as ex
-from chronoweave.schemas import ACCEL_KIND, MAG_KIND, TEMP_KIND
+from chronoweave.schemas import ACCEL_KIND, MAG_KIND, SENSOR_META_KEYS, TEMP_KIND
 from chronoweave.sources import messages as msg
 from chronoweave.sources import payload as pl
 from chronoweave.sources.payload import SourceError
@@ -32,7 +32,7 @@ def _write_sensor_file(path, meta=True):
         cols[f"dyn.{sid}.temp_c"] = pa.array(np.full(8, 25 + k, dtype=np.float32))
     t = pa.table(cols)
     if meta:
-        t = t.replace_schema_metadata({b"sentrixsim_meta": json.dumps(
+        t = t.replace_schema_metadata({SENSOR_META_KEYS[0].encode(): json.dumps(
             {"bmm_sensor_ids": bmm, "lis_sensor_ids": lis}).encode(), b"other": b"{not json"})
     pq.write_table(t, path)
 
