@@ -134,3 +134,10 @@ def test_generic_asof_alignment_equals_fused_pass(spark):
     cols = ["session_id", "device_id", "stream_id", "frame_index", "source_index", "next_index", "valid",
             "weight", F.round("conf_clock", 9).alias("c"), F.round("conf_interp", 9).alias("i")]
     assert sorted(gen.select(*cols).collect()) == sorted(inp["alignment"].select(*cols).collect())
+
+
+def test_auto_bucket_inputs_match_default(spark):
+    cols = ["session_id", "device_id", "frame_index", "source_index", "next_index", "valid", "weight"]
+    a = dt.event_inputs(spark, SF)["alignment"].select(*cols).collect()
+    b = dt.event_inputs(spark, SF, bucket_us="auto")["alignment"].select(*cols).collect()
+    assert sorted(a) == sorted(b)
