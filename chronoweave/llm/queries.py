@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, substring_dedup, token_files
+from . import line_dedup, near_dedup, packing, sharding, substring_dedup, token_counts, token_files, topk, toxicity
 from ._common import scratch, table
 
 N_SHARDS = 40
@@ -31,5 +31,54 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_files, op3_substring_dedup)}
-ORACLE: dict[str, str] = {}
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token that crosses lines counts where most of it is."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 512 to 8192 tokens."""
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best integer inner products of every 50th vector with all others."""
+    return topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+LINE_SITES = 8
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that eight or more sources share."""
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"), sites=LINE_SITES)
+    return out.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from the labels outside the held-out fold."""
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_token_files, op3_substring_dedup, op4_token_counts, op5_best_fit_packing,
+    op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity)}
+
+ORACLE: dict[str, str] = {
+    "op7_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op8_line_dedup": line_dedup.ORACLE.format(sites=LINE_SITES),
+}
