@@ -201,7 +201,7 @@ def test_packing(spark, make_docs):
 def test_topk(spark):
     r = np.random.default_rng(3)
     rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(400, 6)).round(1))]
-    rows += [(400, None), (401, [1.0, None, 0, 0, 0, 0]), (450, [float("nan")] * 6), (500, [float("inf")] * 6), (None, [1.0] * 6), (550, [0.0] * 6),
+    rows += [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (450, [float("nan")] * 6), (500, [float("inf")] * 6), (None, [1.0] * 6), (550, [0.0] * 6),
              (600, rows[0][1]), (600, rows[0][1]), (650, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS v", "2 AS c", "3 AS rank")
     out = topk.exact_topk(df, df.vec_id % 50 == 0, rows_per_block=64, queries_per_block=3)
