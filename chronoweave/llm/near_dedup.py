@@ -25,42 +25,33 @@ def shingle_hashes(words: list[bytes], hashes: WordHashes, roll: Rolling) -> np.
     return h
 
 
-def prob_min_hash(ids: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
-    """ProbMinHash signature: per register the element whose arrival there came first.
+def prob_min_hash(ids: np.ndarray, weights: np.ndarray, of: np.ndarray, n: int, m: int) -> np.ndarray:
+    """ProbMinHash signatures of ``n`` weighted sets, an ``n`` by ``m`` array: per register the
+    element whose arrival there came first. ``of`` is the set of each element.
 
     Every element is a Poisson process of rate ``weight``; each arrival falls on a random
-    register. An element stops once its next arrival is later than the latest register
-    (early termination): later arrivals can change nothing. The share of equal registers of
-    two signatures estimates their probability Jaccard similarity.
+    register. An element stops once its next arrival is later than the latest register of its
+    set (early termination): later arrivals can change nothing. The share of equal registers of
+    two signatures estimates their probability Jaccard similarity. The sets go through their
+    arrivals together, so that each turn is a few operations on long arrays.
     """
-    first = np.full(m, np.inf)
-    out = np.zeros(m, _U)
-    time = np.zeros(len(ids))
-    alive = np.arange(len(ids))
-    turn = 0
-    with np.errstate(over="ignore"):
-        while len(alive):
-            r = mix64(ids[alive], 11 + turn)
-            u = ((r >> _U(11)).astype(np.float64) + 0.5) * 2.0 ** -53
-            t = time[alive] - np.log(u) / weights[alive]
-            time[alive] = t
-            worst = first.max()
-            ok = t < worst
-            alive, t = alive[ok], t[ok]
-            if not len(alive):
-                break
-            k = (mix64(ids[alive], 1_000_003 + turn) % _U(m)).astype(np.int64)
-            by = np.lexsort((ids[alive], t))[::-1]  # the earliest is written last
-            kk, tt = k[by], t[by]
-            cand = np.full(m, np.inf)
-            who = np.zeros(m, _U)
-            cand[kk] = tt
-            who[kk] = ids[alive][by]
-            new = cand < first
-            first[new], out[new] = cand[new], who[new]
-            alive = alive[t < first.max()]
-            turn += 1
-    return out
+    first = np.full(n * m, np.inf)
+    out = np.zeros(n * m, _U)
+    time, turn = np.zeros(len(ids)), 0
+    worst = np.full(n, np.inf)
+    while len(ids):
+        r = mix64(ids, 11 + turn)
+        time = time - np.log(((r >> _U(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / weights
+        ok = time < worst[of]
+        ids, weights, of, time = ids[ok], weights[ok], of[ok], time[ok]
+        slot = of * m + (mix64(ids, 1_000_003 + turn) % _U(m)).astype(np.int64)
+        np.minimum.at(first, slot, time)
+        won = first[slot] == time
+        out[slot[won]] = ids[won]
+        left = np.flatnonzero(np.bincount(of, minlength=n))
+        worst[left] = first.reshape(n, m)[left].max(axis=1)
+        turn += 1
+    return out.reshape(n, m)
 
 
 def text_id(text: bytes) -> int:
@@ -73,29 +64,46 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
     words give no row."""
     m = bands * rows
 
+    def sign_sets(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        ids, weights = (np.concatenate(x) for x in zip(*sets))
+        of = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
+        s = prob_min_hash(ids, weights, of, len(sets), m).reshape(len(sets), bands, rows)
+        code = np.zeros((len(sets), bands), _U)
+        for j in range(rows):
+            code = mix64(code ^ s[:, :, j], j)
+        return code.view(np.int64)
+
     def sign(batches):
         hashes, roll = WordHashes(), Rolling(width)
+
+        def out(keys, same, sets):
+            codes = np.zeros((len(keys), bands), np.int64)
+            order = np.argsort([len(x) for x, _ in sets], kind="stable")  # alike sizes take alike turns
+            for lo in range(0, len(order), 256):
+                part = order[lo:lo + 256]
+                codes[part] = sign_sets([sets[i] for i in part])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(same, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(codes.reshape(-1)))],
+                names=["k", "v", "bands"])
+
         for b in batches:
-            keys, same, out = [], [], []
+            keys, same, sets, held = [], [], [], 0
             for k, t in zip(b.column(0).to_pylist(), b.column(1)):
                 t = t.as_py()
                 h = shingle_hashes(t.split(), hashes, roll)
                 if not len(h):
                     continue
                 ids, n = np.unique(h, return_counts=True)
-                s = prob_min_hash(ids, 1.0 + np.log(n), m).reshape(bands, rows)
-                with np.errstate(over="ignore"):
-                    key_ = np.zeros(bands, _U)
-                    for j in range(rows):
-                        key_ = mix64(key_ ^ s[:, j], j)
                 keys.append(k)
                 same.append(text_id(t))
-                out.append(key_.view(np.int64))
-            flat = np.concatenate(out) if out else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(same, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(flat))],
-                names=["k", "v", "bands"])
+                sets.append((ids, 1.0 + np.log(n)))
+                held += len(ids)
+                if held > 3_000_000:
+                    yield out(keys, same, sets)
+                    keys, same, sets, held = [], [], [], 0
+            if keys:
+                yield out(keys, same, sets)
 
     return (docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), utf8(text).alias("t"))
             .mapInArrow(sign, "k long, v long, bands array<long>"))

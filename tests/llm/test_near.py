@@ -73,8 +73,8 @@ def test_prob_min_hash_estimates_probability_jaccard():
     wa, wb = np.ones(300), np.ones(300)
     wa[:50], wb[50:100], wb[100:150] = 4.0, 0.0, 3.0
     keep = wb > 0
-    a = near_dedup.prob_min_hash(ids, wa, 4096)
-    b = near_dedup.prob_min_hash(ids[keep], wb[keep], 4096)
+    both_ids, both_w = np.concatenate((ids, ids[keep])), np.concatenate((wa, wb[keep]))
+    a, b = near_dedup.prob_min_hash(both_ids, both_w, np.repeat([0, 1], [300, keep.sum()]), 2, 4096)
     x, y = wa / wa.sum(), wb / wb.sum()
     both = (x > 0) & (y > 0)
     want = sum(1 / np.maximum(x / x[i], y / y[i]).sum() for i in np.flatnonzero(both))
