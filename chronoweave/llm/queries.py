@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dedup, packing, sharding, substring_dedup, token_counts, token_files, topk, toxicity
+from . import (decontamination, line_dedup, near_dedup, packing, sharding, substring_dedup, token_counts, token_files,
+               topk, toxicity)
 from ._common import scratch, table
 
 N_SHARDS = 40
@@ -41,6 +42,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items whose passages they hold, also re-parameterised."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best integer inner products of every 50th vector with all others."""
     return topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -68,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_token_files, op3_substring_dedup, op4_token_counts, op5_best_fit_packing,
-    op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity)}
+    op6_decontamination, op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op7_exact_topk": """
@@ -80,5 +86,6 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS D
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
+    "op6_decontamination": decontamination.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE.format(sites=LINE_SITES),
 }

@@ -261,8 +261,8 @@ class Scorer:
         return min(1.0, max(0.0, 1 - rest))
 
 
-def choose(rows: list[tuple[int, list[int]]], names: list[str], *, least: int = 3, purity: float = 0.8) -> tuple[float, dict[str, float]]:
-    """Features that explain the toxic rows, most telling first: each must be right in ``purity``
+def choose(rows: list[tuple[int, list[int]]], names: list[str], *, least: int = 3, purity: float = 0.9) -> tuple[float, dict[str, float]]:
+    """Features that explain the toxic rows, most telling first (many toxic rows, and hardly any other): each must be right in ``purity``
     of the rows that no chosen feature covers yet, and cover ``least`` toxic ones of them. A word
     that only accompanies a chosen one explains nothing more and is left out. Returns the share
     of toxic rows among the uncovered, and each feature's smoothed share among all its rows."""
@@ -281,7 +281,7 @@ def choose(rows: list[tuple[int, list[int]]], names: list[str], *, least: int =
         if t < least or t < purity * len(left):
             return 0.0
         # at equal counts the longest stem and, before it, the whole word win: they say no more than was seen
-        return t * (t + 0.5) / (len(left) + 1.0) + (1e-5 * len(names[f]) if names[f].endswith("*") else 1e-3)
+        return t * ((t + 0.5) / (len(left) + 1.0)) ** 8 + (1e-5 * len(names[f]) if names[f].endswith("*") else 1e-3)
 
     heap = [(-g, f) for f in range(len(names)) if (g := gain(f))]
     heapq.heapify(heap)
@@ -353,7 +353,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc
         yield out()
 
     counted = rows.mapInArrow(count, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    telling = (counted.where("t >= 3 AND t >= 0.8 * (t + c)").orderBy(F.desc(F.expr("t * (t + 0.5) / (t + c + 1.0)")), "f")
+    telling = (counted.where("t >= 3 AND t >= 0.9 * (t + c)").orderBy(F.desc(F.expr("t * (t + 0.5) / (t + c + 1.0)")), "f")
                .limit(most_features).select("f").collect())
     names = [r["f"] for r in telling]
     at = {f: i for i, f in enumerate(names)}
