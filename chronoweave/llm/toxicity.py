@@ -322,7 +322,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc
               .groupBy(F.col(key).cast("long").alias("k")).agg(F.max(label).cast("int").alias("y")))
     n = usable.count()
     sample = usable.where(in_sample(F.col("k"), min(1.0, fit_rows / max(1, n))))
-    rows = (docs.select(F.col(key).cast("long").alias("k"), utf8(text).alias("t")).join(sample, "k")
+    # about fit_rows pairs of two numbers at most, whatever the tables hold: texts stay where they are
+    rows = (docs.select(F.col(key).cast("long").alias("k"), utf8(text).alias("t")).join(F.broadcast(sample), "k")
             .select("y", "t"))
     cost = docs.sparkSession.sparkContext.broadcast(model)  # SYMBOLS**ORDER numbers
 
