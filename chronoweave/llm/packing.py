@@ -90,7 +90,7 @@ def best_fit_packing(docs: DataFrame, *, lengths: tuple[int, ...] = LENGTHS, tok
     groups = max(1, -(-docs.count() // docs_per_group))
 
     def measure(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, 300_000)
         for b in batches:
             keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             n = np.array([len(x) // 4 + end_ids for x in enc.encode_many(texts)], np.int64)

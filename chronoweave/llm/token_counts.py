@@ -66,7 +66,7 @@ def token_counts(docs: DataFrame, *, sections: Callable[[str], np.ndarray] = lin
     kind = (pa.float64(), "double") if rule == "share" else (pa.int64(), "long")
 
     def count(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, 300_000)
         for b in batches:
             keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for lo in range(0, len(texts), 512):

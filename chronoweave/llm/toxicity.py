@@ -58,7 +58,7 @@ def gram_counts(docs: DataFrame, *, text: str = "text") -> DataFrame:
             words: Counter = Counter()
             for t in b.column(0):
                 words.update(_WORD.findall(t.as_py().decode("utf-8", "replace").lower()))
-                if len(words) > 400_000:
+                if len(words) > 200_000:
                     _add(total, words)
                     words.clear()
             _add(total, words)
@@ -181,7 +181,7 @@ class Restorer:
     """Words of a text, with suspicious stretches restored. Results by token are remembered up to
     ``limit`` tokens."""
 
-    def __init__(self, model: CharModel, limit: int = 300_000, longest: int = 400):
+    def __init__(self, model: CharModel, limit: int = 150_000, longest: int = 400):
         self.model, self.limit, self.longest = model, limit, longest
         self.memo: dict[str, tuple[str, ...]] = {}
 
@@ -228,7 +228,7 @@ class Restorer:
 STEMS = (4, 5, 6, 7, 8)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=30_000)
 def features(word: str) -> tuple[str, ...]:
     """The word and its beginnings of 4 to 8 letters, where these are not the word."""
     return (word, *(word[:k] + "*" for k in STEMS if len(word) > k))
@@ -244,7 +244,7 @@ class Scorer:
     def hits(self, words: set[str]) -> set[str]:
         out: set[str] = set()
         memo, chance = self.memo, self.chance
-        if len(memo) > 500_000:
+        if len(memo) > 200_000:
             memo.clear()
         for w in words:
             got = memo.get(w)
@@ -347,7 +347,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc
             into = toxic if y else clean
             for f in fs:
                 into[f] = into.get(f, 0) + 1
-            if len(toxic) + len(clean) > 400_000:
+            if len(toxic) + len(clean) > 250_000:
                 yield out()
                 toxic.clear()
                 clean.clear()
