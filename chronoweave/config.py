@@ -57,6 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cw-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="cw-ckpt-")  # one machine only
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -55,9 +55,8 @@ def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,
     a = alignment
     if "kernel" in a.columns:
         a = a.drop("kernel")
-    # Every aligned stream needs a descriptor row (inner join; the rows it
-    # would drop are reported by sources.payload.missing_descriptors)
-    a = a.join(st, KEYS)
+    # Every aligned stream needs a descriptor row; one without raises below
+    a = a.join(st, KEYS, "left")
     if "t_ref_us" not in a.columns:
         if grid is None:
             raise AlignmentError("alignment has no t_ref_us and no grid was given")
@@ -66,7 +65,13 @@ def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,
     g = gather(a, payload)
     width = shape_width("shape")
     kern = F.col("kernel")
-    value = (F.when(F.col("_a_val").isNull(), nan_array(width))
+    place = F.concat_ws("/", *KEYS, F.col("frame_index").cast("string"))
+    wants = F.col("valid") & (F.col("source_index") >= 0)
+    wants_next = wants & (kern == "continuous") & (F.col("next_index") >= 0)
+    value = (F.when(F.col("shape").isNull(), F.raise_error(F.concat(F.lit("stream without a descriptor: "), place)))
+              .when((wants & F.col("_a_val").isNull()) | (wants_next & F.col("_b_val").isNull()),
+                    F.raise_error(F.concat(F.lit("index past the payload: "), place)))
+              .when(F.col("_a_val").isNull(), nan_array(width))
               .when((kern == "continuous") & F.col("_b_val").isNotNull(),
                     blend("_a_val", "_b_val", "weight"))
               .otherwise(F.col("_a_val")))

@@ -41,7 +41,7 @@ def cluster_map(sensors: DataFrame, members: DataFrame) -> DataFrame:
     w = Window.partitionBy("topology_ref").orderBy("ord")
     mag = mag.withColumn("ord", (F.row_number().over(w) - 1).cast("int"))
     m = members.join(mag, ["topology_ref", "sensor_id"])
-    has = members.select("topology_ref").distinct()
+    has = m.select("topology_ref").distinct()
     solo = (mag.join(has, "topology_ref", "left_anti")
                .select("topology_ref", F.col("sensor_id").alias("cluster_id"),
                        F.col("ord").alias("cluster_ord"), "sensor_id", "ord", "x_m", "y_m"))
@@ -154,11 +154,13 @@ def derived_export(silver, streams, sensors, members) -> DataFrame:
     """K9: the derived table for every magnetic stream (keyed by device and
     stream, so two magnetic streams of one device never overwrite)."""
     if not magnetic_streams(streams).limit(1).collect():
-        raise DerivedError(f"derived exporter found no magnetic stream (payload_kind={MAG_KIND!r})")
+        raise DerivedError(f"no stream of kind {MAG_KIND!r} to derive features from")
     no_topo = magnetic_streams(streams).where("topology_ref is null").limit(1).collect()
     if no_topo:
-        raise DerivedError(f"derived exporter needs a topology descriptor for device "
-                           f"{no_topo[0].device_id!r}")
+        raise DerivedError(f"device {no_topo[0].device_id!r} has no topology")
+    odd = topology_size_mismatch(magnetic_streams(streams), sensors).limit(1).collect()
+    if odd:
+        raise DerivedError(f"stream {odd[0].stream_id!r} of {odd[0].device_id!r} and its topology differ in sensors")
     clusters = [r.cluster_id for r in cluster_map(sensors, members)
                 .select("cluster_id", "cluster_ord").distinct().orderBy("cluster_ord", "cluster_id")
                 .collect()]

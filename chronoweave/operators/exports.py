@@ -2,7 +2,7 @@
 
 Every exporter is a DataFrame function ``fn(silver, streams, meta, **opts)``
 returning the rows of its format; ``write_export`` writes them. Formats are
-registered by name (the registry mirrors the reference's exporter registry).
+registered by name.
 """
 from __future__ import annotations
 
@@ -87,9 +87,14 @@ def parquet_rows(silver: DataFrame, streams: DataFrame, meta=None, **_) -> DataF
 
 
 @register_export("lerobot")
-def lerobot_frames(silver: DataFrame, streams: DataFrame, meta=None, **_) -> DataFrame:
-    """K3: LeRobot frame rows; one session = one episode, task = its session."""
+def lerobot_frames(silver: DataFrame, streams: DataFrame, meta=None, *,
+                   dataset_per_session: bool = False, **_) -> DataFrame:
+    """K3: LeRobot frame rows; one session = one episode, task = its session. With
+    ``dataset_per_session`` episodes and rows are numbered within each session's own dataset."""
     ep = episodes(silver)
+    if dataset_per_session:
+        zero = F.lit(0).cast("long")
+        ep = ep.withColumn("episode_index", zero).withColumn("index_offset", zero)
     p = _array_pivot(with_feature(silver, streams), feature_list(streams)).join(ep, "session_id")
     obs = [c for c in p.columns if c.startswith("observation.")]
     return p.select("session_id", *[F.col(f"`{c}`") for c in obs],

@@ -44,16 +44,24 @@ def release_gate(metrics: DataFrame, checks: DataFrame | None = None, *,
     missing = (F.lit(1.0) - F.col("coverage_min")) * 100.0
     resid = F.coalesce(F.col("sync_resid_us").cast("double"), F.lit(0.0))
     conf = F.col("label_confidence")
+
+    # Spark orders NaN above every number: a NaN figure meets no band and trips no hard limit
+    def below(x, limit):
+        return ~F.isnan(x) & (x < limit)
+
+    def at_least(x, limit):
+        return ~F.isnan(x) & (x >= limit)
+
     crit = F.coalesce(F.col("critical_failed"), F.lit(False))
     anyf = F.coalesce(F.col("any_failed"), F.lit(False))
     hf, rel, ct = th["hard_fail"], th["release"], th["certified"]
-    hard = ((missing >= hf["missing_frame_pct"]) | (resid >= hf["sync_resid_us"])
-            | (conf < hf["label_confidence"])
+    hard = (at_least(missing, hf["missing_frame_pct"]) | at_least(resid, hf["sync_resid_us"])
+            | below(conf, hf["label_confidence"])
             | (F.lit(bool(hf.get("require_lineage_signed", True))) & ~signed) | crit)
-    publishable = ((missing < rel["missing_frame_pct"]) & (resid < rel["sync_resid_us"])
-                   & (conf >= rel["label_confidence"]) & ~anyf)
-    certified = ((missing < ct["missing_frame_pct"]) & (resid < ct["sync_resid_us"])
-                 & (conf >= ct["label_confidence"]))
+    publishable = (below(missing, rel["missing_frame_pct"]) & below(resid, rel["sync_resid_us"])
+                   & at_least(conf, rel["label_confidence"]) & ~anyf)
+    certified = (below(missing, ct["missing_frame_pct"]) & below(resid, ct["sync_resid_us"])
+                 & at_least(conf, ct["label_confidence"]))
     raw = (F.when(hard, "BLOCKED").when(~publishable, "NEEDS_REVIEW")
             .when(certified, "CERTIFIED").otherwise("RELEASE"))
     ceiling = F.coalesce(F.upper(F.col("sync_verdict")), F.lit("CERTIFIED"))

@@ -120,6 +120,9 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
     layer = layer.checkpoint(eager=True)
     sizes = layer.groupBy(*k).agg(F.count(F.lit(1)).alias("n_leaves"))
     nmax = sizes.agg(F.max("n_leaves")).collect()[0][0] or 0
+    if not nmax and not keys:
+        return digests.sparkSession.range(1).select(F.lit(0).cast("long").alias("n_leaves"),
+                                                    F.lit(EMPTY_SHA256).alias("merkle_root"))
     layer = layer.join(sizes.select(*k, F.col("n_leaves").alias("_n")), k)
     group = 1 << fan_in_levels
     rounds, size = 0, nmax

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .asof import DEFAULT_BUCKET_US, asof_neighbors
@@ -33,8 +33,8 @@ def subframes(anchors: DataFrame, samples: DataFrame, streams: DataFrame, R: int
 
     The sample → interval assignment is an as-of (latest anchor ≤ t) on
     bucketed windows, not a range join; each frame group collects ≤ R rows.
-    ``samples.row`` must follow time order within a stream (the payload
-    contract), which is what makes the earliest-R selection sort-free.
+    Row numbers may have holes (a filtered payload): the earliest R are ranked
+    by (t, row), and ``m_k`` counts what was kept.
     """
     keys = ["session_id", "device_id", "stream_id"]
     a = anchors.select("session_id", "anchor_index", "t_anchor_us")
@@ -44,15 +44,13 @@ def subframes(anchors: DataFrame, samples: DataFrame, streams: DataFrame, R: int
     # a sample belongs to frame k when a_k ≤ t < a_{k+1}; past the last anchor → none
     inside = nb.where(F.col("_p").isNotNull() & F.col("_x").isNotNull()) \
                .withColumn("frame_index", F.col("_p.anchor_index"))
-    # payload rows are numbered in time order, so a frame's earliest R samples
-    # are rows [first row, first row + R): a hash aggregate and a filter, no
-    # sort of a whole (possibly long) anchor interval
+    # the rank limit is applied before the shuffle, too (at most R rows of a frame per task)
     fk = keys + ["frame_index"]
-    first = inside.groupBy(*fk).agg(F.min("row").alias("_r0"), F.count(F.lit(1)).alias("_n"))
-    kept = inside.join(first, fk).where(F.col("row") < F.col("_r0") + R)
+    rank = F.row_number().over(Window.partitionBy(*fk).orderBy("t_us", "row"))
+    kept = inside.withColumn("_rank", rank).where(F.col("_rank") <= R)
     cnt = kept.groupBy(*fk).agg(
-        F.max("_n").alias("_n"),
-        F.array_sort(F.collect_list(F.struct(F.col("row"), F.col("value")))).alias("_kept"))
+        F.count(F.lit(1)).alias("_n"),
+        F.array_sort(F.collect_list(F.struct(F.col("_rank"), F.col("value")))).alias("_kept"))
     # every frame of every stream appears, empty ones included
     nxt = a.select("session_id", (F.col("anchor_index") - 1).alias("anchor_index"),
                    F.col("t_anchor_us").alias("t_end_us"))

@@ -3,8 +3,6 @@
 models (B2), with their DuckDB oracles."""
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ..functions.uri import normalize_uri, strip_fragment, uri_rest, uri_scheme
@@ -81,14 +79,10 @@ def root_stamp_q(spark, sf):
     return pv.stamp(pv.merkle_root(d)).select("merkle_root", "signature", "algorithm", "signed")
 
 
-def _table_files(sf):
-    return sorted(os.path.join(sf, f) for f in os.listdir(sf) if f.endswith(".parquet"))
-
-
 @register("file_hashes")
 def file_hashes_q(spark, sf):
     """K12 (rows-only): SHA-256 of every input table file, on executors."""
-    return pv.file_hashes(spark, _table_files(sf))
+    return pv.file_hashes(spark, f"{sf}/*.parquet")
 
 
 @register("source_hashes")
@@ -98,7 +92,7 @@ def source_hashes_q(spark, sf):
     # each session's source files, as recorded by the scan itself
     src = ev.select(dt._session_col("day").alias("session_id"),
                     F.col("_metadata.file_path").alias("path")).distinct()
-    h = pv.file_hashes(spark, [os.path.join(sf, "events.parquet")]).select("path", "sha256")
+    h = pv.file_hashes(spark, f"{sf}/events.parquet").select("path", "sha256")
     return pv.source_hashes(src.join(h, "path"))
 
 
@@ -230,7 +224,7 @@ SELECT 'lineitem' AS session_id, 'glove_L' AS device_id, 'tactile_field' AS stre
        {_wide_sql(['l_quantity', 'l_extendedprice', 'l_discount'])} AS value FROM lineitem""")
 def payload_scan_q(spark, sf):
     w = _wide(spark, sf)
-    cols = pl.mag_columns(["bmm_0"])
+    cols = pl.element_columns(MAG_KIND, "canonical", ["bmm_0"])
     return w.select(F.lit("lineitem").alias("session_id"), F.lit("glove_L").alias("device_id"),
                     F.lit("tactile_field").alias("stream_id"), "row", pl.stack_columns(w, cols).alias("value"))
 
@@ -244,8 +238,8 @@ SELECT 'lineitem', 'glove_L', 'dynamics_temp', 'canonical', {_ROWNUM.split(' AS
 def wide_to_payload_q(spark, sf):
     w = _wide(spark, sf)
     out = None
-    for kind, stream in ((MAG_KIND, "tactile_field"), (TEMP_KIND, "dynamics_temp")):
-        layout, cols = pl.columns_for(kind, None, w.columns, ["bmm_0"], ["lis_0"])
+    for kind, stream, ids in ((MAG_KIND, "tactile_field", ["bmm_0"]), (TEMP_KIND, "dynamics_temp", ["lis_0"])):
+        layout, cols = pl.choose_layout(kind, w.columns, ids)
         part = w.select(F.lit("lineitem").alias("session_id"), F.lit("glove_L").alias("device_id"),
                         F.lit(stream).alias("stream_id"), F.lit(layout).alias("layout"), "row",
                         pl.stack_columns(w, cols).alias("value"))
@@ -258,21 +252,12 @@ SELECT 'lineitem' AS session_id, 'glove_L' AS device_id, 'dynamics_temp' AS stre
        {_ROWNUM}, {_wide_sql(['l_quantity', 'l_discount', 'l_tax'])} AS value FROM lineitem""")
 def legacy_payload_q(spark, sf):
     w = _wide(spark, sf)
-    layout, cols = pl.columns_for(TEMP_KIND, None, w.columns, [], [])
+    layout, cols = pl.choose_layout(TEMP_KIND, w.columns)
     return w.select(F.lit("lineitem").alias("session_id"), F.lit("glove_L").alias("device_id"),
                     F.lit("dynamics_temp").alias("stream_id"), F.lit(layout).alias("layout"), "row",
                     pl.stack_columns(w, cols).alias("value"))
 
 
-@register("sensor_order")
-def sensor_order_q(spark, sf):
-    """S2/S5 (rows-only): footer-only read of every input table file and the
-    layout each payload kind would take in it."""
-    paths = spark.createDataFrame([(f"file:{p}",) for p in _table_files(sf)], "path string")
-    so = pl.sensor_order(paths)
-    return so.select("path", F.size("names").alias("n_columns"), "bmm_ids", "lis_ids")
-
-
 # ---------------------------------------------------------------------------
 # S6 message log (B5: events as messages, field k)
 # ---------------------------------------------------------------------------

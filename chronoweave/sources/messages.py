@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 from ..schemas import MESSAGE_KIND_MAP
 from .payload import SourceError
 
-# JSON number literal: every numeric leaf of a (nested) field, in document order
+# JSON number literal (the oracle's reading of plain numeric fields)
 JSON_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
 
 
-def flatten_numbers(json_text) -> F.Column:
-    """Nested lists of numbers → flat array<float> in document order."""
-    c = F.col(json_text) if isinstance(json_text, str) else json_text
-    return F.transform(F.regexp_extract_all(c, F.lit(JSON_NUMBER), 0), lambda x: x.cast("float"))
+_JSON = {"allowNonNumericNumbers": "true"}
+
+
+def flatten_numbers(data: str, field: str, depth: int = 3) -> F.Column:
+    """Field of a JSON text, a number or lists of numbers nested up to ``depth`` deep → flat
+    array<float> in document order. A JSON null keeps its position as NaN; any other value that
+    is no number raises; a missing field is NULL."""
+    top = F.from_json(F.col(data), f"`{field}` string", _JSON)[field]
+    leaves = F.when(top.isNotNull(), F.array(top))
+    for _ in range(depth):
+        leaves = F.flatten(F.transform(leaves, lambda x: F.when(
+            x.startswith("["), F.from_json(x, "array<string>", _JSON)).otherwise(F.array(x))))
+    return F.transform(leaves, lambda x: F.when(x.isNull(), F.lit(float("nan")).cast("float")).otherwise(
+        F.coalesce(x.try_cast("float"), F.raise_error(F.concat(F.lit("not a number in a message: "), x)).cast("float"))))
 
 
 def scan_messages(messages: DataFrame, payload_kind: str, kind_map: dict | None = None,
@@ -29,7 +39,7 @@ def scan_messages(messages: DataFrame, payload_kind: str, kind_map: dict | None
     topic, field = km[payload_kind]
     m = messages.where(F.col("topic") == topic)
     m = m.select("session_id", "topic", "log_time", "seq",
-                 flatten_numbers(F.get_json_object("data", f"$.{field}")).alias("value"))
+                 flatten_numbers("data", field).alias("value"))
     from ..operators.asof import number_rows
     kw = {"bucket_us": bucket_us} if bucket_us else {"bucket_us": 6 * 3600 * 10**9}
     return number_rows(m, ["session_id", "topic"], ["log_time", "seq"], t="log_time", **kw) \

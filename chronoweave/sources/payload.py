@@ -2,20 +2,24 @@
 
 A payload is ``(session_id, device_id, stream_id, row, value array<float>)``
 where ``row`` is the sample's position in its episode file. Producer files
-are wide tables with one column per payload element; the column family
-depends on the payload kind and on the sensor ids declared in the file's
-key-value metadata (canonical layout) or on fixed legacy names.
+are wide tables with one column per payload element. The columns follow from
+the payload kind and a layout: ``canonical`` names the file's sensors (their
+order is an input, ``sensor_ids``), ``legacy`` has fixed names.
 """
 from __future__ import annotations
 
 import json
+import re
+from typing import NamedTuple
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.uri import normalize_uri, strip_fragment, uri_rest, uri_scheme
 from ..schemas import (ACCEL_AXES, ACCEL_KIND, LEGACY_TACTILE_CLUSTERS, LEGACY_TRIPOD, MAG_KIND,
-                       SENSOR_META_KEYS, STREAM_KEYS, TACTILE_AXES, TEMP_KIND)
+                       STREAM_KEYS, TACTILE_AXES, TEMP_KIND)
 
 KEYS = STREAM_KEYS
 
@@ -25,54 +29,48 @@ class SourceError(ValueError):
 
 
 # --------------------------------------------------------------------------- S3 / S4
-def mag_columns(bmm_ids) -> list[str]:
-    return [f"mag.{sid}.{ax}_uT" for sid in bmm_ids for ax in TACTILE_AXES]
-
-
-def accel_columns(lis_ids) -> list[str]:
-    return [f"dyn.{sid}.{ax}_g" for sid in lis_ids for ax in ACCEL_AXES]
-
-
-def temp_columns(lis_ids) -> list[str]:
-    return [f"dyn.{sid}.temp_c" for sid in lis_ids]
-
-
-def legacy_tactile_columns(n: int = LEGACY_TACTILE_CLUSTERS) -> list[str]:
-    return [f"tactile.b{i:02d}.{ax}_uT" for i in range(n) for ax in TACTILE_AXES]
-
-
-def legacy_accel_columns() -> list[str]:
-    return [f"dyn.{f}.{ax}_g" for f in LEGACY_TRIPOD for ax in ACCEL_AXES]
-
-
-def legacy_temp_columns() -> list[str]:
-    return [f"dyn.{f}.temp_degC" for f in LEGACY_TRIPOD]
-
-
-def columns_for(kind: str, shape, names, bmm_ids=(), lis_ids=()) -> tuple[str, list[str]]:
-    """(layout, columns) for a payload kind given a file's column names and
-    declared sensor ids: canonical when ids are declared and every column
-    exists, else legacy. Unknown kinds raise before any scan is planned."""
+class Family(NamedTuple):
+    """Column names of a payload kind: a template per layout, filled for every sensor and axis."""
+    canonical: str
+    legacy: str
+    axes: tuple[str, ...]
+    legacy_ids: tuple[str, ...]
+
+
+# The producers' column names.
+FAMILIES = {
+    MAG_KIND: Family("mag.{id}.{axis}_uT", "tactile.{id}.{axis}_uT", TACTILE_AXES,
+                     tuple(f"b{i:02d}" for i in range(LEGACY_TACTILE_CLUSTERS))),
+    ACCEL_KIND: Family("dyn.{id}.{axis}_g", "dyn.{id}.{axis}_g", ACCEL_AXES, LEGACY_TRIPOD),
+    TEMP_KIND: Family("dyn.{id}.temp_c", "dyn.{id}.temp_degC", ("",), LEGACY_TRIPOD),
+}
+
+
+def element_columns(kind: str, layout: str, sensor_ids=None, n: int | None = None) -> list[str]:
+    """The columns of one payload in element order. ``legacy`` takes its own sensor names
+    (the first ``n`` of them, if given); unknown kinds raise."""
+    if kind not in FAMILIES:
+        raise SourceError(f"unknown payload kind {kind!r}")
+    f = FAMILIES[kind]
+    if layout == "legacy":
+        known = f.legacy_ids
+        if n is not None and kind == MAG_KIND:
+            known = tuple(f"b{i:02d}" for i in range(n))
+        sensor_ids = known
+    template = getattr(f, layout)
+    return [template.format(id=i, axis=a) for i in sensor_ids or () for a in f.axes]
+
+
+def choose_layout(kind: str, names, sensor_ids=None, shape=None) -> tuple[str, list[str]]:
+    """The first layout whose columns a table has in full, as (layout, columns); if neither
+    is there, the one that the declared sensors point to (reading it then names what is missing)."""
+    options = [("canonical", element_columns(kind, "canonical", sensor_ids)),
+               ("legacy", element_columns(kind, "legacy", n=shape[0] if shape else None))]
     have = set(names)
-
-    def ok(cols):
-        return bool(cols) and all(c in have for c in cols)
-
-    if kind == MAG_KIND:
-        canon = mag_columns(bmm_ids)
-        if ok(canon):
-            return "canonical", canon
-        legacy = legacy_tactile_columns(shape[0] if shape else LEGACY_TACTILE_CLUSTERS)
-        if ok(legacy):
-            return "legacy", legacy
-        return ("canonical", canon) if canon else ("legacy", legacy)
-    if kind == ACCEL_KIND:
-        canon = accel_columns(lis_ids)
-        return ("canonical", canon) if ok(canon) else ("legacy", legacy_accel_columns())
-    if kind == TEMP_KIND:
-        canon = temp_columns(lis_ids)
-        return ("canonical", canon) if ok(canon) else ("legacy", legacy_temp_columns())
-    raise SourceError(f"no column mapping for payload_kind {kind!r}")
+    for layout, cols in options:
+        if cols and have.issuperset(cols):
+            return layout, cols
+    return options[0] if options[0][1] else options[1]
 
 
 def stack_columns(df: DataFrame, cols: list[str]) -> F.Column:
@@ -83,86 +81,52 @@ def stack_columns(df: DataFrame, cols: list[str]) -> F.Column:
     return F.array(*[F.col(f"`{c}`").cast("float") for c in cols])
 
 
-# --------------------------------------------------------------------------- S2
-def _ship_by_value():
-    """Executors may not have this package installed: the footer reader is
-    pickled by value so it travels with the task."""
-    import sys
-    try:
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # pragma: no cover - older cloudpickle
-        pass
-
-
-def _footer_rows(it):
-    import pandas as pd
-    import pyarrow.parquet as pq
-    for pdf in it:
-        out = []
-        for path in pdf["path"]:
-            local = path[len("file:"):] if path.startswith("file:") else path
-            schema = pq.read_schema(local)
-            meta = schema.metadata or {}
-            bmm, lis = [], []
-            for key in SENSOR_META_KEYS:
-                raw = meta.get(key.encode())
-                if raw is None:
-                    continue
-                try:
-                    blob = json.loads(raw.decode())
-                except (ValueError, UnicodeDecodeError):
-                    continue
-                bmm = list(blob.get("bmm_sensor_ids") or [])
-                lis = list(blob.get("lis_sensor_ids") or [])
-                if bmm or lis:
-                    break
-            out.append({"path": path, "names": list(schema.names), "bmm_ids": bmm, "lis_ids": lis})
-        yield pd.DataFrame(out, columns=["path", "names", "bmm_ids", "lis_ids"])
-
-
-def sensor_order(paths: DataFrame) -> DataFrame:
-    """Footer-only read per distinct file on executors (data pages are
-    never touched): column names and the first metadata key that parses and
-    declares sensor ids. ``paths(path)``; bad JSON is skipped."""
-    _ship_by_value()
-    return (paths.select("path").distinct()
-            .mapInPandas(_footer_rows, "path string, names array<string>, "
-                                       "bmm_ids array<string>, lis_ids array<string>"))
+# --------------------------------------------------------------------------- S1 / S10
+_SCHEME = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?")
+
+
+def _path_key(c) -> F.Column:
+    """A file's path without scheme and host, unescaped: the same for a reference and a scan."""
+    plain = F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, _SCHEME.pattern, "")
 
 
-# --------------------------------------------------------------------------- S1 / S10
 def scan_parquet_payload(spark: SparkSession, refs: DataFrame, kind: str, shape=None) -> DataFrame:
-    """Payload rows for ``refs(session_id, device_id, stream_id, uri)``
+    """Payload rows for ``refs(session_id, device_id, stream_id, uri[, sensor_ids])``
     (``parquet://`` or ``file://…parquet``), all of one payload kind.
 
-    Files are grouped by layout (from their footers); one scan per layout
-    reads only that layout's columns, and the row position comes from
-    ``_metadata.row_index`` (no sort). The per-file metadata collected on
-    the driver is one row per file, never data."""
-    r = refs.select(*KEYS, strip_fragment("uri").alias("base"))
-    r = r.select(*KEYS, uri_scheme("base").alias("scheme"), uri_rest("base").alias("path"))
+    ``sensor_ids`` (S2) is the order of a file's sensors, from an input dimension table; files
+    without it have the legacy layout. One scan per distinct sensor order reads only its columns,
+    paths go through Spark's file systems, and the row position comes from
+    ``_metadata.row_index`` (no sort). The driver gets one path per file, never data. A reference
+    that matches no file raises."""
+    r = refs if "sensor_ids" in refs.columns else refs.withColumn("sensor_ids", F.lit(None).cast("array<string>"))
+    r = r.select(*KEYS, "sensor_ids", strip_fragment("uri").alias("base"))
+    r = r.select(*KEYS, "sensor_ids", uri_scheme("base").alias("scheme"), uri_rest("base").alias("path"))
     bad = r.where(~F.col("scheme").isin("parquet", "file") | F.col("scheme").isNull()).limit(1).collect()
     if bad:
-        raise SourceError(f"no parquet reader for uri scheme {bad[0].scheme!r}")
+        raise SourceError(f"scheme {bad[0].scheme!r} is not read as Parquet")
     badf = r.where((F.col("scheme") == "file") & ~F.lower("path").endswith(".parquet")).limit(1).collect()
     if badf:
-        raise SourceError(f"file reader expects a .parquet location: {badf[0].path!r}")
-    r = r.withColumn("path", F.concat(F.lit("file:"), F.col("path")))
-    info = sensor_order(r.select("path")).collect()
-    by_layout: dict[tuple, list[str]] = {}
-    for row in info:
-        _layout, cols = columns_for(kind, shape, row.names, row.bmm_ids or (), row.lis_ids or ())
-        by_layout.setdefault(tuple(cols), []).append(row.path)
+        raise SourceError(f"not a .parquet file: {badf[0].path!r}")
+    by_order: dict[tuple, list[str]] = {}
+    for row in r.select("path", "sensor_ids").distinct().collect():
+        by_order.setdefault(tuple(row.sensor_ids or ()), []).append(row.path)
     out = None
-    for cols, paths in by_layout.items():
+    for ids, paths in by_order.items():
         df = spark.read.parquet(*paths)
-        part = df.select(F.col("_metadata.file_path").alias("path"),
-                         F.col("_metadata.row_index").alias("row"), stack_columns(df, list(cols)).alias("value"))
+        seen = {_SCHEME.sub("", unquote(f)) for f in df.inputFiles()}
+        lost = [p for p in paths if _SCHEME.sub("", p) not in seen]
+        if lost:
+            raise SourceError(f"references that name no file: {lost[:5]}")
+        _, cols = choose_layout(kind, df.columns, ids, shape)
+        part = df.select(F.col("_metadata.file_path").alias("_file"),
+                         F.col("_metadata.row_index").alias("row"), stack_columns(df, cols).alias("value"))
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise SourceError("no payload files")
-    return out.join(r.select(*KEYS, "path"), "path").select(*KEYS, "row", "value")
+    keyed = r.select(*KEYS, F.regexp_replace("path", _SCHEME.pattern, "").alias("_key"))
+    return out.withColumn("_key", _path_key("_file")).join(keyed, "_key").select(*KEYS, "row", "value")
 
 
 # --------------------------------------------------------------------------- S7–S9, S11
@@ -222,16 +186,20 @@ def missing_descriptors(aligned: DataFrame, streams: DataFrame) -> DataFrame:
 BUNDLE_TABLES = ("grid", "alignment", "streams", "session_meta")
 
 
+def _existing(spark: SparkSession, path: str, **options) -> DataFrame:
+    """A Parquet table on any of Spark's file systems; FileNotFoundError if it is not there."""
+    try:
+        return spark.read.options(**options).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(path) from e
+        raise
+
+
 def load_bundle(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Persisted sync bundle → the four input tables; every session of
     the alignment must have a ``session_meta`` row."""
-    import os
-    out = {}
-    for t in BUNDLE_TABLES:
-        p = os.path.join(root, t)
-        if not os.path.exists(p):
-            raise FileNotFoundError(f"bundle table missing: {p}")
-        out[t] = spark.read.parquet(p)
+    out = {t: _existing(spark, f"{root.rstrip('/')}/{t}") for t in BUNDLE_TABLES}
     orphan = (out["alignment"].select("session_id").distinct()
               .join(out["session_meta"].select("session_id"), "session_id", "left_anti").limit(1).collect())
     if orphan:
@@ -244,11 +212,8 @@ def read_packaged_silver(spark: SparkSession, root: str, dataset_id: str | None
     """Silver of packaged datasets (hive layout ``dataset=/version=``);
     filters on dataset/version prune partitions; absent ``valid`` /
     ``confidence`` columns default to true / 1.0."""
-    import os
-    path = os.path.join(root, "silver")
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"no Silver table under {root}")
-    df = spark.read.option("basePath", path).parquet(path)
+    path = f"{root.rstrip('/')}/silver"
+    df = _existing(spark, path, basePath=path)
     if dataset_id is not None:
         df = df.where(F.col("dataset") == dataset_id)
     if version is not None:

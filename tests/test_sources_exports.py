@@ -11,17 +11,20 @@ from pyspark.sql import functions as F
 
 from chronoweave.operators import derived as dv
 from chronoweave.operators import exports as ex
-from chronoweave.schemas import ACCEL_KIND, MAG_KIND, SENSOR_META_KEYS, TEMP_KIND
+from chronoweave.schemas import ACCEL_KIND, MAG_KIND, TEMP_KIND
 from chronoweave.sources import messages as msg
 from chronoweave.sources import payload as pl
 from chronoweave.sources.payload import SourceError
 
 
-def _write_sensor_file(path, meta=True):
+BMM = ["bmm_thumb_0", "bmm_thumb_1", "bmm_index_0"]
+LIS = ["lis_thumb", "lis_index"]
+
+
+def _write_sensor_file(path):
     """A2: 8 rows, mag.<sid>.{bx,by,bz}_uT = k·10 + axis, dyn.<sid>.{ax,ay,az}_g = 100 + k·10 + axis,
     dyn.<sid>.temp_c = 25 + k."""
-    bmm = ["bmm_thumb_0", "bmm_thumb_1", "bmm_index_0"]
-    lis = ["lis_thumb", "lis_index"]
+    bmm, lis = BMM, LIS
     cols = {"t_master_us": pa.array(np.arange(8, dtype=np.int64) * 625)}
     for k, sid in enumerate(bmm):
         for a, ax in enumerate(("bx", "by", "bz")):
@@ -30,11 +33,7 @@ def _write_sensor_file(path, meta=True):
         for a, ax in enumerate(("ax", "ay", "az")):
             cols[f"dyn.{sid}.{ax}_g"] = pa.array(np.full(8, 100 + k * 10 + a, dtype=np.float32))
         cols[f"dyn.{sid}.temp_c"] = pa.array(np.full(8, 25 + k, dtype=np.float32))
-    t = pa.table(cols)
-    if meta:
-        t = t.replace_schema_metadata({SENSOR_META_KEYS[0].encode(): json.dumps(
-            {"bmm_sensor_ids": bmm, "lis_sensor_ids": lis}).encode(), b"other": b"{not json"})
-    pq.write_table(t, path)
+    pq.write_table(pa.table(cols), path)
 
 
 def _write_legacy_file(path):
@@ -46,17 +45,19 @@ def _write_legacy_file(path):
     pq.write_table(pa.table(cols), path)
 
 
-def _refs(spark, uri, stream="s"):
-    return spark.createDataFrame([("sess", "dev", stream, uri)],
-                                 "session_id string, device_id string, stream_id string, uri string")
+def _refs(spark, uri, stream="s", ids=None):
+    return spark.createDataFrame([("sess", "dev", stream, uri, ids)],
+                                 "session_id string, device_id string, stream_id string, uri string, "
+                                 "sensor_ids array<string>")
 
 
-def test_sensor_keyed_file_resolves_by_metadata(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "ep.parquet")
+def test_sensor_keyed_file_resolves_by_declared_order(spark, tmp_dir):
+    os.mkdir(os.path.join(tmp_dir, "a b+c"))
+    p = os.path.join(tmp_dir, "a b+c", "ep 1.parquet")        # blanks and signs in a path lose no rows
     _write_sensor_file(p)
-    mag = pl.scan_parquet_payload(spark, _refs(spark, f"parquet://{p}#stream=x&row=3"), MAG_KIND, (3, 3))
-    acc = pl.scan_parquet_payload(spark, _refs(spark, f"file://{p}"), ACCEL_KIND, (2, 3))
-    tmp = pl.scan_parquet_payload(spark, _refs(spark, f"parquet://{p}"), TEMP_KIND, (2,))
+    mag = pl.scan_parquet_payload(spark, _refs(spark, f"parquet://{p}#stream=x&row=3", ids=BMM), MAG_KIND, (3, 3))
+    acc = pl.scan_parquet_payload(spark, _refs(spark, f"file://{p}", ids=LIS), ACCEL_KIND, (2, 3))
+    tmp = pl.scan_parquet_payload(spark, _refs(spark, f"parquet://{p}", ids=LIS), TEMP_KIND, (2,))
     m = sorted(mag.collect(), key=lambda r: r.row)
     assert len(m) == 8 and [r.row for r in m] == list(range(8))
     assert m[0].value == [0, 1, 2, 10, 11, 12, 20, 21, 22]
@@ -71,7 +72,7 @@ def test_legacy_fallback_and_errors(spark, tmp_dir):
     rows = pl.scan_parquet_payload(spark, _refs(spark, f"parquet://{p}"), MAG_KIND, (21, 3)).collect()
     assert len(rows) == 8 and len(rows[0].value) == 63 and rows[0].value[:4] == [0, 1, 2, 3]
     with pytest.raises(SourceError):
-        pl.columns_for("no_such_kind", None, [], [], [])
+        pl.choose_layout("no_such_kind", [])
     with pytest.raises(SourceError):
         pl.scan_parquet_payload(spark, _refs(spark, f"file://{tmp_dir}/x.csv"), MAG_KIND, (21, 3))
     with pytest.raises(SourceError):
@@ -79,9 +80,9 @@ def test_legacy_fallback_and_errors(spark, tmp_dir):
 
 
 def test_layout_choice():
-    names = pl.mag_columns(["a"]) + pl.legacy_accel_columns()
-    assert pl.columns_for(MAG_KIND, (1, 3), names, ["a"], [])[0] == "canonical"
-    assert pl.columns_for(ACCEL_KIND, (3, 3), names, [], ["zz"])[0] == "legacy"
+    names = pl.element_columns(MAG_KIND, "canonical", ["a"]) + pl.element_columns(ACCEL_KIND, "legacy")
+    assert pl.choose_layout(MAG_KIND, names, ["a"], (1, 3))[0] == "canonical"
+    assert pl.choose_layout(ACCEL_KIND, names, ["zz"], (3, 3))[0] == "legacy"
 
 
 def test_message_log_scan(spark):
@@ -174,14 +175,15 @@ def test_scheme_dispatch_and_message_tables(spark, tmp_dir):
     mt = os.path.join(tmp_dir, "messages")
     spark.createDataFrame(rows, "session_id string, topic string, log_time long, seq long, data string") \
         .write.parquet(mt)
-    refs = spark.createDataFrame([("sess", "A", "tactile_field", f"parquet://{p}"),
-                                  ("sess", "B", "tactile_field", f"messages://{mt}#topic=tactile_field")],
-                                 "session_id string, device_id string, stream_id string, uri string")
+    refs = spark.createDataFrame([("sess", "A", "tactile_field", f"parquet://{p}", BMM),
+                                  ("sess", "B", "tactile_field", f"messages://{mt}#topic=tactile_field", None)],
+                                 "session_id string, device_id string, stream_id string, uri string, "
+                                 "sensor_ids array<string>")
     got = pl.resolve_payload(spark, refs, MAG_KIND, (3, 3))
     counts = {r.device_id: r["count"] for r in got.groupBy("device_id").count().collect()}
     assert counts == {"A": 8, "B": 5}
     assert got.where("device_id = 'B' and row = 2").collect()[0].value[0] == 2.0
-    bad = spark.createDataFrame([("sess", "A", "x", "ftp://x")], refs.schema)
+    bad = spark.createDataFrame([("sess", "A", "x", "ftp://x", None)], refs.schema)
     with pytest.raises(SourceError):
         pl.resolve_payload(spark, bad, MAG_KIND)
     assert {"parquet", "file", "messages"} <= set(pl.registered_sources())
