@@ -60,8 +60,8 @@ def text_id(text: bytes) -> int:
 
 
 def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """key, ``v`` (64-bit digest of the text), ``bands`` (64-bit key of each band); texts without
-    words give no row."""
+    """key, ``v`` (64-bit digest of the text), ``size`` (its UTF-8 bytes), ``bands`` (64-bit key of
+    each band); texts without words give no row."""
     m = bands * rows
 
     def sign_sets(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -76,19 +76,19 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
     def sign(batches):
         hashes, roll = WordHashes(), Rolling(width)
 
-        def out(keys, same, sets):
+        def out(keys, same, sizes, sets):
             codes = np.zeros((len(keys), bands), np.int64)
             order = np.argsort([len(x) for x, _ in sets], kind="stable")  # alike sizes take alike turns
             for lo in range(0, len(order), 256):
                 part = order[lo:lo + 256]
                 codes[part] = sign_sets([sets[i] for i in part])
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(same, pa.int64()),
+                [pa.array(keys, pa.int64()), pa.array(same, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(codes.reshape(-1)))],
-                names=["k", "v", "bands"])
+                names=["k", "v", "size", "bands"])
 
         for b in batches:
-            keys, same, sets, held = [], [], [], 0
+            keys, same, sizes, sets, held = [], [], [], [], 0
             for k, t in zip(b.column(0).to_pylist(), b.column(1)):
                 t = t.as_py()
                 h = shingle_hashes(t.split(), hashes, roll)
@@ -97,16 +97,17 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
                 ids, n = np.unique(h, return_counts=True)
                 keys.append(k)
                 same.append(text_id(t))
+                sizes.append(len(t))
                 sets.append((ids, 1.0 + np.log(n)))
                 held += len(ids)
                 if held > 3_000_000:
-                    yield out(keys, same, sets)
-                    keys, same, sets, held = [], [], [], 0
+                    yield out(keys, same, sizes, sets)
+                    keys, same, sizes, sets, held = [], [], [], [], 0
             if keys:
-                yield out(keys, same, sets)
+                yield out(keys, same, sizes, sets)
 
     return (docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), utf8(text).alias("t"))
-            .mapInArrow(sign, "k long, v long, bands array<long>"))
+            .mapInArrow(sign, "k long, v long, size long, bands array<long>"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -199,7 +200,8 @@ class _Sets:
 
 
 def near_classes(docs: DataFrame, *, least: float = 0.8, width: int = 5, bands: int = 32, rows: int = 6,
-                 key: str = "doc_id", text: str = "text", docs_per_task: int = 4000) -> DataFrame:
+                 key: str = "doc_id", text: str = "text", docs_per_task: int = 4000,
+                 bytes_per_task: int = 128 << 20) -> DataFrame:
     """Classes of near-duplicate documents: key, class_id (the smallest key of the class).
 
     Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles
@@ -210,31 +212,32 @@ def near_classes(docs: DataFrame, *, least: float = 0.8, width: int = 5, bands:
     that graph hold all candidate links: with 32 bands of 6 registers a pair at similarity 0.8
     meets with probability 0.9999. Each component's texts then come together once, and exact
     Jaccard decides each link that could still join two classes. A component of more than
-    ``docs_per_task`` texts is dealt into blocks; every two blocks meet in a task of their own,
-    and components of the links found give the classes, so no task holds more than two blocks
-    and no link between blocks is lost.
+    ``docs_per_task`` texts or ``bytes_per_task`` bytes is dealt into blocks of about half as
+    much; every two blocks meet in a task of their own, and components of the links found give
+    the classes, so no task holds more than two blocks and no link between blocks is lost.
 
     Null and empty texts take no part (each is its own class). Null keys give rows with a null
     class. Rows that share a key
     get the smallest class of their texts. Empty table: no rows. Other columns are ignored.
     """
     sig = stored(signatures(docs, width=width, bands=bands, rows=rows, key=key, text=text), "signatures")
-    reps = sig.groupBy("v").agg(F.min("k").alias("rep"))
+    reps = sig.groupBy("v").agg(F.min("k").alias("rep"), F.max("size").alias("size"))
     band = (sig.join(reps, "v").where("k = rep").select("v", "bands").dropDuplicates(["v"])
             .select("v", F.posexplode("bands").alias("band", "code")))
     head = band.groupBy("band", "code").agg(F.min("v").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     edges = band.join(head, ["band", "code"]).where("v <> a").select("a", F.col("v").alias("b")).distinct()
     coarse = components(edges)
-    size = coarse.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    half = max(1, docs_per_task // 2)
-    whole = F.col("n") <= docs_per_task
-    blocks = F.when(whole, 1).otherwise(F.ceil(F.col("n") / half)).cast("int")
-    placed = coarse.join(size, "c").select("v", "c", blocks.alias("nb"))
+    of_text = coarse.join(reps, "v")
+    load = of_text.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    whole = (F.col("n") <= docs_per_task) & (F.col("bytes") <= bytes_per_task)
+    blocks = F.when(whole, 1).otherwise(F.ceil(F.greatest(
+        F.col("n") / max(1, docs_per_task // 2), F.col("bytes") / max(1, bytes_per_task // 2)))).cast("int")
+    placed = of_text.join(load, "c").select("v", "rep", "c", blocks.alias("nb"))
     placed = placed.withColumn("x", F.pmod(F.xxhash64("v"), F.col("nb")).cast("int"))
     # a block meets every block of its component
     meet = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda y: F.struct(
         F.least("x", y).alias("lo"), F.greatest("x", y).alias("hi")))
-    tasks = (placed.join(reps, "v").select("v", "rep", "c", F.explode(meet).alias("p"))
+    tasks = (placed.select("v", "rep", "c", F.explode(meet).alias("p"))
              .select("v", "rep", "c", "p.lo", "p.hi"))
     texts = docs.select(F.col(key).cast("long").alias("rep"), utf8(text).alias("t"))
 

@@ -48,10 +48,10 @@ def variants(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("per_task", [4000, 3])
-def test_near_classes(spark, make_docs, per_task):
+@pytest.mark.parametrize("bounds", [{}, {"docs_per_task": 3}, {"bytes_per_task": 2000}])
+def test_near_classes(spark, make_docs, bounds):
     rows = variants()
-    got = near_dedup.near_classes(make_docs(rows), docs_per_task=per_task).collect()
+    got = near_dedup.near_classes(make_docs(rows), **bounds).collect()
     assert Counter(map(tuple, got)) == brute_classes(rows)
 
 
