@@ -82,6 +82,15 @@ def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,
                     c.alias("conf_clock"), i.alias("conf_interp"))
 
 
+def frame_flags(alignment: DataFrame) -> DataFrame:
+    """The columns of ``silver_long`` that need no payload (all but ``value``):
+    validity and confidence of every aligned frame, without a join."""
+    s, c, i, scalar = unit_confidence("conf_source", "conf_clock", "conf_interp")
+    return alignment.select(*KEYS, "frame_index", "t_ref_us", F.col("valid").cast("boolean").alias("valid"),
+                            scalar.alias("confidence"), s.alias("conf_source"),
+                            c.alias("conf_clock"), i.alias("conf_interp"))
+
+
 def out_of_range_indices(alignment: DataFrame, payload: DataFrame) -> DataFrame:
     """J1 assertion: alignment rows whose ``source_index`` names no payload row
     (numpy would raise IndexError). Empty when the indices are sound."""

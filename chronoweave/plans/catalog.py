@@ -31,12 +31,15 @@ def register(name: str, sql: str | None = None):
 KEYS = ["session_id", "device_id", "stream_id"]
 
 
-def _ev(spark, sf, mode="day", reuse=False, **kw):
+def _ev(spark, sf, mode="day", reuse=False, values=True, kernel=None, **kw):
     """Event-adapter inputs plus Silver. ``reuse``: Silver feeds several
     aggregates, so it is written once to the checkpoint folder (a reliable
-    checkpoint, not a cache) and every consumer scans that."""
+    checkpoint, not a cache) and every consumer scans that. ``values=False``:
+    Silver without its values, which needs no payload join. ``kernel``: only
+    the streams of that kernel are gathered."""
     inp = dt.event_inputs(spark, sf, mode, **kw)
-    silver = align.project(inp["alignment"], inp["payload"], inp["streams"])
+    al = inp["alignment"] if kernel is None else inp["alignment"].where(F.col("kernel") == kernel)
+    silver = align.project(al, inp["payload"], inp["streams"]) if values else align.frame_flags(al)
     if reuse:
         checkpoint_dir(spark)
         silver = silver.checkpoint(eager=True)
@@ -81,16 +84,12 @@ def _sl(df):
 
 @register("align_hold", q.with_(f"SELECT {_SL_COLS} FROM sl WHERE kernel = 'hold'"))
 def align_hold_q(spark, sf):
-    e = _ev(spark, sf)
-    hold = e["streams"].where("kernel = 'hold'").select(*KEYS)
-    return _sl(e["silver"].join(hold, KEYS, "left_semi"))
+    return _sl(_ev(spark, sf, kernel="hold")["silver"])
 
 
 @register("align_continuous", q.with_(f"SELECT {_SL_COLS} FROM sl WHERE kernel = 'continuous'"))
 def align_continuous_q(spark, sf):
-    e = _ev(spark, sf)
-    cont = e["streams"].where("kernel = 'continuous'").select(*KEYS)
-    return _sl(e["silver"].join(cont, KEYS, "left_semi"))
+    return _sl(_ev(spark, sf, kernel="continuous")["silver"])
 
 
 @register("silver_long", q.with_(
@@ -107,7 +106,7 @@ def silver_long_q(spark, sf):
     "SELECT session_id, device_id, stream_id, frame_index, round(confidence, 6) AS confidence "
     "FROM sl"))
 def confidence_fold_q(spark, sf):
-    s = _ev(spark, sf)["silver"]
+    s = _ev(spark, sf, values=False)["silver"]
     return s.select(*KEYS, "frame_index", round6("confidence").alias("confidence"))
 
 
@@ -131,7 +130,7 @@ def payload_width_check_q(spark, sf):
     "SELECT session_id, device_id, stream_id, round(avg(valid::INT), 6) AS coverage "
     "FROM sl GROUP BY ALL"))
 def coverage_q(spark, sf):
-    e = _ev(spark, sf)
+    e = _ev(spark, sf, values=False)
     return sv.stream_coverage(e["silver"], e["streams"]).select(*KEYS, round6("coverage").alias("coverage"))
 
 
@@ -140,7 +139,7 @@ def coverage_q(spark, sf):
     "(SELECT session_id, device_id, stream_id, avg(valid::INT) AS c FROM sl GROUP BY ALL) "
     "GROUP BY session_id"))
 def coverage_min_q(spark, sf):
-    e = _ev(spark, sf)
+    e = _ev(spark, sf, values=False)
     cov = sv.stream_coverage(e["silver"], e["streams"])
     return sv.coverage_min(cov, e["session_meta"]).select("session_id", round6("coverage_min").alias("coverage_min"))
 
@@ -150,7 +149,7 @@ def coverage_min_q(spark, sf):
     "LEFT JOIN (SELECT session_id, device_id, stream_id, avg(confidence) AS c FROM sl "
     "WHERE valid GROUP BY ALL) x USING (session_id) GROUP BY m.session_id"))
 def mean_confidence_q(spark, sf):
-    e = _ev(spark, sf)
+    e = _ev(spark, sf, values=False)
     return sv.mean_confidence(e["silver"], e["session_meta"]).select(
         "session_id", round6("label_confidence").alias("label_confidence"))
 
@@ -160,7 +159,7 @@ def mean_confidence_q(spark, sf):
     "(SELECT session_id, count(*) AS frame_count FROM grid GROUP BY 1) g LEFT JOIN "
     "(SELECT session_id, sum(valid::BIGINT)::BIGINT AS sample_count FROM sl GROUP BY 1) s USING (session_id)"))
 def export_counts_q(spark, sf):
-    e = _ev(spark, sf)
+    e = _ev(spark, sf, values=False)
     return sv.export_counts(e["silver"], e["grid"])
 
 
@@ -194,7 +193,7 @@ def feature_names_q(spark, sf):
     "(SELECT session_id, device_id, stream_id, avg(valid::INT) AS cov FROM sl GROUP BY ALL) c "
     "USING (session_id, device_id, stream_id)"))
 def stream_meta_q(spark, sf):
-    e = _ev(spark, sf)
+    e = _ev(spark, sf, values=False)
     m = sv.stream_meta(e["streams"], e["silver"])
     return m.select("session_id", "feature", "key", "payload_kind", "units", "kernel", "width",
                     round6("coverage").alias("coverage"))
@@ -347,3 +346,4 @@ def publishable_q(spark, sf):
     return _gate(spark, sf, True)
 from . import catalog_gold  # noqa: E402,F401
 from . import catalog_lineage  # noqa: E402,F401
+from . import catalog_verdicts  # noqa: E402,F401

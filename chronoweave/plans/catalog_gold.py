@@ -165,14 +165,15 @@ def subframe_q(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# D1–D8 on embeddings reshaped to (21, 3) with the synthetic topology
+# D1–D8 on whole embeddings as (sensors, 3) with the synthetic topology
 # ---------------------------------------------------------------------------
 _CLUSTERS = ["thumb", "index", "middle", "ring", "palm"]
 _CL_CASE = "CASE least(k // 4, 4) " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CLUSTERS)) + " END"
 _DERIVED_CTES = f"""
-WITH emb AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS frame_index, label <> 9 AS valid, embedding
+WITH emb AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS frame_index, embedding IS NOT NULL AS valid,
+                    (SELECT CAST((max(len(embedding)) + 2) // 3 * 3 AS BIGINT) FROM embeddings) AS width, embedding
              FROM embeddings),
-el AS (SELECT frame_index, valid, unnest(range(63)) AS pos, unnest(embedding[1:63]) AS v0 FROM emb),
+el AS (SELECT frame_index, valid, unnest(range(width)) AS pos, unnest(list_resize(embedding, width, 0)) AS v0 FROM emb),
 e2 AS (SELECT frame_index, pos, CASE WHEN valid THEN v0::FLOAT ELSE 'NaN'::FLOAT END AS v FROM el),
 b AS (SELECT pos, median(v::DOUBLE) AS b0 FROM e2 WHERE NOT isnan(v) GROUP BY pos),
 d AS (SELECT e2.frame_index, e2.pos, e2.v::DOUBLE - coalesce(b.b0, 'NaN'::DOUBLE) AS db
@@ -192,8 +193,9 @@ _EMB_KEYS = f"'emb' AS session_id, '{dt.EMB_DEVICE}' AS device_id, '{dt.EMB_STRE
 
 def _emb(spark, sf):
     s = dt.embedding_frames(spark, sf)
-    st = dt.embedding_streams(spark)
-    sensors, members = dt.synthetic_topology(spark)
+    n = dt.embedding_sensors(spark, sf)
+    st = dt.embedding_streams(spark, n)
+    sensors, members = dt.synthetic_topology(spark, n)
     return s, st, sensors, members
 
 

@@ -270,13 +270,7 @@ SELECT session_id, topic, row_number() OVER (PARTITION BY session_id, topic ORDE
 FROM m""")
 def message_log_scan_q(spark, sf):
     m = msg.events_as_messages(dt.read(spark, sf, "events"), dt._session_col("day"))
-    topics = ["click", "error", "purchase", "signup", "view"]
-    km = {f"event_{t}": (t, "k") for t in topics}
-    out = None
-    for t in topics:
-        part = msg.scan_messages(m, f"event_{t}", km)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return msg.scan_topics(m, "k")
 
 
 # ---------------------------------------------------------------------------

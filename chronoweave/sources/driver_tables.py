@@ -2,8 +2,8 @@
 
 ``events`` becomes multi-device sensor sessions: session = calendar day of
 ``ts`` (or one constant session), device = ``event_type``, stream ``value``,
-payload ``[value, props.k]``. ``embeddings`` becomes a magnetic (21, 3)
-stream, ``lineitem`` a wide sensor-column table, ``documents`` content digests.
+payload ``[value, props.k]``. ``embeddings`` becomes a magnetic
+(sensors, 3) stream, ``lineitem`` a wide sensor-column table, ``documents`` content digests.
 """
 from __future__ import annotations
 
@@ -30,8 +30,6 @@ EVENT_CLOCK = "events_utc"
 EMB_TOPOLOGY = "Mark2_v1"
 EMB_DEVICE = "glove_L"
 EMB_STREAM = "tactile_field"
-EMB_INVALID_LABEL = 9
-EMB_SENSORS = 21
 
 
 _READS: dict = {}
@@ -151,18 +149,20 @@ def event_inputs(spark: SparkSession, sf_dir: str, mode: str = "day", *,
 
 
 # ---------------------------------------------------------------------------
-# embeddings → magnetic (21, 3) stream with a synthetic topology
+# embeddings → magnetic (sensors, 3) stream with a synthetic topology
 # ---------------------------------------------------------------------------
 def embedding_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One session ``emb``; frame = rank of vec_id; first 63 floats as (21,3);
-    frames labelled ``EMB_INVALID_LABEL`` are gaps (NaN, invalid)."""
+    """One session ``emb``; frame = rank of vec_id; the whole vector as (sensors, 3), filled up
+    with zeros to a multiple of three; null vectors are gaps (NaN, invalid)."""
     e = read(spark, sf_dir, "embeddings")
+    width = 3 * embedding_sensors(spark, sf_dir)
     idx = number_rows(e.select("vec_id"), [], ["vec_id"], t="vec_id",
                       bucket_us=1 << 16, out="frame_index")
     j = e.join(idx.select("vec_id", "frame_index"), "vec_id")
-    valid = F.col("label") != F.lit(EMB_INVALID_LABEL)
-    nanv = F.array_repeat(F.lit(float("nan")).cast("float"), 3 * EMB_SENSORS)
-    value = F.when(valid, F.slice("embedding", 1, 3 * EMB_SENSORS).cast("array<float>")).otherwise(nanv)
+    valid = F.col("embedding").isNotNull()
+    nanv = F.array_repeat(F.lit(float("nan")).cast("float"), width)
+    fill = F.array_repeat(F.lit(0.0).cast("float"), (F.lit(width) - F.size("embedding")).cast("int"))
+    value = F.when(valid, F.concat(F.col("embedding").cast("array<float>"), fill)).otherwise(nanv)
     # a data-derived (non-constant) session key keeps the joins on the stream
     # keys equi-joins instead of letting constant folding turn them into
     # cartesian products with the dimension tables
@@ -176,20 +176,26 @@ def embedding_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1.0).alias("conf_clock"), F.lit(1.0).alias("conf_interp"))
 
 
-def embedding_streams(spark: SparkSession) -> DataFrame:
+def embedding_sensors(spark: SparkSession, sf_dir: str) -> int:
+    """Sensors of three axes that the longest vector fills (one scalar)."""
+    width = read(spark, sf_dir, "embeddings").agg(F.max(F.size("embedding"))).first()[0]
+    return max(1, -(-(width or 0) // 3))
+
+
+def embedding_streams(spark: SparkSession, n_sensors: int) -> DataFrame:
     return spark.createDataFrame(
-        [("emb", EMB_DEVICE, EMB_STREAM, MAG_KIND, "uT", "continuous", [EMB_SENSORS, 3],
+        [("emb", EMB_DEVICE, EMB_STREAM, MAG_KIND, "uT", "continuous", [n_sensors, 3],
           EMB_TOPOLOGY, "sha256:" + "0" * 64)],
         "session_id string, device_id string, stream_id string, payload_kind string, "
         "units string, kernel string, shape array<int>, topology_ref string, topology_hash string")
 
 
-def synthetic_topology(spark: SparkSession):
+def synthetic_topology(spark: SparkSession, n_sensors: int):
     """Sensors on a grid (x = 0.01·k m, y = 0.01·(k mod 4) m) in five clusters
-    of four (the last has five): cluster ``k div 4`` capped at 4."""
+    of four (the last has the rest): cluster ``k div 4`` capped at 4."""
     names = ["thumb", "index", "middle", "ring", "palm"]
     sensors, members = [], []
-    for k in range(EMB_SENSORS):
+    for k in range(n_sensors):
         c = min(k // 4, 4)
         sid = f"bmm_{names[c]}_{k - 4 * c}"
         sensors.append((EMB_TOPOLOGY, sid, k, "magnetic", 0.01 * k, 0.01 * (k % 4)))

@@ -37,8 +37,13 @@ def scan_messages(messages: DataFrame, payload_kind: str, kind_map: dict | None
     if payload_kind not in km:
         raise SourceError(f"message reader does not know payload_kind {payload_kind!r}")
     topic, field = km[payload_kind]
-    m = messages.where(F.col("topic") == topic)
-    m = m.select("session_id", "topic", "log_time", "seq",
+    return scan_topics(messages.where(F.col("topic") == topic), field, bucket_us)
+
+
+def scan_topics(messages: DataFrame, field: str, bucket_us: int | None = None) -> DataFrame:
+    """S6 for every topic of a message table in one scan: the topics that read ``field`` need not
+    be known beforehand."""
+    m = messages.select("session_id", "topic", "log_time", "seq",
                  flatten_numbers("data", field).alias("value"))
     from ..operators.asof import number_rows
     kw = {"bucket_us": bucket_us} if bucket_us else {"bucket_us": 6 * 3600 * 10**9}
@@ -53,4 +58,4 @@ def events_as_messages(events: DataFrame, session_col: F.Column) -> DataFrame:
                          F.col("event_id").alias("seq"), F.col("props").alias("data"))
 
 
-__all__ = ["scan_messages", "events_as_messages", "flatten_numbers"]
+__all__ = ["scan_messages", "scan_topics", "events_as_messages", "flatten_numbers"]

@@ -31,3 +31,14 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_checks_and_gate_have_every_outcome(spark):
+    import chronoweave.operators.checks as ck
+    checks = QUERIES["checks_lines"](spark, SF_ORACLE).toPandas()
+    for c in ck.CHECK_ORDER:
+        assert set(checks[c]) == {"pass", "fail"}, c
+    g = QUERIES["gate_orders"](spark, SF_ORACLE).toPandas()
+    assert set(g.gate_verdict) == set(g.uncapped_verdict) == {"BLOCKED", "NEEDS_REVIEW", "RELEASE", "CERTIFIED"}
+    assert set(g.ok_to_publish) == {True, False}
+    assert (g.gate_verdict != g.uncapped_verdict).any() and {"UNHEARD_OF", "CERTIFIED"} <= set(g.sync_ceiling)

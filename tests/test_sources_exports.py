@@ -148,8 +148,11 @@ def test_lerobot_layouts_and_rlds_flags(spark):
 def test_derived_centroid_inside_cluster_and_refusals(spark):
     from chronoweave.sources import driver_tables as dt
     s = dt.embedding_frames(spark, "/root/testdata/sf0.001")
-    st = dt.embedding_streams(spark)
-    sensors, members = dt.synthetic_topology(spark)
+    gap = F.col("frame_index") % 10 == 3
+    s = (s.withColumn("valid", ~gap)
+          .withColumn("value", F.when(gap, F.transform("value", lambda _: F.lit(float("nan")).cast("float"))).otherwise(F.col("value"))))
+    st = dt.embedding_streams(spark, 22)
+    sensors, members = dt.synthetic_topology(spark, 22)
     cf = dv.cluster_features(s, st, sensors, members)
     ext = (dv.cluster_map(sensors, members).groupBy("cluster_id")
            .agg(F.min("x_m").alias("x0"), F.max("x_m").alias("x1"), F.min("y_m").alias("y0"), F.max("y_m").alias("y1")))
@@ -240,8 +243,8 @@ def test_uri_and_source_assertions(spark):
 def test_derived_metadata_survives_parquet(spark, tmp_dir):
     from chronoweave.sources import driver_tables as dt
     s = dt.embedding_frames(spark, "/root/testdata/sf0.001")
-    st = dt.embedding_streams(spark)
-    sensors, members = dt.synthetic_topology(spark)
+    st = dt.embedding_streams(spark, 22)
+    sensors, members = dt.synthetic_topology(spark, 22)
     out = os.path.join(tmp_dir, "derived")
     dv.derived_export(s, st, sensors, members).write.parquet(out)
     back = spark.read.parquet(out)
