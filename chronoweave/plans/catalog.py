@@ -116,8 +116,21 @@ def confidence_fold_q(spark, sf):
     "FROM payload p JOIN streams s USING (session_id, device_id, stream_id) "
     "GROUP BY ALL"))
 def payload_width_check_q(spark, sf):
-    p = dt.event_payload(spark, sf)
+    return _width_counts(dt.event_payload(spark, sf), dt.event_streams(spark, sf))
+
+
+@register("payload_width_mismatch", q.with_(
+    "SELECT session_id, device_id, stream_id, count(*) AS n_rows, "
+    "sum(CASE WHEN len(value) <> CASE WHEN device_id = 'error' THEN 6 ELSE 2 END THEN 1 ELSE 0 END)::BIGINT AS n_bad "
+    "FROM payload GROUP BY ALL"))
+def payload_width_mismatch_q(spark, sf):
+    """P14 against descriptors that declare another shape for one device."""
     st = dt.event_streams(spark, sf)
+    wrong = st.withColumn("shape", F.when(F.col("device_id") == "error", F.array(F.lit(2), F.lit(3))).otherwise(F.col("shape")))
+    return _width_counts(dt.event_payload(spark, sf), wrong)
+
+
+def _width_counts(p, st):
     bad = align.payload_width_violations(p, st).groupBy(*KEYS).agg(F.count("*").alias("n_bad"))
     return (p.groupBy(*KEYS).agg(F.count("*").alias("n_rows")).join(bad, KEYS, "left")
             .select(*KEYS, "n_rows", F.coalesce("n_bad", F.lit(0)).alias("n_bad")))
@@ -187,6 +200,19 @@ def feature_names_q(spark, sf):
     return sv.feature_names(dt.event_streams(spark, sf)).select(*KEYS, "feature")
 
 
+@register("feature_names_mixed", q.with_(
+    "SELECT session_id, device_id, stream_id, CASE WHEN count(*) OVER (PARTITION BY session_id, stream_id) = 1 "
+    "THEN stream_id ELSE device_id || '.' || stream_id END AS feature FROM "
+    "(SELECT session_id, device_id, CASE WHEN kernel = 'hold' THEN 'alert' ELSE device_id || '_value' END AS stream_id "
+    "FROM streams)"))
+def feature_names_mixed_q(spark, sf):
+    """P6/A8 where some stream ids are unique in their session and others are not."""
+    st = dt.event_streams(spark, sf)
+    st = st.withColumn("stream_id", F.when(F.col("kernel") == "hold", "alert")
+                       .otherwise(F.concat("device_id", F.lit("_value"))))
+    return sv.feature_names(st).select(*KEYS, "feature")
+
+
 @register("stream_meta", q.with_(
     "SELECT f.session_id, f.feature, f.device_id || '::' || f.stream_id AS key, f.payload_kind, "
     "f.units, f.kernel, f.width, round(c.cov, 6) AS coverage FROM feat f JOIN "

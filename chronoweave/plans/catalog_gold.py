@@ -109,7 +109,7 @@ def message_log_export_q(spark, sf):
                     round6("confidence").alias("confidence"))
 
 
-@register("trainer_batches", q.with_(f"""
+_TRAINER = f"""
 SELECT s.session_id, f.feature, s.frame_index // {ex.TRAINER_BATCH_FRAMES} AS batch_id,
        any_value(n.num_samples) AS num_samples,
        min(s.frame_index) AS frame_start, count(*)::INT AS n_frames,
@@ -119,12 +119,22 @@ SELECT s.session_id, f.feature, s.frame_index // {ex.TRAINER_BATCH_FRAMES} AS ba
        list((s.t_ref_us / 1e6)::FLOAT ORDER BY s.frame_index) AS timestamp
 FROM sl s JOIN feat f USING (session_id, device_id, stream_id)
 JOIN (SELECT session_id, count(DISTINCT frame_index) AS num_samples FROM sl GROUP BY 1) n USING (session_id)
-GROUP BY 1, 2, 3"""))
+GROUP BY 1, 2, 3"""
+
+
+@register("trainer_batches", q.with_(_TRAINER))
 def trainer_batches_q(spark, sf):
     e = _ev(spark, sf)
     return ex.trainer_batches(e["silver"], e["streams"])
 
 
+@register("trainer_batches_long", q.with_(_TRAINER, session=q.ONE))
+def trainer_batches_long_q(spark, sf):
+    """K8 over all events as one session, which is longer than a chunk."""
+    e = _ev(spark, sf, "all")
+    return ex.trainer_batches(e["silver"], e["streams"])
+
+
 # ---------------------------------------------------------------------------
 # F1–F2 sub-frame bursts (B8: events as the high-rate stream, 6 h anchors)
 # ---------------------------------------------------------------------------

@@ -142,11 +142,12 @@ def session_summary_q(spark, sf):
 
 _B_DEVICE = "CASE WHEN event_type = 'error' THEN 'fault' ELSE event_type END"
 _B_TOL = 1_200_000_000
-_DIFF_SQL = ("WITH " + q.ctes() + ",\n" + q.ctes(pre="b_", device=_B_DEVICE, tol=_B_TOL) + ",\n"
-             + _SUMMARY_CTES.format(p="").strip() + ",\n"
+_DIFF_SUMMARIES = (_SUMMARY_CTES.format(p="").strip() + ",\n"
              + _SUMMARY_CTES.format(p="b_").strip().replace("stats AS", "b_stats AS")
              .replace("rng AS", "b_rng AS").replace("JOIN stats s", "JOIN b_stats s")
              .replace("JOIN rng r", "JOIN b_rng r") + "\n")
+_DIFF_SQL = "WITH " + q.ctes() + ",\n" + q.ctes(pre="b_", device=_B_DEVICE, tol=_B_TOL) + ",\n" + _DIFF_SUMMARIES
+_RENAME_SQL = "WITH " + q.ctes() + ",\n" + q.ctes(pre="b_", device=_B_DEVICE) + ",\n" + _DIFF_SUMMARIES
 
 
 def _versions(spark, sf, reuse):
@@ -155,7 +156,7 @@ def _versions(spark, sf, reuse):
     return a, b
 
 
-@register("dataset_diff", _DIFF_SQL + """
+_DIFF_ROWS = """
 SELECT coalesce(a.session_id, b.session_id) AS session_id, coalesce(a.stream, b.stream) AS stream,
        CASE WHEN a.stream IS NULL THEN 'added' WHEN b.stream IS NULL THEN 'removed'
             WHEN a.device_id IS NOT DISTINCT FROM b.device_id AND a.payload_kind IS NOT DISTINCT FROM b.payload_kind
@@ -164,13 +165,25 @@ SELECT coalesce(a.session_id, b.session_id) AS session_id, coalesce(a.stream, b.
              AND a.confidence_mean IS NOT DISTINCT FROM b.confidence_mean THEN 'same' ELSE 'changed' END AS status,
        round(b.coverage - a.coverage, 6) AS coverage_delta,
        round(b.confidence_mean - a.confidence_mean, 6) AS confidence_delta
-FROM summ a FULL OUTER JOIN b_summ b ON a.session_id = b.session_id AND a.stream = b.stream""")
+FROM summ a FULL OUTER JOIN b_summ b ON a.session_id = b.session_id AND a.stream = b.stream"""
+
+
+@register("dataset_diff", _DIFF_SQL + _DIFF_ROWS)
 def dataset_diff_q(spark, sf):
     a, b = _versions(spark, sf, reuse=False)     # one Silver consumer per version
     return insp.diff_streams(insp.summarize_streams(a["silver"], a["streams"]),
                              insp.summarize_streams(b["silver"], b["streams"]))
 
 
+@register("dataset_diff_renamed", _RENAME_SQL + _DIFF_ROWS)
+def dataset_diff_renamed_q(spark, sf):
+    """I3 of two versions that differ in one device's name: streams added, removed and the same."""
+    a = _ev(spark, sf)
+    b = _ev(spark, sf, device_map={"error": "fault"})
+    return insp.diff_streams(insp.summarize_streams(a["silver"], a["streams"]),
+                             insp.summarize_streams(b["silver"], b["streams"]))
+
+
 @register("diff_summary", _DIFF_SQL + """
 , sa AS (SELECT m.session_id, g.n AS n_grid, round(coalesce(c.cm, 1.0), 6) AS coverage_min FROM meta m
          JOIN (SELECT session_id, count(*) AS n FROM grid GROUP BY 1) g USING (session_id)

@@ -50,7 +50,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _session_col(mode: str):
     if mode == "day":
         return F.concat(F.lit("day_"), F.date_format(F.col("ts"), "yyyyMMdd"))
-    return F.lit("events")
+    # not a constant: joins on a folded session key would become nested loops
+    return F.when(F.col("ts").isNotNull(), F.lit("events"))
 
 
 def _device_col(device_map: dict | None):

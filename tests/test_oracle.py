@@ -42,3 +42,12 @@ def test_checks_and_gate_have_every_outcome(spark):
     assert set(g.gate_verdict) == set(g.uncapped_verdict) == {"BLOCKED", "NEEDS_REVIEW", "RELEASE", "CERTIFIED"}
     assert set(g.ok_to_publish) == {True, False}
     assert (g.gate_verdict != g.uncapped_verdict).any() and {"UNHEARD_OF", "CERTIFIED"} <= set(g.sync_ceiling)
+
+
+def test_other_queries_have_every_outcome(spark):
+    def values(name, col):
+        return {r[0] for r in QUERIES[name](spark, SF_ORACLE).select(col).distinct().collect()}
+    assert values("dataset_diff_renamed", "status") == {"same", "added", "removed"}
+    assert values("trainer_batches_long", "batch_id") == {0, 1}
+    assert {n > 0 for n in values("payload_width_mismatch", "n_bad")} == {True, False}
+    assert {"." in f for f in values("feature_names_mixed", "feature")} == {True, False}
