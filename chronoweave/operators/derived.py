@@ -100,8 +100,11 @@ def cluster_features(silver: DataFrame, streams: DataFrame, sensors: DataFrame,
     cm = cluster_map(sensors, members)
     cl = cm.groupBy("topology_ref", "cluster_id", "cluster_ord").agg(
         F.array_sort(F.collect_list(F.struct("ord", "x_m", "y_m"))).alias("_mem"))
-    # Stream → topology by device (streams carry the device's topology_ref)
-    j = d.join(mags.select(*KEYS, "topology_ref"), KEYS).join(cl, "topology_ref")
+    # Stream → topology by device (streams carry the device's topology_ref), one row per
+    # stream; frames meet it on the stream key they are already dealt by
+    per = (mags.select(*KEYS, "topology_ref").join(cl, "topology_ref")
+           .groupBy(*KEYS).agg(F.collect_list(F.struct("cluster_id", "cluster_ord", "_mem")).alias("_clusters")))
+    j = d.join(per, KEYS).select(*d.columns, F.inline("_clusters"))
     mem = F.col("_mem")
     n = F.size(mem).cast("double")
 
