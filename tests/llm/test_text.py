@@ -182,6 +182,45 @@ def test_decontamination_of_the_small_table(spark):
     assert got == brute_pairs([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
 
 
+def overlap_pairs(rows, items, n=8):
+    """Pairs by windows of equal words, letter case aside."""
+    def words(t):
+        return [x.lower() for x in (w.strip(decontamination.PUNCTUATION) for w in re.split(r"[ \t\n\x0b\f\r]+", t or "")) if x]
+    out = set()
+    for k, t in rows:
+        d = words(t)
+        for i, x in items:
+            w = words(x)
+            m = min(n, len(w))
+            diag = defaultdict(set)
+            for p in range(len(w) - m + 1 if m else 0):
+                for q in range(len(d) - m + 1):
+                    if d[q:q + m] == w[p:p + m]:
+                        diag[q - p].add(p)
+            hit = set().union(*diag.values())
+            run = max((len(s) + m - 1 for s in diag.values()), default=0)
+            if hit and (len(hit) / (len(w) - m + 1) >= 0.5 or run >= 13):
+                out.add((k, i))
+    return out
+
+
+def test_decontamination_whatever_the_letter_case(spark, make_docs):
+    title = " ".join(w.capitalize() for w in "the long road that went over seven old hills and then came down".split())
+    digits = " ".join(str(n) for n in range(2, 40, 3))
+    items = [(1, QUESTION), (2, title), (3, digits), (4, QUESTION.upper().replace("TOM", "JOE")), (5, "plain words that hold no name or number at all in here")]
+    copies = [f(x) for _, x in items for f in (str.upper, str.lower, str.title, lambda t: " ".join(t.split()[:9]))]
+    rows = [(k, f"before it. {t} AND after") for k, t in enumerate(copies)] + [(90, "1 2 3 4 5 6 7 8 9 10 11 12"), (91, "A B C D E F G H I J K"), (92, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontamination.contaminated(make_docs(rows), bench).collect()
+    got = {(r.doc_id, r.item_id) for r in out}
+    templates = {x[:2] for x in brute_pairs(rows, items)}
+    literal = overlap_pairs(rows, items)
+    assert got == templates | literal and literal - templates
+    assert {(4 * i + j, i + 1) for i in range(5) for j in range(3)} <= got
+    whole = {(r.doc_id, r.item_id): r for r in out}[0, 1]
+    assert (whole.coverage, whole.exact, whole.first, whole.last) == (1.0, True, 2, 1 + len(QUESTION.split()))
+
+
 # ---- pipeline ----
 
 def test_pipeline_stages(spark, tmp_dir):
