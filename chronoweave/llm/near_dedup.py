@@ -94,11 +94,11 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
                 h = shingle_hashes(t.split(), hashes, roll)
                 if not len(h):
                     continue
-                ids, n = np.unique(h, return_counts=True)
+                ids = np.unique(h)
                 keys.append(k)
                 same.append(text_id(t))
                 sizes.append(len(t))
-                sets.append((ids, 1.0 + np.log(n)))
+                sets.append((ids, np.ones(len(ids))))  # links are decided by plain sets
                 held += len(ids)
                 if held > 3_000_000:
                     yield out(keys, same, sizes, sets)
@@ -207,8 +207,9 @@ def near_classes(docs: DataFrame, *, least: float = 0.8, width: int = 5, bands:
     Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles
     (words: runs of bytes other than space and 0x09-0x0D) is ``least`` or more; classes are
     the connected components of links and of equal texts. Equal texts collapse first. The others
-    get ProbMinHash signatures of their weighted shingles (1 + ln count) and meet in band
-    buckets; buckets send each member to their smallest member (no pairs), and the components of
+    get ProbMinHash signatures of their sets of shingles, all of weight one (so that registers
+    estimate the very Jaccard similarity that decides, however often a text repeats a block), and
+    meet in band buckets; buckets send each member to their smallest member (no pairs), and the components of
     that graph hold all candidate links: with 32 bands of 6 registers a pair at similarity 0.8
     meets with probability 0.9999. Each component's texts then come together once, and exact
     Jaccard decides each link that could still join two classes. A component of more than

@@ -62,6 +62,20 @@ def test_near_classes_edges(spark, make_docs):
     assert got == Counter([(None, None), (1, 1), (1, 1), (1, 1), (3, 1)])
 
 
+def test_near_classes_where_one_text_repeats_a_block(spark, make_docs):
+    """Pairs at a set similarity just over 0.8, of which one text holds a block many times."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(7))
+    rows = []
+    for k in range(0, 60, 2):
+        block, rest = [word() for _ in range(60)], [word() for _ in range(140)]
+        rows.append((k, " ".join(block + rest)))
+        rows.append((k + 1, " ".join(block * 50 + rest[:120] + [word() for _ in range(10)])))
+    want = brute_classes(rows)
+    assert want == Counter((k, k - k % 2) for k in range(60))
+    assert Counter(map(tuple, near_dedup.near_classes(make_docs(rows)).collect())) == want
+
+
 def test_near_classes_of_the_small_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = Counter(map(tuple, near_dedup.near_classes(docs).collect()))
