@@ -3,13 +3,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import Rolling, WordHashes, power_of_two, spark_xxhash64, text_bytes, utf8
 
 _U = np.uint64
-_PACKED = "bucket int, n int, hashes binary, ranks binary, ids binary, n_own int"
+_PACKED = "bucket int, n int, hashes binary, seconds binary, ranks binary, ids binary, n_own int"
+#: Bytes kept of each window's second hash.
+_SECOND = 4
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
@@ -23,20 +26,51 @@ def _unplanes(raw: bytes, n: int, width: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+class _WordPairs(WordHashes):
+    """bytes → two hashes by different functions, side by side."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        h = self[word] = (xxhash.xxh3_64_intdigest(word).to_bytes(8, "little")
+                          + xxhash.xxh64_intdigest(word).to_bytes(8, "little"))
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.limit:
+            self.clear()
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u8").reshape(-1, 2)
+
+
 class _Windows:
     def __init__(self, width: int):
-        self.words, self.roll, self.width = WordHashes(), Rolling(width), width
+        self.words, self.roll, self.width = _WordPairs(), Rolling(width), width
+
+    def both(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and second hash of every window of a row of words."""
+        return self.roll(pairs[:, 0]), self.roll(pairs[:, 1]) & _U((1 << 8 * _SECOND) - 1)
 
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
-        """Hashes of all windows of some texts, the text each starts in, words of each text."""
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """Both hashes of all windows of some texts, the text each starts in, words of each text."""
         hashed = [self.words.of(t.split()) for t in texts]
         n = [len(h) for h in hashed]
-        flat = self.roll(np.concatenate(hashed)) if hashed else np.zeros(0, _U)
+        flat, second = self.both(np.concatenate(hashed) if hashed else np.zeros((0, 2), _U))
         of = np.repeat(np.arange(len(n)), n)
         starts = np.concatenate(([0], np.cumsum(n)))[of] if len(of) else of
         inside = np.arange(len(of)) - starts + self.width <= np.array(n, np.int64)[of]
         inside = inside[: len(flat)]
-        return flat[inside], of[: len(flat)][inside], n
+        return flat[inside], second[inside], of[: len(flat)][inside], n
+
+
+def _differ(h: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Whether each window of a sorted row is another one than that before it."""
+    return np.concatenate(([True], (h[1:] != h[:-1]) | (s[1:] != s[:-1])))
+
+
+def _order(h: np.ndarray, s: np.ndarray, d: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """The order by window (both hashes), then owner, from that by first hash, then owner."""
+    x, y = h[by], s[by]
+    if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any():  # first hashes that agree by accident
+        return np.lexsort((d, s, h))
+    return by
 
 
 def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", text: str = "text",
@@ -50,7 +84,8 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
     third of all documents hold sends one entry per batch), and sends them to the hash's bucket
     as packed arrays; a bucket finds the smallest key of each hash and sends later documents
     their repeated hashes. Each document then marks these windows, whose union are maximal
-    removal intervals. Hashes keep 48 bits beside the bucket number's.
+    removal intervals. Hashes keep 48 bits beside the bucket number's, and a window is only taken
+    for another if 32 bits of a second hash, from other hashes of the words, agree too.
 
     Returns key, n_words, n_removed, kept (remaining words joined by one space), removed (array
     of word intervals ``start, end``). Null text: no words. Null key: neither loses words nor
@@ -70,18 +105,18 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
         def flush(keys: list[int], texts: list[bytes]):
             order = np.argsort(np.array(keys, np.int64), kind="stable")
             ids, rank = np.unique(np.array(keys, np.int64), return_inverse=True)
-            h, of, _ = win.of([texts[i] for i in order])
-            r = rank[order][of]
-            by = np.argsort(h, kind="stable")  # within a hash: ascending key
-            h, r = h[by], r[by]
+            h, s, of, _ = win.of([texts[i] for i in order])
             if not len(h):
                 return
-            first = np.concatenate(([True], h[1:] != h[:-1]))
+            r = rank[order][of]
+            by = _order(h, s, r, np.argsort(h, kind="stable"))  # within a hash: ascending key
+            h, s, r = h[by], s[by], r[by]
+            first = _differ(h, s)
             lead = r[first][np.cumsum(first) - 1]
             late = ~first & (r > lead)
-            late &= np.concatenate(([True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])))
+            late &= first | np.concatenate(([True], r[1:] != r[:-1]))
             kind = np.uint16 if len(ids) < 65536 else np.uint32
-            own, later = (h[first], r[first]), (h[late], r[late])
+            own, later = (h[first], r[first], s[first]), (h[late], r[late], s[late])
             cut = [np.searchsorted(x[0], (np.arange(1, nb, dtype=_U) << _U(64 - kb))) if kb else np.zeros(0, np.int64) for x in (own, later)]
             edges = [np.concatenate(([0], c, [len(x[0])])) for c, x in zip(cut, (own, later))]
             out = []
@@ -91,11 +126,12 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
                     continue
                 hs = np.concatenate((own[0][a:z], later[0][c:y]))
                 rs = np.concatenate((own[1][a:z], later[1][c:y]))
+                seconds = _planes(np.concatenate((own[2][a:z], later[2][c:y])), _SECOND)
                 used, at = np.unique(rs, return_inverse=True)
-                out.append((b, len(hs), _planes((hs >> shift) & low, 6), at.astype(kind).tobytes(), _planes(ids[used].view(_U), 8), int(z - a)))
+                out.append((b, len(hs), _planes((hs >> shift) & low, 6), seconds, at.astype(kind).tobytes(), _planes(ids[used].view(_U), 8), int(z - a)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))],
-                names=["bucket", "n", "hashes", "ranks", "ids", "n_own"])
+                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))],
+                names=["bucket", "n", "hashes", "seconds", "ranks", "ids", "n_own"])
 
         keys, texts, held = [], [], 0
         for b in batches:
@@ -112,36 +148,39 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
 
     def judge(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
-        hs, ds, late = [], [], []
-        for n, h, r, i, own in zip(*(t.column(c).to_pylist() for c in ("n", "hashes", "ranks", "ids", "n_own"))):
+        hs, ss, ds, late = [], [], [], []
+        for n, h, s, r, i, own in zip(*(t.column(c).to_pylist() for c in ("n", "hashes", "seconds", "ranks", "ids", "n_own"))):
             ids = _unplanes(i, len(i) // 8, 8).view(np.int64)
             kind = np.uint16 if len(r) == 2 * n else np.uint32
             hs.append(_unplanes(h, n, 6))
+            ss.append(_unplanes(s, n, _SECOND))
             ds.append(ids[np.frombuffer(r, kind)])
             late.append(np.arange(n) >= own)
-        h, d, late = np.concatenate(hs), np.concatenate(ds), np.concatenate(late)
-        by = np.lexsort((d, h))
-        h, d, late = h[by], d[by], late[by]
-        first = np.concatenate(([True], h[1:] != h[:-1]))
+        h, s, d, late = np.concatenate(hs), np.concatenate(ss), np.concatenate(ds), np.concatenate(late)
+        by = _order(h, s, d, np.lexsort((d, h)))
+        h, s, d, late = h[by], s[by], d[by], late[by]
+        first = _differ(h, s)
         lead = d[first][np.cumsum(first) - 1]
         hit = late | (d > lead)
-        h, d = h[hit], d[hit]
+        h, s, d = h[hit], s[hit], d[hit]
         g = np.mod(spark_xxhash64(d), groups)
         by = np.argsort(g, kind="stable")
-        h, d, g = h[by], d[by], g[by]
+        h, s, d, g = h[by], s[by], d[by], g[by]
         at = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1]))) if len(g) else np.zeros(0, np.int64)
         ends = np.concatenate((at[1:], [len(g)])) if len(g) else at
         full = h | (_U(bucket) << _U(bits)) if kb else h
         return pa.table({"g": pa.array(g[at].astype(np.int32)),
-                         "hashes": pa.array([full[a:z].astype("<u8").tobytes() for a, z in zip(at, ends)], pa.binary()),
-                         "ids": pa.array([d[a:z].astype("<i8").tobytes() for a, z in zip(at, ends)], pa.binary())})
+                         "hashes": pa.array([_planes(full[a:z], 8) for a, z in zip(at, ends)], pa.binary()),
+                         "seconds": pa.array([_planes(s[a:z], _SECOND) for a, z in zip(at, ends)], pa.binary()),
+                         "ids": pa.array([_planes(d[a:z].view(_U), 8) for a, z in zip(at, ends)], pa.binary())})
 
     def mark(docs_t: pa.Table, hits: pa.Table) -> pa.Table:
         roll = _Windows(window)
-        h = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(x, "<u8") for x in hits.column("hashes").to_pylist())]) if len(hits) else np.zeros(0, "<u8")
-        d = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(x, "<i8") for x in hits.column("ids").to_pylist())]) if len(hits) else np.zeros(0, "<i8")
+        h, s, d = (np.concatenate([np.zeros(0, "<u8"), *(_unplanes(x, len(x) // width, width) for x in hits.column(c).to_pylist())]) if len(hits) else np.zeros(0, "<u8")
+                   for c, width in (("hashes", 8), ("seconds", _SECOND), ("ids", 8)))
+        d = d.view(np.int64)
         by = np.lexsort((h, d))
-        h, d = h[by], d[by]
+        h, s, d = h[by], s[by], d[by]
         keys = docs_t.column("k").to_pylist()
         n_words, n_removed, kept, removed = [], [], [], []
         for k, x in zip(keys, docs_t.column("t")):
@@ -149,10 +188,16 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
             a, z = (0, 0) if k is None else (np.searchsorted(d, k), np.searchsorted(d, k, "right"))
             spans = []
             if a < z:
-                own = roll.roll(roll.words.of(words)) >> shift
-                mine = h[a:z]
-                p = np.minimum(np.searchsorted(mine, own), len(mine) - 1)
-                starts = np.flatnonzero(mine[p] == own)
+                own, second = roll.both(roll.words.of(words))
+                own, mine, theirs = own >> shift, h[a:z], s[a:z]
+                p, q = np.searchsorted(mine, own), np.searchsorted(mine, own, "right")
+                at = np.flatnonzero(p < q)
+                gone = np.zeros(len(own), bool)
+                while len(at):  # more than once only for a hit of several batches or two windows of one first hash
+                    gone[at] = theirs[p[at]] == second[at]
+                    p[at] += 1
+                    at = at[~gone[at] & (p[at] < q[at])]
+                starts = np.flatnonzero(gone)
                 if len(starts):
                     edge = np.flatnonzero(np.diff(starts) > window)
                     lo = starts[np.concatenate(([0], edge + 1))]
@@ -173,7 +218,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
 
     base = docs.select(F.col(key).cast("long").alias("k"), utf8(text).alias("t"))
     packed = base.where("k is not null").mapInArrow(pack, _PACKED)
-    hits = packed.groupBy("bucket").applyInArrow(judge, "g int, hashes binary, ids binary")
+    hits = packed.groupBy("bucket").applyInArrow(judge, "g int, hashes binary, seconds binary, ids binary")
     # rows without a key are spread by their text
     placed = base.withColumn("g", F.pmod(F.when(F.col("k").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("k")),
                                          F.lit(groups)).cast("int"))

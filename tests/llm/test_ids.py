@@ -121,6 +121,18 @@ def test_substrings(spark, make_docs, w, params):
         assert all(a.end < b.start for a, b in zip(r.removed, r.removed[1:]))
 
 
+@pytest.mark.parametrize("params", [{}, dict(windows_per_batch=1)])
+def test_substrings_whose_first_hashes_agree(spark, make_docs, params):
+    """Different windows of two words, equal in the 48 bits that are kept of their first hash."""
+    pairs = [("v2634 v5869", "v2587 v3582"), ("v4187 v7579", "v595 v6112"), ("v740 v3923", "v439 v363")]
+    rows = [r for i, (a, b) in enumerate(pairs) for r in [(10 * i, f"x{i} {a} y{i}"), (10 * i + 1, f"z{i} {b} u{i}")]]
+    rows += [(40, "v740 v3923 r"), (41, "s v439 v363"), (42, "v439 v363 q v740 v3923"), (43, "t v595 v6112")]
+    for part in (rows, rows[::-1]):
+        out = substring_dedup.substring_dedup(make_docs(part, 2), window=2, **params).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == Counter(brute_substrings(part, 2))
+    assert sum(r.n_removed for r in out) == 10
+
+
 def test_substrings_of_no_documents(spark, make_docs):
     assert substring_dedup.substring_dedup(make_docs([])).count() == 0
 
