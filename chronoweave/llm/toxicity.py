@@ -153,41 +153,45 @@ def decode(stretch: str, model: CharModel) -> str:
     """The likeliest original of a stretch: words separated by single spaces.
 
     Viterbi over the lattice; a state is the last three symbols. Paths to equal states keep the
-    cheapest. Accented letters keep their accents; the model sees them without.
+    cheapest; a path is a chain of (path before, characters), so long stretches cost no copies.
+    Accented letters keep their accents; the model sees them without.
     """
     cost, mod = model.cost, SYMBOLS ** (ORDER - 1)
-    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for arcs in [*lattice(stretch.lower()), [(" ", 0.0)]]:
-        after: dict[int, tuple[float, str]] = {}
-        for ctx, (c0, text) in states.items():
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for ctx, (c0, path) in states.items():
             for ch, extra in arcs:
                 if ch == "":
-                    key, c1, t = ctx, c0 + extra, text
+                    key, c1, add = ctx, c0 + extra, ""
                 elif ch == " ":
                     if ctx == 0:  # no empty words
-                        key, c1, t = 0, c0 + extra, text
+                        key, c1, add = 0, c0 + extra, ""
                     else:
-                        key, c1, t = 0, c0 + extra + cost[ctx * SYMBOLS + _EDGE], text + " "
+                        key, c1, add = 0, c0 + extra + cost[ctx * SYMBOLS + _EDGE], " "
                 else:
                     code = ctx * SYMBOLS + symbol(ch)
-                    key, c1, t = code % mod, c0 + extra + cost[code], text + ch
+                    key, c1, add = code % mod, c0 + extra + cost[code], ch
                 if key not in after or c1 < after[key][0]:
-                    after[key] = (c1, t)
+                    after[key] = (c1, (path, add) if add else path)
         states = after
-    return min(states.values())[1].strip()
+    path, out = states[0][1], []  # the closing edge leads every path here
+    while path:
+        path, add = path
+        out.append(add)
+    return "".join(reversed(out)).strip()
 
 
 class Restorer:
     """Words of a text, with suspicious stretches restored. Results by token are remembered up to
     ``limit`` tokens."""
 
-    def __init__(self, model: CharModel, limit: int = 150_000, longest: int = 400):
-        self.model, self.limit, self.longest = model, limit, longest
+    def __init__(self, model: CharModel, limit: int = 150_000):
+        self.model, self.limit = model, limit
         self.memo: dict[str, tuple[str, ...]] = {}
 
     def _restore(self, stretch: str) -> str:
-        # a very long stretch is decoded in pieces: every character is read
-        return " ".join(decode(stretch[i:i + self.longest], self.model) for i in range(0, len(stretch), self.longest))
+        return decode(stretch, self.model)
 
     def token(self, token: str) -> tuple[str, ...]:
         got = self.memo.get(token)

@@ -57,6 +57,14 @@ def test_viterbi_finds_the_cheapest_path():
     assert r.text("an i d i o t") == "an idiot"
 
 
+def test_long_stretches_are_read_whole():
+    m, _ = small_model(["idiot"] * 9 + ["the"] * 30 + ["good"] * 8 + ["so", "on"])
+    r = toxicity.Restorer(m)
+    for before in range(30, 80):  # the word moves over 400 characters
+        assert "idiot" in r.text(" ".join("the" * before + "idiot" + "the" * 20)).split()
+    assert toxicity.decode(" ".join("good" * 5000), m).split() == ["good"] * 5000
+
+
 def brute_choose_covers(rows, chance):
     return [any(f in chance for f in fs) for _, fs in rows]
 
