@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, line_dedup, near_dedup, packing, sharding, substring_dedup, token_counts, token_files,
-               topk, toxicity)
+               topk, toxicity, warc)
 from ._common import scratch, table
 
 N_SHARDS = 40
@@ -72,9 +72,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives that it was written to."""
+    root = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), root)
+    return warc.page_records(warc.read_archives(spark, root, payload=False))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_token_files, op3_substring_dedup, op4_token_counts, op5_best_fit_packing,
-    op6_decontamination, op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity)}
+    op6_decontamination, op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity, op11_warc)}
 
 ORACLE: dict[str, str] = {
     "op7_exact_topk": """
@@ -86,6 +93,7 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS D
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
+    "op11_warc": warc.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE.format(sites=LINE_SITES),
 }
