@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, line_dedup, near_dedup, packing, sharding, substring_dedup, token_counts, token_files,
-               topk, toxicity, warc)
+from . import (decontamination, line_dedup, near_dedup, negatives, packing, prefix_trie, sharding, substring_dedup,
+               token_counts, token_files, topk, toxicity, warc)
 from ._common import scratch, table
 
 N_SHARDS = 40
@@ -79,9 +79,22 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, root, payload=False))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five best positives of every 50th vector."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0,
+                                    flip=F.col("vec_id") % 7 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, rebuilt with shared beginnings."""
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(lists))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_token_files, op3_substring_dedup, op4_token_counts, op5_best_fit_packing,
-    op6_decontamination, op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity, op11_warc)}
+    op6_decontamination, op7_exact_topk, op8_line_dedup, op9_near_dedup, op10_toxicity, op11_warc,
+    op12_hard_negatives, op13_prefix_trie)}
 
 ORACLE: dict[str, str] = {
     "op7_exact_topk": """
@@ -94,6 +107,8 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
     "op11_warc": warc.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE.format(sites=LINE_SITES),
 }

@@ -207,10 +207,16 @@ class _Source:
 
 @dataclass
 class _Member(_Source):
-    """The inflated bytes of one gzip member."""
-    inflate: object = field(default_factory=lambda: zlib.decompressobj(31))
+    """The inflated bytes of one gzip member. Its checksum and length are compared at its end, so
+    that what inflated before a wrong one has been seen."""
+    inflate: object = None
+    crc: int = 0
+    size: int = 0
 
     def _more(self) -> bytes:
+        if self.inflate is None:
+            self.at += _gzip_header(self.window.get(self.at, 1 << 16))
+            self.inflate = zlib.decompressobj(-15)
         while not self.inflate.eof:
             raw = self.inflate.unconsumed_tail or super()._more()
             if not raw:
@@ -220,14 +226,34 @@ class _Member(_Source):
             except zlib.error as e:
                 raise Damaged(f"member broken: {e}") from None
             if out:
+                self.crc, self.size = zlib.crc32(out, self.crc), self.size + len(out)
                 return out
         return b""
 
     def end(self) -> int:
-        """File offset after the member; its checksum and length have been compared there."""
+        """File offset after the member, once all of it has been read and its trailer agrees."""
         if self.read(1):
             raise Damaged("bytes after the last record of a member")
-        return self.at - len(self.inflate.unused_data)
+        self.at -= len(self.inflate.unused_data)
+        trailer = self.window.get(self.at, 8)
+        if trailer != (self.crc | (self.size & 0xFFFFFFFF) << 32).to_bytes(8, "little"):
+            raise Damaged("member checksum differs")
+        return self.at + 8
+
+
+def _gzip_header(data: bytes) -> int:
+    """Length of the gzip header that ``data`` starts with."""
+    if len(data) < 10 or data[2] != 8 or data[3] & 0xE0:
+        raise Damaged("no member header")
+    flags, at = data[3], 10
+    if flags & 4:
+        at += 2 + int.from_bytes(data[at:at + 2], "little")
+    for named in (8, 16):  # a file name, a comment
+        if flags & named:
+            at = data.find(b"\0", at) + 1
+            if not at:
+                raise Damaged("no member header")
+    return at + 2 * bool(flags & 2)
 
 
 _VERSION_LINE = re.compile(rb"WARC/\d\.\d\r?\n")
@@ -337,7 +363,8 @@ def salvage(f, size: int) -> Iterator[Found]:
     Gaps and records cover the file without overlap (records of one member share its bytes; empty
     members hold nothing). A
     record is good if its framing, its member's checksum and its digests, as far as it has them,
-    are. Members of several records give the ones that another record of the member follows.
+    are. A member of several records that breaks gives those that another one follows, as far as
+    it inflates (to within a buffer); its gap is the whole member.
     """
     window = _Window(f, size)
     at, gap, why = 0, None, None
