@@ -243,7 +243,8 @@ def prefix_trie(lists: DataFrame, *, container_sequences: int = 512, container_t
         if not over.count():
             kept.append(live)
             break
-        marked = cut(live.join(over, "k", "left"))
+        # before the first burst all sequences are in the root's container
+        marked = cut(live.join(over, "k", "left") if rounds else live.withColumn("big", F.lit(True)))
         kept.append(marked.where("big IS NULL").select(*columns))
         hot = marked.where("big")
         heads = hot.groupBy("k").agg(
