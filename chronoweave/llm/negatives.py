@@ -22,7 +22,7 @@ NO_LIMIT = np.iinfo(np.int64).max
 LARGEST = 1 << 26
 
 
-def segment_edges(dims: int, least: int = 4) -> list[np.ndarray]:
+def segment_edges(dims: int, least: int = 8) -> list[np.ndarray]:
     """Where segments start, by level: one segment, then halves, down to ``least`` components."""
     levels, edges = [], np.array([0, dims])
     while True:
@@ -64,49 +64,77 @@ class Block:
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.labels, self.vectors = ids[order], labels[order], vectors[order]
+        self.floats = self.vectors.astype(np.float64)
+        self.largest = int(np.abs(self.vectors).max(initial=0))
         self.summaries, self.slack = Summaries.of(self.vectors), slack(self.vectors)
         self.scored = 0  # exact scores so far
 
-    def best(self, rows: np.ndarray, query: np.ndarray, q: Summaries, at: int, length: float,
-             limits: list[tuple[int, int, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each (least, most, k) of ``limits``, the k best scores from least to most among
-        ``rows``, ties to smaller ids: (rows, scores), best first.
+    def best(self, open_: np.ndarray, queries: np.ndarray, limits: list[list[tuple[int, int, int]]]
+             ) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """For each query and each (least, most, k) of its ``limits``, the k best scores from least
+        to most among the rows that ``open_`` (queries by rows) marks, ties to smaller ids:
+        (rows, scores), best first. ``open_`` is used up.
 
-        A level's bounds put a candidate out of a range if they lie outside of it, or if k others
-        that are surely inside have lower bounds above its upper bound. A candidate that no range
-        keeps is not refined. Equal scores stay: an id may decide.
+        A level's bounds close a row for a query if they lie outside of all its ranges, or if in
+        each range k rows that are surely inside have lower bounds above its upper bound. Equal
+        scores stay: an id may decide. Closed rows are not refined.
         """
-        open_ = [rows] * len(limits)
+        q = Summaries.of(queries)
+        lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) + 1.0
         for mean, dev, qm, qd in zip(self.summaries.means, self.summaries.deviations, q.means, q.deviations):
-            live = rows if all(o is rows for o in open_) else np.unique(np.concatenate(open_))
-            if not len(live):
+            rows = np.flatnonzero(open_.any(axis=0))
+            if not len(rows):
                 break
-            middle = mean[live] @ qm[at]
-            spread = dev[live] @ qd[at] + self.slack[live] * length
-            low, high = middle - spread, middle + spread
-            kept = []
-            for o, (least, most, k) in zip(open_, limits):
-                i = np.searchsorted(live, o) if o is not live else slice(None)
-                lo, hi = low[i], high[i]
-                keep = (hi >= least) & (lo <= most)
-                sure = lo[(lo >= least) & (hi <= most)]
-                if len(sure) >= k:
-                    keep &= hi >= np.partition(sure, len(sure) - k)[len(sure) - k]
-                kept.append(o[keep])
-            open_ = kept
-        live = np.unique(np.concatenate(open_)) if open_ else rows[:0]
-        scores = self.vectors[live] @ query
-        self.scored += len(live)
+            rows = slice(None) if 2 * len(rows) > len(self.ids) else rows
+            middle = qm @ mean[rows].T
+            spread = qd @ dev[rows].T + np.outer(lengths, self.slack[rows])
+            low, high = middle - spread, np.add(middle, spread, out=middle)
+            for n, ranges in enumerate(limits):
+                if not ranges:
+                    continue
+                lo, hi, o = low[n], high[n], open_[n, rows]
+                floor = min(_threshold(lo, hi, o, 2 * spread[n].min(), *r) for r in ranges)
+                open_[n, rows] = o & (hi >= floor) & (lo <= max(r[1] for r in ranges))
+        rows = np.flatnonzero(open_.any(axis=0))
+        if not len(rows):
+            return [[(rows, rows)] * len(r) for r in limits]
+        # whole numbers below 2**53 are exact in float64
+        exact = self.largest * int(np.abs(queries).max()) * queries.shape[1] < 1 << 53
+        at = slice(None) if 2 * len(rows) > len(self.ids) else rows
+        scores = (queries.astype(np.float64) @ self.floats[at].T).astype(np.int64) if exact else queries @ self.vectors[at].T
         out = []
-        for o, (least, most, k) in zip(open_, limits):
-            s = scores[np.searchsorted(live, o)]
-            inside = (s >= least) & (s <= most)
-            o, s = o[inside], s[inside]
-            first = np.lexsort((self.ids[o], -s))[:k]
-            out.append((o[first], s[first]))
+        for n, ranges in enumerate(limits):
+            live = np.flatnonzero(open_[n, at])
+            self.scored += len(live)
+            s = scores[n, live]
+            live = live if isinstance(at, slice) else rows[live]
+            out.append([_top(live, s, self.ids, *r) for r in _sorted_ranges(s, ranges)])
         return out
 
 
+def _threshold(lo: np.ndarray, hi: np.ndarray, open_: np.ndarray, width: float, least: int, most: int, k: int) -> float:
+    """A score that the k best of a range surely reach."""
+    if width > most - least:
+        return least  # no bounds fit inside
+    sure = lo[(lo >= least) & (hi <= most) & open_]
+    return max(least, np.partition(sure, len(sure) - k)[len(sure) - k]) if len(sure) >= k else least
+
+
+def _sorted_ranges(s: np.ndarray, ranges: list[tuple[int, int, int]]):
+    """Each range narrowed to its k best scores."""
+    ordered = np.sort(s)
+    for least, most, k in ranges:
+        end = int(np.searchsorted(ordered, most, "right"))
+        yield max(least, int(ordered[max(0, end - k)])) if end else 1, most if end else 0, k
+
+
+def _top(rows: np.ndarray, s: np.ndarray, ids: np.ndarray, least: int, most: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    inside = np.flatnonzero((s >= least) & (s <= most))
+    o, t = rows[inside], s[inside]
+    first = np.lexsort((ids[o], -t))[:k]
+    return o[first], t[first]
+
+
 def score_range(positive: int, least_percent: int = 50, most_percent: int = 95) -> tuple[int, int]:
     """Least and greatest integer negative score: least_percent * p <= 100 * n <= most_percent * p."""
     return -(-least_percent * positive // 100), most_percent * positive // 100
@@ -130,9 +158,11 @@ def _by_length(t: pa.Table, column: str) -> dict[int, tuple[np.ndarray, np.ndarr
     return out
 
 
-def _search(rows: pa.Table, asks: pa.Table, per_ask) -> pa.Table:
-    """``per_ask(block, ask row, query, summaries, at, length)`` yields output columns of one anchor."""
-    out: list[list[np.ndarray]] = []
+def _search(rows: pa.Table, asks: pa.Table, eligible, limits, columns, step: int = 32):
+    """Output columns of a block of candidates and a block of anchors, some anchors at a time.
+    ``eligible(block, ask rows)`` marks candidates, ``limits(ask row)`` are its ranges, and
+    ``columns(block, ask row, results)`` yields the columns of its results."""
+    out: list = []
     if len(rows) and len(asks):
         ids, labels = rows.column("i").to_numpy(), rows.column("label").to_numpy()
         wanted = _by_length(asks, "query")
@@ -141,10 +171,11 @@ def _search(rows: pa.Table, asks: pa.Table, per_ask) -> pa.Table:
                 continue
             block = Block(ids[at], labels[at], vectors)
             ask_rows, queries = wanted[d]
-            q = Summaries.of(queries)
-            lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) + 1.0
-            for n, r in enumerate(ask_rows.tolist()):
-                out.extend(per_ask(block, r, queries[n], q, n, float(lengths[n])))
+            for n in range(0, len(ask_rows), step):
+                some = ask_rows[n:n + step]
+                found = block.best(eligible(block, some), queries[n:n + step], [limits(r) for r in some.tolist()])
+                for r, results in zip(some.tolist(), found):
+                    out.extend(columns(block, r, results))
     return [np.concatenate(c) for c in zip(*out)] if out else None
 
 
@@ -204,11 +235,14 @@ def hard_negatives(vectors: DataFrame, anchors: Column, *, flip: Column | None =
     def find_positives(rows: pa.Table, anchors_: pa.Table) -> pa.Table:
         a, i, label = (anchors_.column(c).to_numpy() for c in ("ask", "id", "own"))
 
-        def one(b: Block, r: int, query, q, at, length):
-            own = np.flatnonzero((b.labels == label[r]) & (b.ids != i[r]))
-            ((at_, s),) = b.best(own, query, q, at, length, [(-NO_LIMIT, NO_LIMIT, positives)])
-            yield np.full(len(at_), a[r]), b.ids[at_], s
-        return table("a positive_id positive_score", _search(rows, anchors_, one))
+        def own(b: Block, r: np.ndarray):
+            return (b.labels == label[r][:, None]) & (b.ids != i[r][:, None])
+
+        def columns(b: Block, r: int, results):
+            for at, s in results:
+                yield np.full(len(at), a[r]), b.ids[at], s
+        return table("a positive_id positive_score",
+                     _search(rows, anchors_, own, lambda r: [(-NO_LIMIT, NO_LIMIT, positives)], columns))
 
     first = Window.partitionBy("a").orderBy(F.desc("positive_score"), "positive_id")
     found = (candidates.cogroup(asks.withColumn("ac", every(cb)).groupBy("aq", "ac"))
@@ -221,14 +255,19 @@ def hard_negatives(vectors: DataFrame, anchors: Column, *, flip: Column | None =
         a, i, label = (anchors_.column(c).to_numpy() for c in ("ask", "id", "own"))
         ps = anchors_.column("ps").to_pylist()
 
-        def one(b: Block, r: int, query, q, at, length):
-            other = np.flatnonzero(b.labels != label[r])
-            ranges = [(*score_range(x["positive_score"], least_percent, most_percent), negatives) for x in ps[r]]
-            for x, (at_, s) in zip(ps[r], b.best(other, query, q, at, length, ranges)):
-                n = len(at_)
+        def other(b: Block, r: np.ndarray):
+            return b.labels != label[r][:, None]
+
+        def limits(r: int):
+            return [(*score_range(x["positive_score"], least_percent, most_percent), negatives) for x in ps[r]]
+
+        def columns(b: Block, r: int, results):
+            for x, (at, s) in zip(ps[r], results):
+                n = len(at)
                 yield (np.full(n, a[r]), np.full(n, x["p"]), np.full(n, i[r]), np.full(n, x["positive_id"]),
-                       np.full(n, x["positive_score"]), b.ids[at_], s)
-        return table("a p anchor_id positive_id positive_score negative_id negative_score", _search(rows, anchors_, one))
+                       np.full(n, x["positive_score"]), b.ids[at], s)
+        return table("a p anchor_id positive_id positive_score negative_id negative_score",
+                     _search(rows, anchors_, other, limits, columns))
 
     asked = asks.join(wanted.withColumnRenamed("a", "ask"), "ask").withColumn("ac", every(cb))
     out = candidates.cogroup(asked.groupBy("aq", "ac")).applyInArrow(
