@@ -113,7 +113,7 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
     if not keys:
         d = d.withColumn("_all", F.lit(0))
     d = d.withColumn("_t", F.conv(F.substring("d", 1, 12), 16, 10).cast("long"))
-    layer = number_rows(d, k, ["_t", "d"], t="_t", bucket_us=1 << 40, out="i").select(*k, "i", "d")
+    layer = number_rows(d, k, ["_t", "d"], t="_t", cell=1 << 40, out="i").select(*k, "i", "d")
     # the numbered leaves feed both the size probe and the rounds: write them
     # once to the checkpoint folder instead of computing the input twice
     checkpoint_dir(layer.sparkSession)

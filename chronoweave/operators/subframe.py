@@ -13,7 +13,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .asof import DEFAULT_BUCKET_US, asof_neighbors
+from .asof import asof_neighbors
+from .depth import CELL_US, TARGET_ROWS
 
 
 def compute_R(grid_rate_hz: float, anchor_fps: float) -> int:
@@ -22,7 +23,7 @@ def compute_R(grid_rate_hz: float, anchor_fps: float) -> int:
 
 
 def subframes(anchors: DataFrame, samples: DataFrame, streams: DataFrame, R: int, *,
-              bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+              cell_us: int = CELL_US, target_rows: int = TARGET_ROWS) -> DataFrame:
     """F2.
 
     ``anchors(session_id, anchor_index, t_anchor_us)`` (0-based, increasing),
@@ -40,7 +41,7 @@ def subframes(anchors: DataFrame, samples: DataFrame, streams: DataFrame, R: int
     a = anchors.select("session_id", "anchor_index", "t_anchor_us")
     nb = asof_neighbors(samples.select(*keys, "t_us", "row", "value"), a, ["session_id"],
                         left_t="t_us", right_t="t_anchor_us", right_cols=["anchor_index"],
-                        bucket_us=bucket_us, prev="_p", nxt="_x")
+                        cell_us=cell_us, target_rows=target_rows, prev="_p", nxt="_x")
     # a sample belongs to frame k when a_k ≤ t < a_{k+1}; past the last anchor → none
     inside = nb.where(F.col("_p").isNotNull() & F.col("_x").isNotNull()) \
                .withColumn("frame_index", F.col("_p.anchor_index"))

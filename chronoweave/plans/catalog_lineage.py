@@ -220,7 +220,7 @@ B9_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
 
 def _wide(spark, sf):
     li = dt.read(spark, sf, "lineitem").select(*B9_ORDER)
-    li = number_rows(li, [], B9_ORDER, t="l_orderkey", bucket_us=1 << 16)
+    li = number_rows(li, [], B9_ORDER, t="l_orderkey", cell=1 << 12)
     return li.select("row", *[F.col(src).alias(dst) for dst, src in B9_COLUMNS.items()])
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import checkpoint_dir
-from ..operators.asof import (DEFAULT_BUCKET_US, align_samples, auto_bucket_us, number_rows,
-                              sample_edges)
+from ..operators.asof import align_samples, number_rows, sample_edges
+from ..operators.depth import CELL_US, TARGET_ROWS
 from ..operators.grid import grid_over_samples
 from ..schemas import MAG_KIND, SCHEMA_VERSION
 
@@ -126,25 +126,23 @@ def event_alignment(spark: SparkSession, sf_dir: str, mode: str = "day", *,
 def event_inputs(spark: SparkSession, sf_dir: str, mode: str = "day", *,
                  step_us: int = EVENT_STEP_US, tolerance_us: int = EVENT_TOL_US,
                  with_clock: bool = True, device_map: dict | None = None,
-                 bucket_us: int | str = DEFAULT_BUCKET_US) -> dict:
+                 cell_us: int = CELL_US, target_rows: int = TARGET_ROWS) -> dict:
     """All inputs of a materialization over the events adapter: payload rows
-    and alignment come out of one fused, bucketed window pass."""
+    and alignment come out of one fused pass in windows of equal depth."""
     samples = event_samples(spark, sf_dir, mode, device_map).select(
         "session_id", "device_id", "stream_id", "t_us", "event_id", "value")
     # stream list and session bounds come from the small bucket-edge table,
     # so the samples feed one partial aggregate and the main window only
     # the edge table is small (one row per stream and bucket) and has several
     # consumers: written once to the checkpoint folder, read by each
-    if bucket_us == "auto":             # sized from the densest stream (one small aggregate)
-        bucket_us = auto_bucket_us(samples, step_us)
     checkpoint_dir(spark)
-    edges = sample_edges(samples, bucket_us).checkpoint(eager=True)
+    edges = sample_edges(samples, cell_us).checkpoint(eager=True)
     streams = describe_event_streams(edges.select("session_id", "device_id", "stream_id").distinct())
     sync = samples.where(F.col("device_id") == SYNC_EVENT).select("session_id", "t_us") \
         if with_clock else None
     out = align_samples(samples, None, streams, step_us=step_us, tolerance_us=tolerance_us,
                         order="event_id", sync=sync, tau_us=EVENT_TAU_US, edges=edges,
-                        bucket_us=bucket_us)
+                        cell_us=cell_us, target_rows=target_rows)
     out.update(streams=streams, session_meta=event_session_meta(spark, sf_dir, mode))
     return out
 
@@ -158,7 +156,7 @@ def embedding_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "embeddings")
     width = 3 * embedding_sensors(spark, sf_dir)
     idx = number_rows(e.select("vec_id"), [], ["vec_id"], t="vec_id",
-                      bucket_us=1 << 16, out="frame_index")
+                      cell=1 << 12, out="frame_index")
     j = e.join(idx.select("vec_id", "frame_index"), "vec_id")
     valid = F.col("embedding").isNotNull()
     nanv = F.array_repeat(F.lit(float("nan")).cast("float"), width)

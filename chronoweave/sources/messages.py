@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MESSAGE_KIND_MAP
+from ..operators.depth import CELL_US, TARGET_ROWS
 from .payload import SourceError
 
 # JSON number literal (the oracle's reading of plain numeric fields)
@@ -29,7 +30,7 @@ def flatten_numbers(data: str, field: str, depth: int = 3) -> F.Column:
 
 
 def scan_messages(messages: DataFrame, payload_kind: str, kind_map: dict | None = None,
-                  bucket_us: int | None = None) -> DataFrame:
+                  target_rows: int = TARGET_ROWS) -> DataFrame:
     """One topic's messages in log order → payload rows
     ``(session_id, topic, row, log_time, value array<float>)``; no message → no
     rows. Unknown kinds raise before planning."""
@@ -37,17 +38,17 @@ def scan_messages(messages: DataFrame, payload_kind: str, kind_map: dict | None
     if payload_kind not in km:
         raise SourceError(f"message reader does not know payload_kind {payload_kind!r}")
     topic, field = km[payload_kind]
-    return scan_topics(messages.where(F.col("topic") == topic), field, bucket_us)
+    return scan_topics(messages.where(F.col("topic") == topic), field, target_rows)
 
 
-def scan_topics(messages: DataFrame, field: str, bucket_us: int | None = None) -> DataFrame:
+def scan_topics(messages: DataFrame, field: str, target_rows: int = TARGET_ROWS) -> DataFrame:
     """S6 for every topic of a message table in one scan: the topics that read ``field`` need not
     be known beforehand."""
     m = messages.select("session_id", "topic", "log_time", "seq",
                  flatten_numbers("data", field).alias("value"))
     from ..operators.asof import number_rows
-    kw = {"bucket_us": bucket_us} if bucket_us else {"bucket_us": 6 * 3600 * 10**9}
-    return number_rows(m, ["session_id", "topic"], ["log_time", "seq"], t="log_time", **kw) \
+    return number_rows(m, ["session_id", "topic"], ["log_time", "seq"], t="log_time", cell=CELL_US * 1000,
+                       target_rows=target_rows) \
         .select("session_id", "topic", "row", "log_time", "value")
 
 

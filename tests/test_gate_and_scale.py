@@ -37,30 +37,32 @@ def test_gate_bands(spark, row, signed, expected):
 
 def test_asof_is_bucket_size_invariant(spark):
     """Carry-in/out across buckets must give the same indices for any bucket size."""
-    def run(bucket):
+    def run(**kw):
         s = dt.event_samples(spark, SF, "events")
         st = dt.event_streams(spark, SF, "events")
         out = align_samples(s, None, st, step_us=dt.EVENT_STEP_US, tolerance_us=dt.EVENT_TOL_US,
                             order="event_id", sync=s.where("device_id = 'signup'").select("session_id", "t_us"),
-                            tau_us=dt.EVENT_TAU_US, bucket_us=bucket)
+                            tau_us=dt.EVENT_TAU_US, **kw)
         a = out["alignment"].select("device_id", "frame_index", "source_index", "next_index", "valid",
                                     "weight", F.round("conf_clock", 9).alias("c"))
         p = out["payload"].select("device_id", "row", "t_us")
         return sorted(a.collect()), sorted(p.collect())
-    big = run(30 * 24 * 3600 * 10**6)      # one bucket per stream
-    small = run(40 * 60 * 10**6)           # many buckets, most empty for a stream
-    assert big == small
+    big = run()                                              # one window per stream
+    assert big == run(target_rows=40)                        # runs of cells merged, some cut
+    assert big == run(target_rows=7, cell_us=40 * 60 * 10**6)
+    assert big == run(target_rows=3, cell_us=30 * 24 * 3600 * 10**6)  # all cells cut by rank
 
 
-@pytest.mark.parametrize("bucket", [1, 700, 10**12])
-def test_asof_neighbors_against_bruteforce(spark, bucket):
+@pytest.mark.parametrize("cell,target", [(1, 1), (700, 9), (10**12, 5), (10**12, 10**6)])
+def test_asof_neighbors_against_bruteforce(spark, cell, target):
     import random
     rnd = random.Random(3)
     left = [("k", i, rnd.randrange(-5_000, 12_000)) for i in range(200)]
     right = [("k", j - 25, rnd.randrange(-3_000, 10_000)) for j in range(50)]   # negative ids and times
     L = spark.createDataFrame(left, "key string, id long, t long")
     R = spark.createDataFrame(right, "key string, rid long, t long")
-    nb = asof_neighbors(L, R, ["key"], left_t="t", right_t="t", right_cols=["rid"], bucket_us=bucket)
+    nb = asof_neighbors(L, R, ["key"], left_t="t", right_t="t", right_cols=["rid"], cell_us=cell,
+                        target_rows=target)
     got = {r.id: (r.prev.rid if r.prev else None, r.next.rid if r.next else None) for r in nb.collect()}
     for _k, i, t in left:
         prev = max(((rt, rid) for _k2, rid, rt in right if rt <= t), default=None)
@@ -70,8 +72,17 @@ def test_asof_neighbors_against_bruteforce(spark, bucket):
 
 def test_number_rows_matches_global_order(spark):
     df = spark.range(0, 5000).select(F.lit("k").alias("key"), ((F.col("id") * 7919) % 5000).alias("t"))
-    out = number_rows(df, ["key"], ["t"], t="t", bucket_us=37).collect()
-    assert sorted((r.t, r.row) for r in out) == [(i, i) for i in range(5000)]
+    for keys in (["key"], []):
+        for kw in ({"cell": 37, "target_rows": 50}, {"cell": 10**6, "target_rows": 90}, {}):
+            out = number_rows(df, keys, ["t"], t="t", **kw).collect()
+            assert sorted((r.t, r.row) for r in out) == [(i, i) for i in range(5000)]
+    # ties are numbered by the rest of the order, null times come first
+    rows = [(None, 4), (None, 3)] + [(5, i) for i in range(300)] + [(7, 1), (-9, 2)]
+    tied = spark.createDataFrame(rows, "t long, o long").repartition(3)
+    for target in (8, 10**6):
+        got = number_rows(tied, [], ["t", "o"], t="t", cell=10, target_rows=target).collect()
+        want = sorted(rows, key=lambda x: (x[0] is not None, x))
+        assert [(r.t, r.o) for r in sorted(got, key=lambda r: r.row)] == want
 
 
 def test_silver_hash_invariant_under_partitioning(spark):
@@ -85,12 +96,54 @@ def test_silver_hash_invariant_under_partitioning(spark):
     assert r1 == r2
 
 
-def test_auto_bucket_width_and_content_tree(spark):
+def _depths(spark, rows, target, cell):
+    from chronoweave.operators.depth import DepthWindows, cell_of
+    df = spark.createDataFrame(rows, "k string, _t long, _o long").repartition(4)
+    cells = df.groupBy("k", cell_of("_t", cell).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    w = DepthWindows(cells, df, ["k"], cell=cell, target=target)
+    out = w.assign(df, "_t", "_o").select("k", "_b", "_t", "_o").collect()
+    assert len(out) == len(rows)
+    by = {}
+    for r in out:
+        by.setdefault((r.k, r._b), []).append((r._t, r._o))
+    for k in {r[0] for r in rows}:  # windows are intervals of the order
+        spans = [(min(v), max(v)) for (kk, _), v in sorted(by.items()) if kk == k]
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    return {kk: len(v) for kk, v in by.items()}
+
+
+def test_windows_have_equal_depth(spark):
+    """A steady stream, a burst inside one cell, equal times and a stream of one sample."""
+    import random
+    rnd = random.Random(2)
+    rows = [("steady", i * 50, i) for i in range(4000)]
+    rows += [("burst", 10_000 + rnd.randrange(900), i) for i in range(6000)] + [("burst", i * 1000, -i) for i in range(200)]
+    rows += [("equal", 5, i) for i in range(3000)] + [("one", 77, 0)]
+    target = 400
+    got = _depths(spark, rows, target, 1000)
+    assert max(got.values()) < 2 * target
+    count = lambda k: sum(kk == k for kk, _ in got)
+    assert count("one") == 1 and count("steady") == 10 and count("burst") >= 15 and count("equal") >= 7
+    # ten times the rows, ten times the windows
+    more = [("steady", i * 5, i) for i in range(40_000)]
+    assert sum(1 for _ in _depths(spark, more, target, 1000)) >= 90
+
+
+def test_windows_grow_with_the_table(spark):
+    from chronoweave.operators.depth import DepthWindows, cell_of
+    n = []
+    for sf in ("sf0.001", "sf0.01"):
+        s = dt.event_samples(spark, f"/root/testdata/{sf}", "events").select("device_id", F.col("t_us").alias("_t"), F.col("event_id").alias("_o"))
+        cells = s.groupBy("device_id", cell_of("_t", 3600 * 10**6).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+        w = DepthWindows(cells, s, ["device_id"], cell=3600 * 10**6, target=100)
+        sizes = [r["count"] for r in w.assign(s, "_t", "_o").groupBy("device_id", "_b").count().collect()]
+        assert max(sizes) < 200
+        n.append(len(sizes))
+    assert n[1] > 5 * n[0]
+
+
+def test_content_tree(spark):
     import hashlib
-    from chronoweave.operators.asof import auto_bucket_us
-    s = dt.event_samples(spark, SF)
-    w = auto_bucket_us(s, dt.EVENT_STEP_US, target_rows=100)
-    assert w >= 1_000_000
     ds = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(300)]
     df = spark.createDataFrame([(d,) for d in ds], "sha256 string")
 
@@ -128,16 +181,16 @@ def test_generic_asof_alignment_equals_fused_pass(spark):
     from chronoweave.operators.asof import asof_alignment, sync_clock_confidence
     inp = dt.event_inputs(spark, SF)
     sync = dt.event_samples(spark, SF).where("device_id = 'signup'").select("session_id", "t_us")
-    clock = sync_clock_confidence(inp["grid"], sync, tau_us=dt.EVENT_TAU_US, bucket_us=3600 * 10**6)
+    clock = sync_clock_confidence(inp["grid"], sync, tau_us=dt.EVENT_TAU_US, target_rows=60)
     gen = asof_alignment(inp["grid"], inp["streams"], inp["payload"], tolerance_us=dt.EVENT_TOL_US,
-                         clock=clock, bucket_us=3600 * 10**6)
+                         clock=clock, target_rows=100)
     cols = ["session_id", "device_id", "stream_id", "frame_index", "source_index", "next_index", "valid",
             "weight", F.round("conf_clock", 9).alias("c"), F.round("conf_interp", 9).alias("i")]
     assert sorted(gen.select(*cols).collect()) == sorted(inp["alignment"].select(*cols).collect())
 
 
-def test_auto_bucket_inputs_match_default(spark):
+def test_small_windows_match_default(spark):
     cols = ["session_id", "device_id", "frame_index", "source_index", "next_index", "valid", "weight"]
     a = dt.event_inputs(spark, SF)["alignment"].select(*cols).collect()
-    b = dt.event_inputs(spark, SF, bucket_us="auto")["alignment"].select(*cols).collect()
+    b = dt.event_inputs(spark, SF, target_rows=50)["alignment"].select(*cols).collect()
     assert sorted(a) == sorted(b)

@@ -46,7 +46,7 @@ def scenario(spark):
     ref = apply_clock(samples, m).drop("t_us").withColumnRenamed("t_ref_us", "t_us")
     bounds = ref.groupBy("session_id").agg(F.min("t_us").alias("lo_us"), F.max("t_us").alias("hi_us"))
     out = align_samples(ref, bounds, st, step_us=1000, tolerance_us=6000, order="seq",
-                        bucket_us=250_000)
+                        cell_us=250_000, target_rows=50)
     out["streams"] = st
     out["silver"] = align.project(out["alignment"], out["payload"], st)
     out["meta"] = spark.createDataFrame([(S, "A", 1000.0, 36.8, "NEEDS_REVIEW", "1.0")],

@@ -63,7 +63,7 @@ def test_asof_with_large_ids(spark):
     big = 1 << 41
     left = spark.createDataFrame([("k", 5)], "g string, t long")
     right = spark.createDataFrame([("k", 3, big), ("k", 4, big + 1), ("k", 9, -big)], "g string, u long, id long")
-    r = asof_neighbors(left, right, ["g"], left_t="t", right_t="u", right_cols=["id"], bucket_us=1).collect()[0]
+    r = asof_neighbors(left, right, ["g"], left_t="t", right_t="u", right_cols=["id"], cell_us=1, target_rows=1).collect()[0]
     assert tuple(r.prev) == (4, big + 1) and tuple(r.next) == (9, -big)
 
 
