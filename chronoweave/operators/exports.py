@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LEROBOT_DATA_PATH, ROBOT_TYPE, STREAM_KEYS, TRAINER_BATCH_FRAMES
+from .scan import sums_before
 from .silver import feature_list, feature_names, silver_wide, with_feature
 
 KEYS = STREAM_KEYS
@@ -47,14 +48,10 @@ def seconds(t_us) -> F.Column:
 def episodes(silver: DataFrame) -> DataFrame:
     """One episode per session: ``episode_index`` = rank of the session id,
     ``length`` = frames, ``index_offset`` = frames of the earlier episodes.
-    Computed on the per-session aggregate (one row per session)."""
-    per = silver.groupBy("session_id").agg(F.countDistinct("frame_index").alias("length"))
-    w = Window.orderBy("session_id")
-    return per.select(
-        "session_id", (F.row_number().over(w) - 1).cast("long").alias("episode_index"),
-        F.col("length").cast("long").alias("length"),
-        F.coalesce(F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("long").alias("index_offset"))
+    Prefix sums over the per-session aggregate, in ranges of session ids."""
+    per = silver.groupBy("session_id").agg(F.countDistinct("frame_index").cast("long").alias("length"), F.lit(1).alias("_one"))
+    out = sums_before(per, ["session_id"], {"episode_index": "_one", "index_offset": "length"})
+    return out.select("session_id", "episode_index", "length", "index_offset")
 
 
 def _array_pivot(silver: DataFrame, features) -> DataFrame:

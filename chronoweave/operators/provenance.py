@@ -13,9 +13,9 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import checkpoint_dir
 from ..schemas import DATASET_ID_PREFIX, HMAC_LOCAL_KEY, STREAM_KEYS
-from .asof import number_rows
+from ..sources.file_stream import STREAMED, list_files, open_file, scheme
+from .scan import sums_before, written
 
 ROW_CHUNK = 4096
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
@@ -28,13 +28,29 @@ def dataset_id(session) -> Column:
                     F.substring(F.sha2(F.concat(F.lit(DATASET_ID_PREFIX), s), 256), 1, 12))
 
 
-def file_hashes(spark, paths: list[str] | str) -> DataFrame:
-    """(path, length, sha256) per file, hashed on executors.
+def file_hashes(spark, paths: list[str] | str, chunk: int = 1 << 20) -> DataFrame:
+    """(path, length, sha256) of every file under ``paths`` that isn't empty, hashed on executors.
 
-    ``binaryFile`` hands each file to one task as one value: fine for payload
-    and part files (≤ 2 GB); larger objects need a chunked reader."""
-    df = spark.read.format("binaryFile").load(paths)
-    return df.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    A task reads its files one after the other in chunks, so a file may have any size. Stores that
+    tasks can't open themselves are read by Spark, which takes a file as one value (up to 2 GB)."""
+    first = paths if isinstance(paths, str) else next(iter(paths), "")
+    if scheme(first) not in STREAMED:
+        df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        return df.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+    def digest(batches):
+        import pyarrow as pa
+        for b in batches:
+            found = []
+            for path in b.column(0).to_pylist():
+                h = hashlib.sha256()
+                with open_file(path) as f:
+                    while data := f.read(chunk):
+                        h.update(data)
+                found.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.string())],
+                                             names=["path", "length", "sha256"])
+    return list_files(spark, paths).mapInArrow(digest, "path string, length long, sha256 string")
 
 
 def content_hash_flat(digests: DataFrame, col: str = "sha256", keys: list[str] | None = None) -> DataFrame:
@@ -101,24 +117,20 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
     """Leaves sorted by digest; each layer hashes pairs (an odd layer
     duplicates its last node) until one node remains; empty → sha256("").
 
-    Leaves are numbered without a global window (the digest prefix is the
-    bucketing key). Each round groups 2^``fan_in_levels`` consecutive nodes
-    and applies that many levels with array functions, so a tree of n leaves
-    takes log2(n)/fan_in_levels shuffles and no group exceeds 2^levels rows.
-    Layer sizes are tracked arithmetically; lineage is cut with
-    ``checkpoint()`` every few rounds."""
+    A layer is kept as runs (first place, length, digest), so equal leaves are counted and never
+    expanded: of a run, whole groups of 2^``fan_in_levels`` nodes become a run of one digest, and
+    only what is left at its two ends meets its neighbours' nodes. A tree of n leaves takes
+    log2(n)/fan_in_levels shuffles, no group exceeds 2^levels nodes, and a million copies of one
+    digest are one row throughout. Leaves are numbered by prefix sums over ranges of digests.
+    Layer sizes are tracked arithmetically; lineage is cut with ``checkpoint()`` every few rounds."""
     keys = keys or []
+    counted = digests.select(*keys, F.col(col).alias("d")).groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("c"))
     k = keys or ["_all"]
-    d = digests.select(*keys, F.col(col).alias("d"))
     if not keys:
-        d = d.withColumn("_all", F.lit(0))
-    d = d.withColumn("_t", F.conv(F.substring("d", 1, 12), 16, 10).cast("long"))
-    layer = number_rows(d, k, ["_t", "d"], t="_t", cell=1 << 40, out="i").select(*k, "i", "d")
-    # the numbered leaves feed both the size probe and the rounds: write them
-    # once to the checkpoint folder instead of computing the input twice
-    checkpoint_dir(layer.sparkSession)
-    layer = layer.checkpoint(eager=True)
-    sizes = layer.groupBy(*k).agg(F.count(F.lit(1)).alias("n_leaves"))
+        counted = counted.withColumn("_all", F.length("d") * 0)  # not a constant: joins stay equi-joins
+    # the numbered runs feed both the size probe and the rounds
+    layer = written(sums_before(counted, ["d"], {"i": "c"}, keys=k, bucket=F.substring("d", 1, 3)).select(*k, "i", "c", "d"))
+    sizes = layer.groupBy(*k).agg(F.sum("c").alias("n_leaves"))
     nmax = sizes.agg(F.max("n_leaves")).collect()[0][0] or 0
     if not nmax and not keys:
         return digests.sparkSession.range(1).select(F.lit(0).cast("long").alias("n_leaves"),
@@ -127,17 +139,11 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
     group = 1 << fan_in_levels
     rounds, size = 0, nmax
     while size > 1:
-        g = layer.groupBy(*k, F.floor(F.col("i") / group).alias("i")).agg(
-            F.max("_n").alias("_n"),
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col("i").alias("_i"), "d"))),
-                        lambda x: x["d"]).alias("_nodes"))
-        arr, n2 = _merkle_levels(F.col("_nodes"), F.col("_n"), fan_in_levels)
-        layer = g.select(*k, "i", F.element_at(arr, 1).alias("d"), n2.cast("long").alias("_n"))
+        layer = _merkle_round(layer, k, fan_in_levels)
         size = (size + group - 1) // group
         rounds += 1
         if checkpoint_every and rounds % checkpoint_every == 0 and size > 1:
-            checkpoint_dir(layer.sparkSession)
-            layer = layer.checkpoint(eager=True)
+            layer = written(layer)
     # after the last round each key holds exactly one node, index 0
     root = layer.where(F.col("i") == 0).select(*k, F.col("d").alias("merkle_root"))
     out = sizes.join(root, k, "left").select(
@@ -145,6 +151,33 @@ def merkle_root(digests: DataFrame, col: str = "sha256", keys: list[str] | None
     return out.drop("_all") if not keys else out
 
 
+def _merkle_round(layer: DataFrame, k: list[str], m: int) -> DataFrame:
+    """``m`` levels up: runs (k…, i, c, d, _n) of a layer of ``_n`` nodes → those of the layer above."""
+    g = 1 << m
+    first = F.ceil(F.col("i") / g).cast("long")          # whole groups of the run: first …
+    past = F.floor((F.col("i") + F.col("c")) / g).cast("long")  # … and one past the last
+    end = F.col("i") + F.col("c")
+
+    def part(kind, a, b):
+        return F.struct(F.lit(kind).alias("kind"), a.cast("long").alias("i"), (b - a).cast("long").alias("c"))
+    start = F.greatest(F.col("i"), first * g)
+    inside = past > first
+    # what lies in groups with other nodes (kind 0), and the whole groups (kind 1, from the first on)
+    parts = F.when(inside, F.array(part(0, F.col("i"), first * g), part(1, first * g, past * g), part(0, past * g, end))).otherwise(
+        # no whole group: the run lies in one group, or in two beside one border
+        F.when(first * g < end, F.array(part(0, F.col("i"), start), part(0, start, end))).otherwise(F.array(part(0, F.col("i"), end))))
+    nodes = (layer.select(*k, "d", "_n", F.explode(F.filter(parts, lambda x: x["c"] > 0)).alias("x"))
+             .select(*k, "d", "_n", "x.kind", "x.i", "x.c"))
+    nodes = nodes.groupBy(*k, F.floor(F.col("i") / g).alias("i"), "kind").agg(
+        F.max("_n").alias("_n"), F.array_sort(F.collect_list(F.struct(F.col("i").alias("_i"), "c", "d"))).alias("_x"))
+    single = F.col("kind") == 1
+    spread = F.flatten(F.transform("_x", lambda x: F.array_repeat(x["d"], x["c"].cast("int"))))
+    arr, n2 = _merkle_levels(F.when(single, F.array(F.col("_x")[0]["d"])).otherwise(spread), F.col("_n"), m)
+    doubled = F.aggregate(F.sequence(F.lit(1), F.lit(m)), F.col("_x")[0]["d"], lambda d, _: _pair_hash(d, d))
+    return nodes.select(*k, "i", F.when(single, F.col("_x")[0]["c"] / g).otherwise(1).cast("long").alias("c"),
+                        F.when(single, doubled).otherwise(F.element_at(arr, 1)).alias("d"), n2.cast("long").alias("_n"))
+
+
 def _hmac_pads(key: bytes) -> tuple[str, str]:
     if len(key) > 64:
         key = hashlib.sha256(key).digest()

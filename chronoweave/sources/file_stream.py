@@ -14,7 +14,7 @@ STREAMED = ("file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")
 
 
 def list_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(path, length) of every file under ``paths``; no content is read."""
+    """(path, length) of every file under ``paths`` that isn't empty; no content is read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
             .select("path", "length"))
 
