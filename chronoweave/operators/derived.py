@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import nan_d, safe_div, shape_width
 from ..schemas import DERIVED_FEATURES, DERIVED_FORMULAS, DERIVED_VERSION, MAG_KIND, STREAM_KEYS
+from .exports import register_export
 from .stats import exact_median
 
 KEYS = STREAM_KEYS
@@ -156,6 +157,8 @@ def derived_table(long: DataFrame, clusters: list[str]) -> DataFrame:
 def derived_export(silver, streams, sensors, members) -> DataFrame:
     """K9: the derived table for every magnetic stream (keyed by device and
     stream, so two magnetic streams of one device never overwrite)."""
+    if sensors is None or members is None:
+        raise DerivedError("derived features need a topology: its sensors and its cluster members")
     if not magnetic_streams(streams).limit(1).collect():
         raise DerivedError(f"no stream of kind {MAG_KIND!r} to derive features from")
     no_topo = magnetic_streams(streams).where("topology_ref is null").limit(1).collect()
@@ -168,3 +171,9 @@ def derived_export(silver, streams, sensors, members) -> DataFrame:
                 .select("cluster_id", "cluster_ord").distinct().orderBy("cluster_ord", "cluster_id")
                 .collect()]
     return derived_table(cluster_features(silver, streams, sensors, members), clusters)
+
+
+@register_export("derived")
+def derived_rows(silver, streams, meta=None, *, sensors=None, members=None, **_) -> DataFrame:
+    """K9 as a format: sessions without a magnetic stream have no rows."""
+    return derived_export(silver, streams, sensors, members)

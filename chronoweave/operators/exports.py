@@ -1,8 +1,8 @@
 """Gold exporters (K2–K8, P11–P13) — pure projections of ``silver_long``.
 
 Every exporter is a DataFrame function ``fn(silver, streams, meta, **opts)``
-returning the rows of its format; ``write_export`` writes them. Formats are
-registered by name.
+returning the rows of its format. Formats are registered by name; some have
+metadata tables besides (:func:`export_metadata`).
 """
 from __future__ import annotations
 
@@ -17,6 +17,9 @@ from .silver import feature_list, feature_names, silver_wide, with_feature
 
 KEYS = STREAM_KEYS
 _REGISTRY: dict[str, Callable[..., DataFrame]] = {}
+# fixed values of the format: its index columns (name, type, units)
+LEROBOT_INDEX_FEATURES = [("timestamp", "float32", "s"), ("frame_index", "int64", None), ("episode_index", "int64", None),
+                          ("index", "int64", None), ("task_index", "int64", None)]
 
 
 def register_export(name: str, fn: Callable[..., DataFrame] | None = None):
@@ -110,12 +113,8 @@ def lerobot_features(streams: DataFrame) -> DataFrame:
                     F.col("units"))
     conf = fn.select(F.concat(F.lit("observation."), "feature", F.lit(".confidence")).alias("feature"),
                      F.lit("float32").alias("dtype"), one.alias("shape"), F.lit("none").alias("units"))
-    spark = streams.sparkSession
-    fixed = spark.createDataFrame(
-        [("timestamp", "float32", [1], "s"), ("frame_index", "int64", [1], None),
-         ("episode_index", "int64", [1], None), ("index", "int64", [1], None),
-         ("task_index", "int64", [1], None)],
-        "feature string, dtype string, shape array<int>, units string")
+    fixed = streams.sparkSession.createDataFrame([(f, t, [1], u) for f, t, u in LEROBOT_INDEX_FEATURES],
+                                                 "feature string, dtype string, shape array<int>, units string")
     return obs.unionByName(conf).unionByName(fixed)
 
 
@@ -206,13 +205,36 @@ def trainer_batches(silver: DataFrame, streams: DataFrame, meta=None, *,
                     F.transform("_r", lambda x: x["ts"]).alias("timestamp"))
 
 
-def write_export(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                 partition_by: tuple[str, ...] = ("session_id",)) -> None:
-    """Write export rows (zstd Parquet, or JSON lines for metadata records)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if fmt == "json":
-        w.json(path)
-    else:
-        w.option("compression", "zstd").parquet(path)
+# ---- what a format has besides its rows ----------------------------------------------------
+
+def _lerobot_metadata(silver: DataFrame, streams: DataFrame, meta: DataFrame, *, layout: str = "v3", **_) -> dict[str, DataFrame]:
+    """Episodes, feature descriptors and info record of each session's own dataset."""
+    zero = F.lit(0).cast("long")
+    eps = silver.groupBy("session_id").agg(F.countDistinct("frame_index").alias("length")).select(
+        "session_id", zero.alias("episode_index"), F.array("session_id").alias("tasks"), "length")
+    names = feature_names(streams).select("session_id", "feature", "shape", "units")
+    one = F.array(F.lit(1))
+    obs = names.select("session_id", F.concat(F.lit("observation."), "feature").alias("feature"), F.lit("float32").alias("dtype"),
+                       F.when(F.size("shape") > 0, F.col("shape")).otherwise(one).alias("shape"), "units")
+    conf = names.select("session_id", F.concat(F.lit("observation."), "feature", F.lit(".confidence")).alias("feature"),
+                        F.lit("float32").alias("dtype"), one.alias("shape"), F.lit("none").alias("units"))
+    fixed = eps.select("session_id", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(t).alias("dtype"), one.alias("shape"),
+                       F.lit(u).cast("string").alias("units")) for f, t, u in LEROBOT_INDEX_FEATURES])).alias("x")).select("session_id", "x.*")
+    info = eps.join(meta.select("session_id", "grid_rate_hz"), "session_id", "left").select(
+        "session_id", F.lit(f"{layout}.0-chronoweave").alias("codebase_version"), F.lit(ROBOT_TYPE).alias("robot_type"),
+        F.lit(1).cast("long").alias("total_episodes"), F.col("length").alias("total_frames"), F.col("grid_rate_hz").alias("fps"),
+        F.lit(LEROBOT_DATA_PATH[layout]).alias("data_path"), F.lit(layout).alias("layout"))
+    return {"episodes": eps, "features": obs.unionByName(conf).unionByName(fixed), "info": info}
+
+
+def _rlds_metadata(silver: DataFrame, streams: DataFrame, meta: DataFrame, *, version: str = "0.1.0", **_) -> dict[str, DataFrame]:
+    # the layout has the version already
+    return {"episodes": rlds_episodes(silver, version=version).drop("version")}
+
+
+_METADATA: dict[str, Callable[..., dict[str, DataFrame]]] = {"lerobot": _lerobot_metadata, "rlds": _rlds_metadata}
+
+
+def export_metadata(fmt: str, silver: DataFrame, streams: DataFrame, meta: DataFrame, **opts) -> dict[str, DataFrame]:
+    """Metadata tables of a format by name, keyed by session; none for most formats."""
+    return _METADATA[fmt](silver, streams, meta, **opts) if fmt in _METADATA else {}

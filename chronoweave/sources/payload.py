@@ -209,11 +209,11 @@ def load_bundle(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def read_packaged_silver(spark: SparkSession, root: str, dataset_id: str | None = None,
                          version: str | None = None) -> DataFrame:
-    """Silver of packaged datasets (hive layout ``dataset=/version=``);
+    """Silver of packaged datasets (hive layout ``dataset=/version=``), as last committed;
     filters on dataset/version prune partitions; absent ``valid`` /
     ``confidence`` columns default to true / 1.0."""
-    path = f"{root.rstrip('/')}/silver"
-    df = _existing(spark, path, basePath=path)
+    from ..plans.versions import read_table
+    df = read_table(spark, root, "silver")
     if dataset_id is not None:
         df = df.where(F.col("dataset") == dataset_id)
     if version is not None:

@@ -3,8 +3,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from chronoweave.plans.materialize import (diff_versions, materialize, stored_verdict,
-                                           summarize_packaged, write_bundle)
+from chronoweave.plans.materialize import (diff_frames, diff_versions, materialize, stored_verdict, summarize_packaged,
+                                           summarize_packaged_sessions, write_bundle)
 from chronoweave.sources import driver_tables as dt
 from chronoweave.sources.payload import load_bundle, read_packaged_silver
 
@@ -40,10 +40,14 @@ def test_same_input_same_hash_and_diff(spark, tmp_dir):
     m = spark.read.parquet(os.path.join(out, "manifest"))
     h = {(r.session_id, r.version): r.content_hash for r in m.collect()}
     assert all(h[(s, "1.0.0")] == h[(s, "1.0.1")] for s, _v in h)
-    ds, dss = diff_versions(spark, out, inp["streams"], inp["streams"], "1.0.0", "1.0.1")
+    ds, dss = diff_versions(spark, out, "1.0.0", "1.0.1")
+    assert diff_frames(spark, out, "1.0.0", "1.0.1").count() == 0
     assert {r.status for r in ds.collect()} == {"same"}
     assert all(r.content_hash_identical and r.n_grid_delta == 0 for r in dss.collect())
-    s = summarize_packaged(spark, out, inp["streams"], "1.0.0")
+    s = summarize_packaged(spark, out, "1.0.0")
+    assert s.count() == inp["streams"].count()
+    per = summarize_packaged_sessions(spark, out, "1.0.1").collect()
+    assert all(r.qa_verdict == "BLOCKED" and r.content_hash and r.n_grid and len(r.formats) == 1 for r in per)
     assert s.where("coverage < 0 or coverage > 1").count() == 0
 
 
@@ -102,3 +106,94 @@ def test_materialize_from_bundle_and_file_payload(spark, tmp_dir):
     assert h["1"] == h["2"]
     got = r1["silver"].where("frame_index = 5").collect()[0].value
     np.testing.assert_array_equal(np.array(got, dtype=np.float32), vals[5])
+
+
+def test_a_job_that_dies_leaves_the_older_version(spark, tmp_dir):
+    """Between any two writes: readers keep seeing the run that committed, in every table."""
+    import pytest
+    from chronoweave.operators.exports import _REGISTRY, register_export
+    from chronoweave.plans.versions import read_table
+    from helpers import single_device
+    inp = single_device(spark)
+    out = os.path.join(tmp_dir, "gold")
+    materialize(spark, inp, out, formats=("rlds",), lineage_signed=True)
+
+    def state():
+        return {t: sorted(map(str, read_table(spark, out, t).collect())) for t in ("silver", "gold/format=rlds", "qa_report", "manifest")}
+    before = state()
+
+    @register_export("dies")
+    def dies(*_, **__):
+        raise RuntimeError("lost")
+    changed = {**inp, "payload": inp["payload"].withColumn("value", F.transform("value", lambda v: v + F.lit(1.0).cast("float")))}
+    try:
+        with pytest.raises(RuntimeError):
+            materialize(spark, changed, out, formats=("rlds", "dies"), lineage_signed=True)
+    finally:
+        _REGISTRY.pop("dies")
+    assert state() == before
+    # the same version again, to its end: the new rows alone
+    materialize(spark, changed, out, formats=("rlds",), lineage_signed=True)
+    after = state()
+    assert after != before and {t: len(v) for t, v in after.items()} == {t: len(v) for t, v in before.items()}
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, os.path.join(tmp_dir, "nothing"), "silver")
+
+
+def test_formats_metadata_options_and_sources(spark, tmp_dir):
+    import pytest
+    from chronoweave.operators.derived import DerivedError
+    from chronoweave.plans.versions import read_table
+    from helpers import single_device
+    inp = single_device(spark)
+    sensors, members = dt.synthetic_topology(spark, 21)
+    ref = inp["streams"].select("topology_ref").first()[0] or dt.EMB_TOPOLOGY
+    inp["streams"] = inp["streams"].withColumn("topology_ref", F.lit(ref))
+    topology = tuple(t.withColumn("topology_ref", F.lit(ref)) for t in (sensors, members))
+    out = os.path.join(tmp_dir, "gold")
+    src = spark.createDataFrame([(r.session_id, h) for r in inp["session_meta"].collect() for h in ("b" * 64, "a" * 64, "b" * 64)],
+                                "session_id string, sha256 string")
+    materialize(spark, {**inp, "topology": topology, "source_hashes": src}, out, formats=("derived", "lerobot", "rlds", "trainer_batches"),
+                options={"trainer_batches": {"batch_frames": 5}, "lerobot": {"layout": "v2"}})
+    read = lambda t: read_table(spark, out, t)
+    assert read("gold/format=derived").where("frame_index = 3").count() == 1
+    assert read("gold/format=trainer_batches").agg(F.max("n_frames")).first()[0] == 5
+    info = read("gold_meta/format=lerobot/table=info").collect()[0]
+    assert (info.layout, info.total_frames, info.total_episodes) == ("v2", 16, 1) and "episode_" in info.data_path
+    features = {r.feature for r in read("gold_meta/format=lerobot/table=features").collect()}
+    assert {"observation.tactile_field", "observation.tactile_field.confidence", "timestamp", "task_index"} <= features
+    assert read("gold_meta/format=lerobot/table=episodes").collect()[0].length == 16
+    assert read("gold_meta/format=rlds/table=episodes").collect()[0].num_steps == 16
+    assert read("provenance").collect()[0].source_episode_hashes == ["a" * 64, "b" * 64]
+    assert read("datacard").where("section = 'topology'").count() == 1
+    with pytest.raises(DerivedError):
+        materialize(spark, inp, os.path.join(tmp_dir, "x"), formats=("derived",))
+    with pytest.raises(KeyError):
+        materialize(spark, inp, out, options={"unknown": {}})
+
+
+def test_changed_frames_between_versions(spark):
+    """The descent finds exactly the chunks that a full comparison finds."""
+    import random
+    from chronoweave.operators import version_diff as vd
+    rnd = random.Random(4)
+    a = {(s, c): f"{s}{c}" for s, n in (("x", 700), ("y", 3), ("z", 40)) for c in range(n)}
+    b = dict(a)
+    for k in rnd.sample(sorted(a), 9):
+        b[k] = "new"
+    b.update({("x", 650): "n", ("x", 651): "n", ("w", 0): "n", ("y", 3): "n"})
+    for c in range(690, 700):
+        del b[("x", c)]
+
+    def layers(v):
+        return vd.hash_layers(spark.createDataFrame([("s", "d", s, c, h) for (s, c), h in v.items()],
+                                                    "session_id string, device_id string, stream_id string, chunk long, sha256 string"))
+    la, lb = layers(a), layers(b)
+    got = {(r.stream_id, r.idx): r.status for r in vd.changed_chunks(la, lb).collect()}
+    want = {k: "added" if k not in a else "removed" if k not in b else "changed" for k in a.keys() | b.keys() if a.get(k) != b.get(k)}
+    assert got == want
+    ranges = vd.changed_ranges(vd.changed_chunks(la, lb), chunk=10).collect()
+    assert ("x", "removed", 6900, 7000) in {(r.stream_id, r.status, r.first_frame, r.end_frame) for r in ranges}
+    assert sum(r.end_frame - r.first_frame for r in ranges) == 10 * len(want)
+    assert vd.changed_chunks(la, la).count() == 0
+    assert {r.status for r in vd.changed_chunks(la.limit(0), lb).collect()} == {"added"}

@@ -11,6 +11,7 @@ from chronoweave.operators import align, gate, subframe
 from chronoweave.operators import provenance as pv
 from chronoweave.operators.asof import asof_neighbors
 from chronoweave.plans.materialize import materialize
+from chronoweave.plans.versions import read_table
 from chronoweave.sources import messages as msg
 from helpers import single_device
 
@@ -74,7 +75,7 @@ def test_merkle_root_of_nothing(spark):
 
 def _tables(spark, out):
     names = ["silver", "gold/format=lerobot", "qa_report", "manifest", "provenance", "datacard"]
-    read = lambda t: spark.read.parquet(os.path.join(out, t))
+    read = lambda t: read_table(spark, out, t)
     return {t: sorted(json.dumps(r.asDict(True), sort_keys=True, default=str) for r in read(t).collect()) for t in names}
 
 
@@ -94,6 +95,6 @@ def test_second_run_and_second_batch_leave_one_copy(spark, tmp_dir):
     run(y, two)
     got = {t: [r.replace(two, one) for r in rows] for t, rows in _tables(spark, two).items()}
     assert got == first
-    lerobot = spark.read.parquet(os.path.join(two, "gold/format=lerobot"))
+    lerobot = read_table(spark, two, "gold/format=lerobot")
     assert lerobot.groupBy("session_id").agg(F.min("index").alias("i")).where("i <> 0").count() == 0
-    assert spark.read.parquet(os.path.join(two, "export_records")).count() == 2
+    assert read_table(spark, two, "export_records").count() == 2
