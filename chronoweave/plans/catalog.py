@@ -373,3 +373,4 @@ def publishable_q(spark, sf):
 from . import catalog_gold  # noqa: E402,F401
 from . import catalog_lineage  # noqa: E402,F401
 from . import catalog_verdicts  # noqa: E402,F401
+from . import catalog_versions  # noqa: E402,F401
