@@ -90,14 +90,15 @@ def best_fit_packing(docs: DataFrame, *, lengths: tuple[int, ...] = LENGTHS, tok
     groups = max(1, -(-docs.count() // docs_per_group))
 
     def measure(batches):
-        enc = encoder(tokenizer, 300_000)
+        enc = encoder(tokenizer, count=True)
         for b in batches:
             keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            n = np.array([len(x) // 4 + end_ids for x in enc.encode_many(texts)], np.int64)
+            n = np.array(enc.encode_many(texts), np.int64) + end_ids
             h = spark_xxhash64(np.array([k or 0 for k in keys], np.int64), 42)
             g = np.mod(spark_xxhash64(h ^ n, 7), groups)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n), pa.array(g.astype(np.int32))],
                                              names=["k", "n", "g"])
+        enc.forget()
 
     def pack(t: pa.Table) -> pa.Table:
         t = t.sort_by([("k", "ascending"), ("n", "ascending")])

@@ -66,7 +66,7 @@ def token_counts(docs: DataFrame, *, sections: Callable[[str], np.ndarray] = lin
     kind = (pa.float64(), "double") if rule == "share" else (pa.int64(), "long")
 
     def count(batches):
-        enc = encoder(tokenizer, 300_000)
+        enc = encoder(tokenizer)
         for b in batches:
             keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for lo in range(0, len(texts), 512):
@@ -87,6 +87,7 @@ def token_counts(docs: DataFrame, *, sections: Callable[[str], np.ndarray] = lin
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ks, pa.int64()), *(pa.array(np.concatenate(x)) for x in (no, at, to)),
                      pa.array(np.concatenate(n)).cast(kind[0])], names=["k", "section", "start", "end", "n_tokens"])
+        enc.forget()
 
     return (docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
             .mapInArrow(count, f"k long, section int, start long, end long, n_tokens {kind[1]}")

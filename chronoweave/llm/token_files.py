@@ -68,6 +68,7 @@ def write_shards(docs: DataFrame, root: str, *, tokenizer: str | None = None, ke
                 size += len(x) // 4 + 1
         if held:
             yield out()
+        enc.forget()
 
     rows = (docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
             .repartitionByRange("k").sortWithinPartitions("k", "t"))

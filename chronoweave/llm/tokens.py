@@ -13,7 +13,9 @@ import re
 import numpy as np
 
 _WIDE = re.compile(r" \s|\s ")
-_CACHE: dict[tuple[str, int], "TextEncoder"] = {}
+#: ASCII white space: a text without other characters beside a space is cut at spaces.
+_ASCII_WIDE = tuple(f" {c}" for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f") + tuple(f"{c} " for c in "\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_CACHE: dict[tuple[str, int, bool], "TextEncoder"] = {}
 
 
 def default_path() -> str:
@@ -21,16 +23,20 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str | None = None, cache_words: int = 1_000_000) -> "TextEncoder":
-    """One encoder per worker process and tokenizer file."""
-    key = (path or default_path(), cache_words)
+def encoder(path: str | None = None, cache_words: int = 300_000, count: bool = False) -> "TextEncoder":
+    """One encoder per worker process and tokenizer file. Tasks call :meth:`TextEncoder.forget` at
+    their end, so that an idle worker holds the vocabulary only."""
+    key = (path or default_path(), cache_words, count)
     if key not in _CACHE:
         _CACHE[key] = TextEncoder(*key)
     return _CACHE[key]
 
 
 class TextEncoder:
-    def __init__(self, path: str, cache_words: int):
+    """Ids of texts, or only their number (``count``), with the words met so far remembered: at most
+    ``cache_words`` and what one chunk of texts adds."""
+
+    def __init__(self, path: str, cache_words: int, count: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -42,29 +48,39 @@ class TextEncoder:
         self.special = [t.content for t in added.values()]
         for i, t in added.items():
             self.widths[i] = len(t.content.encode())
-        self.cache: dict[str, bytes] = {}
-        self.limit = cache_words
+        self.cache: dict[str, bytes | int] = {}
+        self.limit, self.count = cache_words, count
+        self._sum = sum if count else b"".join
+
+    def forget(self) -> None:
+        self.cache.clear()
 
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _plain(self, text: str) -> bytes | int:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return len(ids) if self.count else np.array(ids, "<u4").tobytes()
 
-    def _joined(self, words: list[str], sep: str) -> list[bytes]:
+    def _joined(self, words: list[str], sep: str) -> list[bytes] | list[int]:
         """Ids of ``sep + word`` (sep a space) or of ``word`` (sep a line feed), in one call."""
         text = " " + " ".join(words) if sep == " " else "\n".join(words)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        if text.isascii():
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        else:
+            ends = np.cumsum([len(w.encode()) + 1 for w in words])
         if sep != " ":
             ends[-1] -= 1
         at = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
         starts = np.concatenate(([0], at[:-1]))
-        if sep == " ":
-            return [ids[a:b].tobytes() for a, b in zip(starts.tolist(), at.tolist())]
-        last = len(at) - 1  # the line feed after each word is an id of its own
-        return [ids[a:b - (i < last)].tobytes() for i, (a, b) in enumerate(zip(starts.tolist(), at.tolist()))]
-
-    def encode_many(self, texts: list[str], chunk_chars: int = 2_000_000) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
+        # a line feed after a word is an id of its own
+        stops = at if sep == " " else at - (np.arange(len(at)) < len(at) - 1)
+        if self.count:
+            return (stops - starts).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * stops).tolist())]
+
+    def encode_many(self, texts: list[str], chunk_chars: int = 2_000_000) -> list[bytes] | list[int]:
+        """Ids of each text as little-endian unsigned 32-bit integers, or their number."""
+        out: list = []
         at, n = 0, len(texts)
         while at < n:
             end, chars = at, 0
@@ -75,47 +91,42 @@ class TextEncoder:
             at = end
         return out
 
-    def _chunk(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, text: str) -> bool:
+        """Whether a text has to be encoded as one string."""
+        if text.isascii():
+            wide = any(w in text for w in _ASCII_WIDE)
+        else:
+            wide = _WIDE.search(text) is not None
+        return wide or text[-1:].isspace() or any(s in text for s in self.special)
+
+    def _chunk(self, texts: list[str]) -> list[bytes] | list[int]:
         if len(self.cache) > self.limit:
             self.cache.clear()
         cache = self.cache
-        look = cache.get
-        found: list[list[bytes | None] | None] = []
-        todo: list[tuple[int, list[str]]] = []
-        missing: set[str] = set()
-        heads: list[str] = []
-        for i, t in enumerate(texts):
-            if _WIDE.search(t) or t[-1:].isspace() or any(s in t for s in self.special):
-                found.append(None)
-                continue
-            p = t.split(" ")
-            heads.append(p[0])
-            got = list(map(look, p))  # the first piece has no space before it: replaced below
-            found.append(got)
-            if None in got:
-                todo.append((i, p))
-                missing.update(w for w, x in zip(p, got) if x is None)
-        missing.discard("")
-        words = [w for w in missing if not w[0].isspace() and not w[-1].isspace()]
+        pieces: list[list[str] | None] = []
+        met: set[str] = set()
+        for t in texts:
+            p = None if self._whole(t) else t.split(" ")
+            pieces.append(p)
+            if p:
+                met.update(p)
+        # the first piece has no space before it: those are encoded apart, below
+        words = [w for w in met.difference(cache) if w and not w[0].isspace() and not w[-1].isspace()]
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
             cache.update(zip(part, self._joined(part, " ")))
-        for i, p in todo:
-            got = found[i]
-            for j, x in enumerate(got):
-                if x is None:
-                    got[j] = look(p[j])
-        lined = [h for h in heads if h and h.strip() == h]
-        first = dict(zip(lined, self._joined(lined, "\n"))) if lined else {}
-        head = iter(heads)
+        heads = list({p[0] for p in pieces if p and p[0] and p[0].strip() == p[0]})
+        first = dict(zip(heads, self._joined(heads, "\n"))) if heads else {}
+        look, total = cache.__getitem__, self._sum
         out = []
-        for t, got in zip(texts, found):
-            if got is None:
+        for t, p in zip(texts, pieces):
+            if p is None:
                 out.append(self._plain(t))
-                continue
-            h = next(head)
-            got[0] = first[h] if h in first else self._plain(h)
-            out.append(b"".join(got))
+            else:
+                h = p[0]
+                p[0] = first[h] if h in first else self._plain(h)
+                p[1:] = map(look, p[1:])
+                out.append(total(p))
         return out
 
     def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -11,10 +11,12 @@ from __future__ import annotations
 import heapq
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,7 +107,7 @@ class CharModel:
             total = n.sum(axis=-1, keepdims=True)
             # Witten-Bell: weight of the shorter context grows with the kinds seen
             p = (n + np.maximum(seen, 1) * p) / (total + np.maximum(seen, 1))
-        self.cost = (-np.log(p)).reshape(-1).astype(np.float32).tolist()
+        self.cost = array("f", (-np.log(p)).reshape(-1).astype(np.float32).tobytes())  # 2.5 MB
 
     def word_cost(self, word: str) -> float:
         return sum(self.cost[g] for g in grams(word))
@@ -122,6 +124,7 @@ _JOINERS = set(" .-_*~'`·,/\\")
 
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|€+£¡])(?:[ .\-_*~]{1,2}(?:[^\W_]|[@$!|€+£¡])(?![^\W_@$|€+£¡])){2,}", re.UNICODE)
 _NOISY = re.compile(r"[0-9@$!|€+£¡]|([^\W\d_])\1\1|[^\W\d_][.\-_*~'`·/\\][^\W\d_]", re.UNICODE)
+_TRIPLE = re.compile(r"(.)\1\1")
 _DECOR = re.compile(r"^[^\w@$]+|([^\w])\1{2,}$|[^\w@$!+]+$", re.UNICODE)
 
 
@@ -198,21 +201,30 @@ class Restorer:
         if got is None:
             if len(self.memo) > self.limit:
                 self.memo.clear()
+            got = self.memo[token] = self.fresh(token)
+        return got
+
+    def fresh(self, token: str) -> tuple[str, ...]:
+        """Words of a token, plain and restored."""
+        words = _WORD.findall(token)
+        if not token.isalpha() or _TRIPLE.search(token):  # else nothing is noisy
             core = _DECOR.sub("", _DECOR.sub("", token))
-            words = _WORD.findall(token)
             if _NOISY.search(core) and any(c.isalpha() for c in core):
                 words += [w for w in _WORD.findall(self._restore(core)) if w not in words]
-            got = self.memo[token] = tuple(words)
-        return got
+        return tuple(words)
+
+    def spaced(self, low: str):
+        """Words of each restored stretch of letters that stand apart."""
+        for m in _SPACED.finditer(low):
+            yield _WORD.findall(self._restore(m[0]))
 
     def words(self, text: str) -> set[str]:
         low = text.lower()
         out: set[str] = set()
         for token in set(low.split()):
             out.update(self.token(token))
-        if _SPACED.search(low):
-            for m in _SPACED.finditer(low):
-                out.update(_WORD.findall(self._restore(m[0])))
+        for words in self.spaced(low):
+            out.update(words)
         return out
 
     def text(self, text: str) -> str:
@@ -259,12 +271,46 @@ class Scorer:
         return out
 
     def score(self, words: set[str]) -> float:
+        return self.of_hits(self.hits(words))
+
+    def of_hits(self, held: set[str]) -> float:
         rest = 1 - self.base
-        for p in sorted(self.chance[f] for f in self.hits(words)):
+        for p in sorted(self.chance[f] for f in held):
             rest *= 1 - p
         return min(1.0, max(0.0, 1 - rest))
 
 
+class TokenHits(dict):
+    """Features that a token's words hold, remembered by token: most hold none. What is remembered
+    has at most ``limit`` characters."""
+
+    def __init__(self, restore: "Restorer", scorer: Scorer, limit: int = 2_000_000):
+        super().__init__()
+        self.restore, self.scorer, self.limit, self.size = restore, scorer, limit, 0
+        #: How the words begin that can hold a feature: a word, or a stem of ``STEMS[0]`` letters or more.
+        self.heads = {f[:STEMS[0]].removesuffix("*") for f in scorer.chance}
+
+    def of(self, words) -> tuple[str, ...]:
+        chance, heads, k = self.scorer.chance, self.heads, STEMS[0]
+        return tuple({f for w in words if w[:k] in heads for f in features(w) if f in chance})
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        self.size += len(token) + 1
+        got = self[token] = self.of((token,) if token.isalpha() and not _TRIPLE.search(token) and token.isascii() else self.restore.fresh(token))
+        return got
+
+    def score(self, text: str) -> float:
+        """As ``scorer.score(restore.words(text))``."""
+        if self.size > self.limit:
+            self.clear()
+            self.size = 0
+        low = text.lower()
+        held = set().union(*set(map(self.__getitem__, set(low.split()))))
+        for stretch in self.restore.spaced(low):
+            held.update(self.of(stretch))
+        return self.scorer.of_hits(held)
+
+
 def choose(rows: list[tuple[int, list[int]]], names: list[str], *, least: int = 3, purity: float = 0.9) -> tuple[float, dict[str, float]]:
     """Features that explain the toxic rows, most telling first (many toxic rows, and hardly any other): each must be right in ``purity``
     of the rows that no chosen feature covers yet, and cover ``least`` toxic ones of them. A word
@@ -301,7 +347,7 @@ def choose(rows: list[tuple[int, list[int]]], names: list[str], *, least: int =
         chosen[names[f]] = (t + 0.5) / (n + 1.0)
         open_[at[f]] = False
     base = (float(y[open_].sum()) + 0.5) / (int(open_.sum()) + 10.0)
-    return min(base, 0.45), chosen
+    return base, chosen
 
 
 def in_sample(key: Column, share: float) -> Column:
@@ -314,13 +360,13 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc_id", text: str = "text",
-        label: str = "toxic", fit_rows: int = 24_000, most_features: int = 20_000) -> Scorer:
+def fit(docs: DataFrame, labels: DataFrame, model: CharModel | Broadcast, *, key: str = "doc_id", text: str = "text",
+        label: str = "toxic", fit_rows: int = 24_000) -> Scorer:
     """Learn a scorer from at most about ``fit_rows`` labelled rows (a hash of the key chooses
     them; all, if there are fewer) outside the held-out fold.
 
-    Counting features is a Spark aggregation over those rows; the ``most_features`` most telling
-    features, and which sampled rows hold them, are what the driver gets.
+    Counting features is a Spark aggregation over those rows; the telling features, each held by
+    three toxic sampled rows or more, and which rows hold them, are what the driver gets.
     """
     usable = (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col(key)))
               .groupBy(F.col(key).cast("long").alias("k")).agg(F.max(label).cast("int").alias("y")))
@@ -329,7 +375,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc
     # about fit_rows pairs of two numbers at most, whatever the tables hold: texts stay where they are
     rows = (docs.select(F.col(key).cast("long").alias("k"), utf8(text).alias("t")).join(F.broadcast(sample), "k")
             .select("y", "t"))
-    cost = docs.sparkSession.sparkContext.broadcast(model)  # SYMBOLS**ORDER numbers
+    # SYMBOLS**ORDER numbers
+    cost = model if isinstance(model, Broadcast) else docs.sparkSession.sparkContext.broadcast(model)
 
     def each(batches):
         restore = Restorer(cost.value)
@@ -359,10 +406,10 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc
 
     counted = rows.mapInArrow(count, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     telling = (counted.where("t >= 3 AND t >= 0.9 * (t + c)").orderBy(F.desc(F.expr("t * (t + 0.5) / (t + c + 1.0)")), "f")
-               .limit(most_features).select("f").collect())
+               .select("f").collect())
     names = [r["f"] for r in telling]
     at = {f: i for i, f in enumerate(names)}
-    index = docs.sparkSession.sparkContext.broadcast(at)  # at most most_features names
+    index = docs.sparkSession.sparkContext.broadcast(at)  # features of fit_rows rows at most
 
     def mark(batches):
         look = index.value
@@ -375,6 +422,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, *, key: str = "doc
     marked = [(r["y"], r["f"]) for r in rows.mapInArrow(mark, "y int, f array<int>").where("y = 1 OR size(f) > 0").collect()]
     quiet = max(0, sample.count() - len(marked))
     base, chance = choose(marked + [(0, [])] * quiet, names)
+    index.destroy()
     return Scorer(base, chance)
 
 
@@ -397,14 +445,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: s
     Without usable labels every score is the same low base. Empty table: no rows.
     """
     sc = docs.sparkSession.sparkContext
-    model = char_model(docs, text=text)
+    model = sc.broadcast(char_model(docs, text=text))
     scorer = sc.broadcast(fit(docs, labels, model, key=key, text=text, **params))
-    model_b = sc.broadcast(model)
 
     def score(batches):
-        restore, s = Restorer(model_b.value), scorer.value
+        s = TokenHits(Restorer(model.value, limit=0), scorer.value)
         for b in batches:
-            t = [s.score(restore.words(x.as_py().decode("utf-8", "replace"))) for x in b.column(b.num_columns - 1)]
+            t = [s.score(x.as_py().decode("utf-8", "replace")) for x in b.column(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(t, pa.float64())], names=[*b.schema.names[:-1], "__score"])
 
     own = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
