@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LEROBOT_DATA_PATH, ROBOT_TYPE, STREAM_KEYS, TRAINER_BATCH_FRAMES
-from .scan import sums_before
+from .scan import sums_before, written
 from .silver import feature_list, feature_names, silver_wide, with_feature
 
 KEYS = STREAM_KEYS
@@ -53,7 +53,8 @@ def episodes(silver: DataFrame) -> DataFrame:
     ``length`` = frames, ``index_offset`` = frames of the earlier episodes.
     Prefix sums over the per-session aggregate, in ranges of session ids."""
     per = silver.groupBy("session_id").agg(F.countDistinct("frame_index").cast("long").alias("length"), F.lit(1).alias("_one"))
-    out = sums_before(per, ["session_id"], {"episode_index": "_one", "index_offset": "length"})
+    # a row per session, which the sums read three times
+    out = sums_before(written(per), ["session_id"], {"episode_index": "_one", "index_offset": "length"})
     return out.select("session_id", "episode_index", "length", "index_offset")
 
 
