@@ -4,6 +4,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,24 @@ def _unplanes(raw: bytes, n: int, width: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def _squeezed(x: np.ndarray, bits: int) -> bytes:
+    """``bits`` bits of each number: whole bytes plane by plane, then the other bits plane by plane."""
+    raw = x.astype("<u4").view(np.uint8).reshape(-1, 4)
+    rest = (x >> np.arange(bits & ~7, bits)[:, None]) & 1
+    return np.ascontiguousarray(raw[:, :bits >> 3].T).tobytes() + np.packbits(rest.astype(bool), axis=1).tobytes()
+
+
+def _unsqueezed(raw: bytes, n: int, bits: int) -> np.ndarray:
+    a, whole = np.frombuffer(raw, np.uint8), bits >> 3
+    out = np.zeros((n, 4), np.uint8)
+    out[:, :whole] = a[:whole * n].reshape(whole, n).T
+    x = out.view("<u4").reshape(-1).astype(np.int64)
+    if bits & 7:
+        rest = np.unpackbits(a[whole * n:].reshape(bits & 7, -1), axis=1)[:, :n].astype(np.int64)
+        x |= (rest << np.arange(bits & ~7, bits)[:, None]).sum(axis=0)
+    return x
+
+
 class _WordPairs(WordHashes):
     """bytes → two hashes by different functions, side by side."""
 
@@ -75,7 +94,7 @@ def _order(h: np.ndarray, s: np.ndarray, d: np.ndarray, by: np.ndarray) -> np.nd
 
 def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", text: str = "text",
                     windows_per_bucket: int = 1 << 20, bytes_per_group: int = 6 << 20,
-                    windows_per_batch: int = 2_000_000) -> DataFrame:
+                    windows_per_batch: int = 2_000_000, bytes_per_bundle: int = 16 << 20) -> DataFrame:
     """Remove every word covered by a window of ``window`` consecutive words that also starts in
     a document with a smaller key; windows are judged on the input.
 
@@ -84,7 +103,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
     third of all documents hold sends one entry per batch), and sends them to the hash's bucket
     as packed arrays; a bucket finds the smallest key of each hash and sends later documents
     their repeated hashes. Each document then marks these windows, whose union are maximal
-    removal intervals. Hashes keep 48 bits beside the bucket number's, and a window is only taken
+    removal intervals. Texts travel to their documents' groups in compressed bundles. Hashes keep 48 bits beside the bucket number's, and a window is only taken
     for another if 32 bits of a second hash, from other hashes of the words, agree too.
 
     Returns key, n_words, n_removed, kept (remaining words joined by one space), removed (array
@@ -115,7 +134,6 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
             lead = r[first][np.cumsum(first) - 1]
             late = ~first & (r > lead)
             late &= first | np.concatenate(([True], r[1:] != r[:-1]))
-            kind = np.uint16 if len(ids) < 65536 else np.uint32
             own, later = (h[first], r[first], s[first]), (h[late], r[late], s[late])
             cut = [np.searchsorted(x[0], (np.arange(1, nb, dtype=_U) << _U(64 - kb))) if kb else np.zeros(0, np.int64) for x in (own, later)]
             edges = [np.concatenate(([0], c, [len(x[0])])) for c, x in zip(cut, (own, later))]
@@ -128,7 +146,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
                 rs = np.concatenate((own[1][a:z], later[1][c:y]))
                 seconds = _planes(np.concatenate((own[2][a:z], later[2][c:y])), _SECOND)
                 used, at = np.unique(rs, return_inverse=True)
-                out.append((b, len(hs), _planes((hs >> shift) & low, 6), seconds, at.astype(kind).tobytes(), _planes(ids[used].view(_U), 8), int(z - a)))
+                out.append((b, len(hs), _planes((hs >> shift) & low, 6), seconds, _squeezed(at, (len(used) - 1).bit_length()), _planes(ids[used].view(_U), 8), int(z - a)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))],
                 names=["bucket", "n", "hashes", "seconds", "ranks", "ids", "n_own"])
@@ -151,10 +169,9 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
         hs, ss, ds, late = [], [], [], []
         for n, h, s, r, i, own in zip(*(t.column(c).to_pylist() for c in ("n", "hashes", "seconds", "ranks", "ids", "n_own"))):
             ids = _unplanes(i, len(i) // 8, 8).view(np.int64)
-            kind = np.uint16 if len(r) == 2 * n else np.uint32
             hs.append(_unplanes(h, n, 6))
             ss.append(_unplanes(s, n, _SECOND))
-            ds.append(ids[np.frombuffer(r, kind)])
+            ds.append(ids[_unsqueezed(r, n, (len(ids) - 1).bit_length())])
             late.append(np.arange(n) >= own)
         h, s, d, late = np.concatenate(hs), np.concatenate(ss), np.concatenate(ds), np.concatenate(late)
         by = _order(h, s, d, np.lexsort((d, h)))
@@ -174,17 +191,51 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
                          "seconds": pa.array([_planes(s[a:z], _SECOND) for a, z in zip(at, ends)], pa.binary()),
                          "ids": pa.array([_planes(d[a:z].view(_U), 8) for a, z in zip(at, ends)], pa.binary())})
 
-    def mark(docs_t: pa.Table, hits: pa.Table) -> pa.Table:
+    def bundle(batches):
+        """Rows of each group as one compressed row, as often as ``bytes_per_bundle`` are held."""
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        held: dict[int, tuple[list[int | None], list[bytes]]] = {}
+        size = 0
+
+        def out():
+            gs = sorted(held)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(gs, pa.int32()), pa.array([held[g][0] for g in gs], pa.list_(pa.int64())),
+                 pa.array([[len(t) for t in held[g][1]] for g in gs], pa.list_(pa.int64())),
+                 pa.array([squeeze(b"".join(held[g][1])) for g in gs], pa.binary())], names=["g", "ks", "lens", "ts"])
+
+        for b in batches:
+            for g, k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                t = t.as_py()
+                keys, texts = held.setdefault(g, ([], []))
+                keys.append(k)
+                texts.append(t)
+                size += len(t) + 16
+                if size >= bytes_per_bundle:
+                    yield out()
+                    held, size = {}, 0
+        if held:
+            yield out()
+
+    def unbundle(t: pa.Table):
+        """Keys and texts of bundles, one bundle unpacked at a time."""
+        expand = zstandard.ZstdDecompressor().decompress
+        for ks, lens, ts in zip(*(t.column(c) for c in ("ks", "lens", "ts"))):
+            raw, at = expand(ts.as_py()), 0
+            for k, n in zip(ks.as_py(), lens.as_py()):
+                yield k, raw[at:at + n]
+                at += n
+
+    def mark(bundles: pa.Table, hits: pa.Table) -> pa.Table:
         roll = _Windows(window)
         h, s, d = (np.concatenate([np.zeros(0, "<u8"), *(_unplanes(x, len(x) // width, width) for x in hits.column(c).to_pylist())]) if len(hits) else np.zeros(0, "<u8")
                    for c, width in (("hashes", 8), ("seconds", _SECOND), ("ids", 8)))
         d = d.view(np.int64)
         by = np.lexsort((h, d))
         h, s, d = h[by], s[by], d[by]
-        keys = docs_t.column("k").to_pylist()
-        n_words, n_removed, kept, removed = [], [], [], []
-        for k, x in zip(keys, docs_t.column("t")):
-            words = x.as_py().split()
+        keys, n_words, n_removed, kept, removed = [], [], [], [], []
+        for k, x in unbundle(bundles):
+            words = x.split()
             a, z = (0, 0) if k is None else (np.searchsorted(d, k), np.searchsorted(d, k, "right"))
             spans = []
             if a < z:
@@ -203,6 +254,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
                     lo = starts[np.concatenate(([0], edge + 1))]
                     hi = starts[np.concatenate((edge, [len(starts) - 1]))] + window
                     spans = list(zip(lo.tolist(), hi.tolist()))
+            keys.append(k)
             n_words.append(len(words))
             n_removed.append(sum(z - a for a, z in spans))
             at, parts = 0, []
@@ -222,6 +274,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, key: str = "doc_id", t
     # rows without a key are spread by their text
     placed = base.withColumn("g", F.pmod(F.when(F.col("k").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("k")),
                                          F.lit(groups)).cast("int"))
-    out = placed.groupBy("g").cogroup(hits.groupBy("g")).applyInArrow(
+    bundles = placed.select("g", "k", "t").mapInArrow(bundle, "g int, ks array<long>, lens array<long>, ts binary")
+    out = bundles.groupBy("g").cogroup(hits.groupBy("g")).applyInArrow(
         mark, "k long, n_words long, n_removed long, kept binary, removed array<struct<start:int,end:int>>")
     return out.withColumn("kept", F.col("kept").cast("string")).withColumnRenamed("k", key)
