@@ -57,13 +57,13 @@ def exact_topk(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int =
     """For each row that ``queries`` selects, the ``k`` other rows with the highest integer inner
     product of ``floor(scale * x)``: query_id, rank (from 1), vec_id, score; ties to smaller ids.
 
-    Candidates and queries are dealt into blocks by a hash of their id; a task gets one block of
+    Candidates and queries are dealt into blocks by a hash of the row; a task gets one block of
     candidates with one of queries, sorts its per-dimension lists once and runs the threshold
     algorithm for each query; the block winners are merged per query. Blocks, not rows, are
     copied: once per 4096 queries. Vectors that are null or hold null or non-finite components
     (or have another length than a query's: no product) take no part. A row with the query's id
-    is the query itself; rows repeated under one id count once, the smallest vector of them.
-    Null ids take no part. Empty table: no rows. Other columns are ignored.
+    is the query itself; rows repeated under one id are candidates of their own, and the queries of
+    a repeated id share one list of ``k``. Null ids take no part. Empty table: no rows. Other columns are ignored.
     """
     x = F.col(vec_col)
     good = (F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0)
@@ -71,11 +71,13 @@ def exact_topk(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int =
     base = vectors.where(good).select(
         F.col(id_col).cast("long").alias("i"), queries.alias("is_query"),
         F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("v"))
-    base = base.groupBy("i").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query"))
+    # equal rows beyond the kth can't be among the k best of any query
+    base = (base.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"), F.max("is_query").alias("is_query"))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k)).cast("int")))))
     size = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("q")).first()
     cb = max(1, -(-int(size["n"]) // rows_per_block))
     qb = max(1, -(-int(size["q"] or 0) // queries_per_block))
-    block = lambda n: F.pmod(F.xxhash64("i"), F.lit(n)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("i", "v", "copy"), F.lit(n)).cast("int")
     cand = base.select("i", "v", block(cb).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("q"))
     asks = (base.where("is_query").select("i", "v", block(qb).alias("q"),
                                           F.explode(F.sequence(F.lit(0), F.lit(cb - 1))).alias("c")))
