@@ -54,6 +54,24 @@ def prob_min_hash(ids: np.ndarray, weights: np.ndarray, of: np.ndarray, n: int,
     return out.reshape(n, m)
 
 
+def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
+    """Probability Jaccard similarity of two weighted sets (sorted elements, their weights): the
+    chance that registers of their ProbMinHash signatures are equal. An element ``i`` of both adds
+    one over the sum, over all elements ``j``, of ``max(wa[j] / wa[i], wb[j] / wb[i])``."""
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = b[at] == a
+    x, y = wa[both].astype(np.float64), wb[at[both]].astype(np.float64)
+    if not len(x):
+        return 0.0
+    only_a, only_b = float(wa.sum(dtype=np.int64)) - x.sum(), float(wb.sum(dtype=np.int64)) - y.sum()
+    if (x == y).all():
+        return float(x.sum() / (only_a + only_b + x.sum()))
+    # elements whose ratio is at least that of i count by their weight in a, the others by that in b
+    by = np.argsort(x / y, kind="stable")
+    x, y = x[by], y[by]
+    return float((1 / ((only_a + np.cumsum(x[::-1])[::-1]) / x + (only_b + np.cumsum(y) - y) / y)).sum())
+
+
 def text_id(text: bytes) -> int:
     """64 bits of a digest of the text: equal texts are one vertex."""
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
@@ -78,7 +96,8 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
 
         def out(keys, same, sizes, sets):
             codes = np.zeros((len(keys), bands), np.int64)
-            order = np.argsort([len(x) for x, _ in sets], kind="stable")  # alike sizes take alike turns
+            # turns go with the largest share of an element
+            order = np.argsort([-(w.max() / w.sum()) for _, w in sets], kind="stable")
             for lo in range(0, len(order), 256):
                 part = order[lo:lo + 256]
                 codes[part] = sign_sets([sets[i] for i in part])
@@ -94,11 +113,11 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
                 h = shingle_hashes(t.split(), hashes, roll)
                 if not len(h):
                     continue
-                ids = np.unique(h)
+                ids, counts = np.unique(h, return_counts=True)
                 keys.append(k)
                 same.append(text_id(t))
                 sizes.append(len(t))
-                sets.append((ids, np.ones(len(ids))))  # links are decided by plain sets
+                sets.append((ids, counts.astype(np.float64)))
                 held += len(ids)
                 if held > 3_000_000:
                     yield out(keys, same, sizes, sets)
@@ -135,10 +154,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class _Sets:
-    """Sorted shingle hashes of some texts and the links among them, by prefix filtering."""
+    """Sorted shingle hashes of some texts with their weights, and the links among them, by prefix
+    filtering."""
 
-    def __init__(self, keys: list[int], sets: list[np.ndarray], least: float):
-        self.keys, self.sets, self.least = keys, sets, least
+    def __init__(self, keys: list[int], sets: list[tuple[np.ndarray, np.ndarray]], least: float):
+        self.keys, self.least = keys, least
+        self.sets, self.weights = [s for s, _ in sets], [w for _, w in sets]
         self.parent = list(range(len(keys)))
 
     def root(self, i: int) -> int:
@@ -148,18 +169,15 @@ class _Sets:
         return i
 
     def alike(self, i: int, j: int) -> bool:
-        a, b = self.sets[i], self.sets[j]
-        if min(len(a), len(b)) < self.least * max(len(a), len(b)) - 1e-9:
-            return False
-        small, large = (a, b) if len(a) <= len(b) else (b, a)
-        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-        both = int((large[at] == small).sum())
-        return both >= self.least * (len(a) + len(b) - both) - 1e-9
+        if len(self.sets[i]) > len(self.sets[j]):
+            i, j = j, i
+        return probability_jaccard(self.sets[i], self.weights[i], self.sets[j], self.weights[j]) >= self.least - 1e-9
 
     def link(self) -> None:
-        """Join all texts with Jaccard >= least. Two such texts share an element among the first
-        ``len - ceil(least * len) + 1`` of either, in one order of all elements (rarest first);
-        texts that are joined already are not compared. Texts that matched last are tried
+        """Join all texts with probability Jaccard >= least. Weights as shares of their text, two
+        such texts have at least ``least`` of them in common, so what stands in either before their
+        first common element, in one order of all elements (rarest first), is at most the rest: that
+        element is among the beginnings of both. Texts that are joined already are not compared. Texts that matched last are tried
         first, so a text that many others resemble is found at once."""
         sizes = np.array([len(s) for s in self.sets])
         flat = np.concatenate(self.sets)
@@ -170,8 +188,10 @@ class _Sets:
         ends = np.cumsum(sizes)
         holders: dict[int, dict[int, list[int]]] = {}  # element -> class -> texts
         for i in np.argsort(sizes, kind="stable").tolist():
-            mine = np.sort(ranks[ends[i] - sizes[i]:ends[i]])
-            head = mine[: int(sizes[i] - np.ceil(self.least * sizes[i] - 1e-9)) + 1].tolist()
+            mine, w = ranks[ends[i] - sizes[i]:ends[i]], self.weights[i]
+            by = np.argsort(mine)
+            before = np.cumsum(w[by], dtype=np.float64) - w[by]
+            head = mine[by[before <= (1 - self.least + 1e-9) * w.sum(dtype=np.int64)]].tolist()
             tried: set[int] = set()
             for e in head:
                 groups = holders.get(e)
@@ -190,7 +210,7 @@ class _Sets:
                         if j in tried:
                             continue
                         tried.add(j)
-                        if sizes[j] >= self.least * sizes[i] - 1e-9 and self.alike(i, j):
+                        if self.alike(i, j):
                             x, y = self.root(i), self.root(j)
                             self.parent[max(x, y)] = min(x, y)
                             at.append(at.pop(p))
@@ -204,15 +224,15 @@ def near_classes(docs: DataFrame, *, least: float = 0.8, width: int = 5, bands:
                  bytes_per_task: int = 128 << 20) -> DataFrame:
     """Classes of near-duplicate documents: key, class_id (the smallest key of the class).
 
-    Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles
-    (words: runs of bytes other than space and 0x09-0x0D) is ``least`` or more; classes are
-    the connected components of links and of equal texts. Equal texts collapse first. The others
-    get ProbMinHash signatures of their sets of shingles, all of weight one (so that registers
-    estimate the very Jaccard similarity that decides, however often a text repeats a block), and
-    meet in band buckets; buckets send each member to their smallest member (no pairs), and the components of
+    Two texts are linked if the probability Jaccard similarity of their ``width``-word shingles,
+    weighted by how often the text holds them (words: runs of bytes other than space and 0x09-0x0D),
+    is ``least`` or more; where no text repeats a shingle, that is the Jaccard similarity of the
+    sets. Classes are the connected components of links and of equal texts. Equal texts collapse
+    first. The others get ProbMinHash signatures of their weighted shingles, whose registers
+    estimate the very similarity that decides, and meet in band buckets; buckets send each member to their smallest member (no pairs), and the components of
     that graph hold all candidate links: with 32 bands of 6 registers a pair at similarity 0.8
-    meets with probability 0.9999. Each component's texts then come together once, and exact
-    Jaccard decides each link that could still join two classes. A component of more than
+    meets with probability 0.9999. Each component's texts then come together once, and the exact
+    similarity decides each link that could still join two classes. A component of more than
     ``docs_per_task`` texts or ``bytes_per_task`` bytes is dealt into blocks of about half as
     much; every two blocks meet in a task of their own, and components of the links found give
     the classes, so no task holds more than two blocks and no link between blocks is lost.
@@ -244,11 +264,12 @@ def near_classes(docs: DataFrame, *, least: float = 0.8, width: int = 5, bands:
 
     def verify(t: pa.Table) -> pa.Table:
         hashes, roll = WordHashes(), Rolling(width)
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for v, x in zip(t.column("v").to_pylist(), t.column("t")):
             x = x.as_py()
             if v not in sets and text_id(x) == v:  # rows with an equal key may hold other texts
-                sets[v] = np.unique(shingle_hashes(x.split(), hashes, roll))
+                ids, counts = np.unique(shingle_hashes(x.split(), hashes, roll), return_counts=True)
+                sets[v] = ids, counts.astype(np.int32)
         ids = sorted(sets)
         s = _Sets(ids, [sets[v] for v in ids], least)
         s.link()

@@ -13,7 +13,12 @@ from llm_helpers import SF_SMALL, make_docs  # noqa: F401
 def brute_classes(rows, least=0.8, w=5):
     def sh(t):
         x = (t or "").encode().split()
-        return {tuple(x[i:i + w]) for i in range(len(x) - w + 1)} if len(x) >= w else ({tuple(x)} if x else set())
+        return Counter(tuple(x[i:i + w]) for i in range(len(x) - w + 1)) if len(x) >= w else Counter([tuple(x)] if x else [])
+
+    def similarity(a, b):  # probability Jaccard, by its definition
+        if not a.keys() & b.keys():
+            return 0
+        return sum(1 / sum(max(a[j] / a[i], b[j] / b[i]) for j in a.keys() | b.keys()) for i in a.keys() & b.keys())
     sets = [sh(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -24,7 +29,9 @@ def brute_classes(rows, least=0.8, w=5):
     for i in range(len(rows)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if a and b and len(a & b) >= least * len(a | b) - 1e-9:
+            # it is at most the share of the weights in common
+            if a and b and sum(min(a[e] / a.total(), b[e] / b.total()) for e in a.keys() & b.keys()) >= least - 1e-9 \
+                    and similarity(a, b) >= least - 1e-9:
                 parent[root(i)] = root(j)
     low = {}
     for i, (k, _) in enumerate(rows):
@@ -63,16 +70,17 @@ def test_near_classes_edges(spark, make_docs):
 
 
 def test_near_classes_where_one_text_repeats_a_block(spark, make_docs):
-    """Pairs at a set similarity just over 0.8, of which one text holds a block many times."""
+    """Pairs with a set similarity just over 0.8, of which one text holds a block 50 times: linked if
+    the other does, too, and not if it holds the block once."""
     r = random.Random(11)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(7))
     rows = []
     for k in range(0, 60, 2):
         block, rest = [word() for _ in range(60)], [word() for _ in range(140)]
-        rows.append((k, " ".join(block + rest)))
+        rows.append((k, " ".join(block * (50 if k % 4 else 1) + rest)))
         rows.append((k + 1, " ".join(block * 50 + rest[:120] + [word() for _ in range(10)])))
     want = brute_classes(rows)
-    assert want == Counter((k, k - k % 2) for k in range(60))
+    assert want == Counter((k, k - k % 2 if k % 4 > 1 else k) for k in range(60))
     assert Counter(map(tuple, near_dedup.near_classes(make_docs(rows)).collect())) == want
 
 
@@ -216,16 +224,16 @@ def test_topk(spark):
     r = np.random.default_rng(3)
     rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(400, 6)).round(1))]
     rows += [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (450, [float("nan")] * 6), (500, [float("inf")] * 6), (None, [1.0] * 6), (550, [0.0] * 6),
-             (600, rows[0][1]), (600, rows[0][1]), (650, [])]
+             (600, rows[0][1]), (600, rows[0][1]), (650, []), (700, rows[1][1]), (700, rows[2][1])]
+    rows += [(701, [9.0] * 6), (701, [3.0] * 6), *[(702, [8.0] * 6)] * 150]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS v", "2 AS c", "3 AS rank")
     out = topk.exact_topk(df, df.vec_id % 50 == 0, rows_per_block=64, queries_per_block=3)
-    v = {i: np.floor(256 * np.array(x, np.float32).astype(np.float64)).astype(int) for i, x in rows
-         if i is not None and x and all(y is not None and np.isfinite(y) for y in x)}
+    v = [(i, np.floor(256 * np.array(x, np.float32).astype(np.float64)).astype(int)) for i, x in rows
+         if i is not None and x and all(y is not None and np.isfinite(y) for y in x)]
     want = []
-    for q in v:
-        if q % 50 == 0:
-            s = sorted((-int(v[q] @ v[i]), i) for i in v if i != q)[:5]
-            want += [(q, k + 1, i, -m) for k, (m, i) in enumerate(s)]
+    for q in {i for i, _ in v if i % 50 == 0}:
+        s = sorted((-int(x @ y), i) for j, x in v if j == q for i, y in v if i != q)[:5]
+        want += [(q, k + 1, i, -m) for k, (m, i) in enumerate(s)]
     assert Counter(map(tuple, out.collect())) == Counter(want)
     assert topk.exact_topk(df.limit(0), df.vec_id % 50 == 0).count() == 0
 
