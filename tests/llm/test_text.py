@@ -8,6 +8,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chronoweave.llm import decontamination, toxicity
 from llm_helpers import DOCS, SF_SMALL, make_docs  # noqa: F401
@@ -268,6 +269,21 @@ def test_pipeline_stages(spark, tmp_dir):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, now.collect()))
 
 
+def test_pipeline_keeps_columns_of_any_name(spark):
+    """Columns named like the operators' own, or with a dot, and null keys and repeated rows."""
+    import corpus_pipeline as cp
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    docs = docs.union(docs.where("doc_id < 5")).union(docs.limit(2).selectExpr("null", "text", "lang", "source", "n_chars"))
+    names = ("score", "predicted", "held_out", "n_lines", "n_removed", "k", "class_id", "a.b")
+    docs = docs.select("*", *[F.concat_ws("-", F.lit(n), "doc_id").alias(n) for n in names])
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns, name
+        for row in out.select("doc_id", *[f"`{n}`" for n in names]).distinct().collect():
+            assert all(row[n] == (n if row.doc_id is None else f"{n}-{row.doc_id}") for n in names), name
+    assert cp.STAGES[-1][1](spark, docs, SF_SMALL).count() >= docs.count()
+
+
 def test_pipeline_of_no_documents(spark):
     import corpus_pipeline as cp
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
