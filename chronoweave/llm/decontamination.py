@@ -163,30 +163,50 @@ def _duck_words(text: str) -> str:
             f"lambda w: trim(w, '{_DUCK_PUNCT}')), lambda w: w <> '')")
 
 
-#: The rule of templates in DuckDB SQL, for items of at least eight words; without matches by words alone.
+def _duck_typed(w: str) -> str:
+    return f"list_transform({w}, lambda x: {TYPED.format(w='x')}) AS t, list_transform({w}, lambda x: lower(x)) AS l"
+
+
+#: The whole rule in DuckDB SQL: templates, and windows that meet by their words in lower case.
 ORACLE = f"""
-WITH iw AS (SELECT item_id, {_duck_words('text')} AS w FROM benchmark),
-it AS (SELECT *, list_transform(w, lambda x: {TYPED.format(w='x')}) AS t FROM iw WHERE len(w) >= 8),
-ig AS (SELECT item_id, p AS ipos, w[p + 1:p + 8] AS iwords, t[p + 1:p + 8] AS g
-       FROM (SELECT *, unnest(range(len(t) - 7)) AS p FROM it)),
-ik AS (SELECT * FROM ig WHERE len(list_filter(g, lambda x: NOT starts_with(x, '<'))) >= 4),
-tot AS (SELECT item_id, count(*) AS item_windows FROM ik GROUP BY item_id),
+WITH iw AS (SELECT DISTINCT item_id, {_duck_words('text')} AS w FROM benchmark),
+it AS (SELECT *, least(8, len(w)) AS n, {_duck_typed('w')} FROM iw WHERE len(w) > 0),
+ig AS (SELECT item_id, n, p AS ipos, w[p + 1:p + n] AS iwords, t[p + 1:p + n] AS ityped, l[p + 1:p + n] AS ilower
+       FROM (SELECT *, unnest(range(len(w) - n + 1)) AS p FROM it)),
+ik AS (SELECT *, len(list_filter(ityped, lambda x: NOT starts_with(x, '<'))) >= least(4, n) AS templated FROM ig),
+tot AS (SELECT item_id, count(*) FILTER (WHERE templated) AS templates, count(*) AS all_windows FROM ik GROUP BY item_id),
 dw AS (SELECT doc_id, {_duck_words('text')} AS w FROM documents),
-dt AS (SELECT *, list_transform(w, lambda x: {TYPED.format(w='x')}) AS t FROM dw WHERE len(w) >= 8),
-dg AS (SELECT doc_id, p AS pos, w[p + 1:p + 8] AS dwords, t[p + 1:p + 8] AS g
-       FROM (SELECT *, unnest(range(len(t) - 7)) AS p FROM dt)),
-m AS (SELECT doc_id, item_id, pos, ipos, pos - ipos AS diag, iwords, dwords, g FROM dg JOIN ik USING (g)),
-s AS (SELECT doc_id, item_id, diag, g[i] AS kind, iwords[i] AS a, dwords[i] AS b
-      FROM (SELECT *, unnest(range(1, 9)) AS i FROM m) WHERE starts_with(g[i], '<')),
+dt AS (SELECT *, {_duck_typed('w')} FROM dw),
+dg AS (SELECT doc_id, n, p AS pos, w[p + 1:p + n] AS dwords, t[p + 1:p + n] AS dtyped, l[p + 1:p + n] AS dlower
+       FROM (SELECT dt.*, n, unnest(range(len(w) - n + 1)) AS p FROM dt, (SELECT DISTINCT n FROM it) WHERE len(w) >= n)),
+m AS (SELECT doc_id, item_id, n, pos, ipos, pos - ipos AS diag, iwords, dwords, ityped,
+             templated AND dtyped = ityped AS by_type, dlower = ilower AS by_word
+      FROM (SELECT * FROM dg JOIN ik USING (n) WHERE templated AND dtyped = ityped
+            UNION SELECT * FROM dg JOIN ik USING (n) WHERE dlower = ilower)),
+s AS (SELECT doc_id, item_id, diag, ityped[i] AS kind, iwords[i] AS a, dwords[i] AS b
+      FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM m WHERE by_type) WHERE starts_with(ityped[i], '<')),
 c AS (SELECT doc_id, item_id, diag, count(DISTINCT (kind, a)) / count(DISTINCT (kind, a, b)) AS consistency, bool_and(a = b) AS exact
       FROM s GROUP BY ALL),
-d AS (SELECT doc_id, item_id, diag, count(DISTINCT ipos) AS hits, min(pos) AS first, max(pos) + 7 AS last FROM m GROUP BY ALL),
-k AS (SELECT d.*, coalesce(consistency, 1.0) AS consistency, coalesce(exact, true) AS exact
-      FROM d LEFT JOIN c USING (doc_id, item_id, diag) WHERE coalesce(consistency, 1.0) >= 0.8),
-p AS (SELECT doc_id, item_id, count(DISTINCT ipos) AS n_windows, min(k.consistency) AS consistency, bool_and(k.exact) AS exact,
-             min(first) AS first, max(last) AS last, max(hits) + 7 AS run
-      FROM k JOIN m USING (doc_id, item_id, diag) GROUP BY ALL)
-SELECT doc_id, item_id, CAST(n_windows AS INTEGER) AS n_windows, CAST(item_windows AS INTEGER) AS item_windows,
-       n_windows / item_windows AS coverage, consistency, exact, CAST(first AS INTEGER) AS first, CAST(last AS INTEGER) AS last
-FROM p JOIN tot USING (item_id) WHERE n_windows / item_windows >= 0.5 OR run >= 13
+f AS (SELECT m.*, coalesce(consistency, 1.0) AS consistency, coalesce(exact, true) AS exact,
+             coalesce(consistency, 1.0) >= 0.8 AND by_type AS fits
+      FROM m LEFT JOIN c USING (doc_id, item_id, diag)),
+d AS (SELECT doc_id, item_id, diag, count(DISTINCT ipos) FILTER (WHERE fits) + max(n) - 1 AS t_run, bool_or(fits) AS fits,
+             count(DISTINCT ipos) FILTER (WHERE fits OR by_word) + max(n) - 1 AS e_run
+      FROM f GROUP BY ALL HAVING bool_or(fits OR by_word)),
+r AS (SELECT doc_id, item_id, max(t_run) FILTER (WHERE fits) AS t_run, max(e_run) AS e_run FROM d GROUP BY ALL),
+p AS (SELECT doc_id, item_id, count(DISTINCT ipos) FILTER (WHERE fits) AS t_windows,
+             count(DISTINCT ipos) FILTER (WHERE fits OR by_word) AS e_windows,
+             min(consistency) FILTER (WHERE fits) AS consistency, bool_and(exact) FILTER (WHERE fits) AS exact,
+             min(pos) FILTER (WHERE fits) AS t_first, max(pos + n - 1) FILTER (WHERE fits) AS t_last,
+             min(pos) FILTER (WHERE by_word) AS w_first, max(pos + n - 1) FILTER (WHERE by_word) AS w_last
+      FROM f GROUP BY ALL),
+q AS (SELECT *, t_windows > 0 AND (t_windows / templates >= 0.5 OR t_run >= 13) AS typed
+      FROM p JOIN r USING (doc_id, item_id) JOIN tot USING (item_id))
+SELECT doc_id, item_id, CAST(CASE WHEN typed THEN t_windows ELSE e_windows END AS INTEGER) AS n_windows,
+       CAST(CASE WHEN typed THEN templates ELSE all_windows END AS INTEGER) AS item_windows,
+       CASE WHEN typed THEN t_windows / templates ELSE e_windows / all_windows END AS coverage,
+       coalesce(consistency, 1.0) AS consistency, coalesce(exact, true) AS exact,
+       CAST(CASE WHEN typed THEN t_first ELSE least(t_first, w_first) END AS INTEGER) AS first,
+       CAST(CASE WHEN typed THEN t_last ELSE greatest(t_last, w_last) END AS INTEGER) AS last
+FROM q WHERE typed OR e_windows / all_windows >= 0.5 OR e_run >= 13
 """
