@@ -50,6 +50,8 @@ def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,
 
     ``alignment`` may carry ``t_ref_us`` and ``kernel`` already (the as-of
     adapter keeps them); otherwise they are joined from ``grid`` / ``streams``.
+    Raises where a stream has no descriptor, an index is past the payload, or a
+    payload row that is used has another width than the declared shape.
     """
     st = streams.select(*KEYS, "kernel", "shape")
     a = alignment
@@ -68,9 +70,13 @@ def project(alignment: DataFrame, payload: DataFrame, streams: DataFrame,
     place = F.concat_ws("/", *KEYS, F.col("frame_index").cast("string"))
     wants = F.col("valid") & (F.col("source_index") >= 0)
     wants_next = wants & (kern == "continuous") & (F.col("next_index") >= 0)
+    # A payload row that is used has the declared width
+    wrong = lambda v: F.col(v).isNotNull() & (F.size(v) != width)
     value = (F.when(F.col("shape").isNull(), F.raise_error(F.concat(F.lit("stream without a descriptor: "), place)))
               .when((wants & F.col("_a_val").isNull()) | (wants_next & F.col("_b_val").isNull()),
                     F.raise_error(F.concat(F.lit("index past the payload: "), place)))
+              .when(wrong("_a_val") | wrong("_b_val"),
+                    F.raise_error(F.concat(F.lit("payload width differs from the declared shape: "), place)))
               .when(F.col("_a_val").isNull(), nan_array(width))
               .when((kern == "continuous") & F.col("_b_val").isNotNull(),
                     blend("_a_val", "_b_val", "weight"))

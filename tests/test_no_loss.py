@@ -58,6 +58,9 @@ def test_projection_raises_where_rows_would_go(spark):
     late = inp["alignment"].withColumn("source_index", F.col("source_index") + 10_000)
     with pytest.raises(Exception, match="past the payload"):
         align.project(late, inp["payload"], inp["streams"], inp["grid"]).collect()
+    for value in ("slice(value, 1, size(value) - 1)", "concat(value, value)"):
+        with pytest.raises(Exception, match="payload width differs"):
+            align.project(inp["alignment"], inp["payload"].withColumn("value", F.expr(value)), inp["streams"], inp["grid"]).collect()
 
 
 def test_asof_with_large_ids(spark):
