@@ -3,15 +3,20 @@
 Layout under one root folder, written and committed by Spark (a lost executor's task is
 simply run again):
 
-``shards/``  one row per block: ``part, seq, first, payload, lens, keys`` — ``payload`` holds
-             the raw ids of up to ``block_ids`` ids as little-endian unsigned 32-bit integers,
-             documents one after the other in ascending key order, each with its end id;
-             ``first`` is the number of the block's first document in its part. Parts hold
-             ascending key ranges.
+``shards/``  one row per block: ``part, seq, first, last, payload, lens, ats, keys`` — ``payload``
+             holds the raw ids of up to ``block_ids`` ids as little-endian unsigned 32-bit
+             integers, documents one after the other in ascending key order, each with its end
+             id; ``first`` and ``last`` number the block's documents in their part, ``ats`` has
+             the ids before each in the block. Parts hold ascending key ranges. A page holds one
+             block, and its column index names it, so that a filter on part and number reads
+             the payloads of the blocks it names only.
 ``index/``   one row per key bucket: a minimal perfect hash of the bucket's distinct keys
              (levels of bits; a key's slot is the rank of its bit) and, by slot, a 32-bit
-             fingerprint, the part, the number of the key's first document there, and how
-             many documents have that key.
+             fingerprint and the place of the key's first document: part, number there, offset
+             in its block's ids, number of ids; and how many documents have that key.
+
+:func:`lookup` gives the ids of a request's keys in time that doesn't grow with the table but for
+listing files and their footers; :func:`read_documents` reads any set of keys by one scan.
 """
 from __future__ import annotations
 
@@ -22,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import mix64
+from ._common import mix64, spark_xxhash64
 from .tokens import encoder
 
-SHARD_SCHEMA = ("part int, seq int, first long, n_ids long, payload binary, lens array<int>, "
-                "keys array<long>")
-INDEX_SCHEMA = ("bucket int, sizes array<int>, bits binary, prints binary, parts binary, "
-                "numbers binary, copies binary")
+SHARD_SCHEMA = ("part int, seq int, first long, last long, n_ids long, payload binary, lens array<int>, "
+                "ats array<int>, keys array<long>")
+#: What a slot holds of a key: the place of its first document, and how many there are.
+PLACE = ("part", "number", "at", "n_tokens", "copies")
+INDEX_SCHEMA = "bucket int, sizes array<int>, bits binary, prints binary, " + ", ".join(f"{c} binary" for c in PLACE)
 
 
 def write_shards(docs: DataFrame, root: str, *, tokenizer: str | None = None, key: str = "doc_id",
@@ -49,12 +55,14 @@ def write_shards(docs: DataFrame, root: str, *, tokenizer: str | None = None, ke
         enc = encoder(tokenizer)
 
         def out():
-            lens = [len(b) // 4 for b in held]
+            lens = np.array([len(b) // 4 for b in held], np.int32)
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([first], pa.int64()),
-                pa.array([size], pa.int64()), pa.array([b"".join(held)], pa.binary()),
-                pa.array([lens], pa.list_(pa.int32())), pa.array([keys], pa.list_(pa.int64()))],
-                names=["part", "seq", "first", "n_ids", "payload", "lens", "keys"])
+                pa.array([first + len(keys) - 1], pa.int64()), pa.array([size], pa.int64()),
+                pa.array([b"".join(held)], pa.binary()), pa.array([lens], pa.list_(pa.int32())),
+                pa.array([np.cumsum(lens, dtype=np.int32) - lens], pa.list_(pa.int32())),
+                pa.array([keys], pa.list_(pa.int64()))],
+                names=["part", "seq", "first", "last", "n_ids", "payload", "lens", "ats", "keys"])
 
         for b in batches:
             ids = enc.encode_many([t or "" for t in b.column(1).to_pylist()])
@@ -73,7 +81,8 @@ def write_shards(docs: DataFrame, root: str, *, tokenizer: str | None = None, ke
     rows = (docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
             .repartitionByRange("k").sortWithinPartitions("k", "t"))
     (rows.mapInArrow(blocks, SHARD_SCHEMA).write.option("compression", "zstd")
-     .option("parquet.block.size", str(32 << 20)).parquet(f"{root}/shards"))
+     .option("parquet.block.size", str(32 << 20)).option("parquet.page.row.count.limit", "1")
+     .option("parquet.page.size.row.check.min", "1").parquet(f"{root}/shards"))
 
 
 def _hash_levels(keys: np.ndarray, gamma: float = 1.7) -> tuple[list[int], np.ndarray]:
@@ -114,7 +123,6 @@ def _print32(keys: np.ndarray) -> np.ndarray:
 
 def _build_bucket(t: pa.Table) -> pa.Table:
     bucket = t.column("bucket")[0].as_py()
-    part, number, copies = (t.column(c).to_numpy().astype(np.int64) for c in ("part", "number", "copies"))
     if bucket < 0:  # the null key has a bucket to itself
         sizes, bits, order, prints = [], np.zeros(0, bool), np.zeros(1, np.int64), np.zeros(1, "<u4")
     else:
@@ -122,12 +130,11 @@ def _build_bucket(t: pa.Table) -> pa.Table:
         sizes, bits = _hash_levels(keys)
         order = np.argsort(_slots(keys, sizes, bits))
         prints = _print32(keys)[order]
-    pack = lambda a: a[order].astype("<i8").tobytes()
     return pa.table({
         "bucket": pa.array([bucket], pa.int32()), "sizes": pa.array([sizes], pa.list_(pa.int32())),
         "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
-        "prints": pa.array([prints.tobytes()], pa.binary()), "parts": pa.array([pack(part)], pa.binary()),
-        "numbers": pa.array([pack(number)], pa.binary()), "copies": pa.array([pack(copies)], pa.binary())})
+        "prints": pa.array([prints.tobytes()], pa.binary()),
+        **{c: pa.array([t.column(c).to_numpy()[order].astype("<i8").tobytes()], pa.binary()) for c in PLACE}})
 
 
 def _with_bucket(keys: DataFrame, buckets: int) -> DataFrame:
@@ -140,25 +147,26 @@ def write_index(spark: SparkSession, root: str, keys_per_bucket: int = 4096) ->
     shards = spark.read.parquet(f"{root}/shards")
     n = shards.select(F.sum(F.size("keys"))).first()[0] or 0
     buckets = max(1, -(-n // keys_per_bucket))
-    docs = shards.select("part", "first", F.posexplode("keys").alias("i", "k"))
-    firsts = docs.groupBy("k").agg(F.min(F.struct("part", (F.col("first") + F.col("i")).alias("number"))).alias("at"),
-                                   F.count(F.lit(1)).alias("copies"))
-    firsts = _with_bucket(firsts.select("k", "at.part", "at.number", "copies"), buckets)
+    docs = shards.select("part", "first", F.posexplode(F.arrays_zip("keys", "ats", "lens")).alias("i", "d"))
+    place = F.struct("part", (F.col("first") + F.col("i")).alias("number"), F.col("d.ats").alias("at"),
+                     F.col("d.lens").alias("n_tokens"))
+    firsts = docs.groupBy(F.col("d.keys").alias("k")).agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("copies"))
+    firsts = _with_bucket(firsts.select("k", "p.*", "copies"), buckets)
     (firsts.groupBy("bucket").applyInArrow(_build_bucket, INDEX_SCHEMA)
      .write.option("compression", "zstd").parquet(f"{root}/index"))
     return buckets
 
 
-def find(spark: SparkSession, root: str, keys: DataFrame, buckets: int) -> DataFrame:
-    """Places of ``keys`` (one long column, each value once): key, part, number, copies.
+def find(spark: SparkSession, root: str, keys: DataFrame, buckets: int, only: list[int] | None = None) -> DataFrame:
+    """Places of ``keys`` (one long column, each value once): key, part, number, at, n_tokens, copies.
 
     Keys that the files don't hold give no row (but for one in 2**32 by the fingerprint).
+    ``only`` names the buckets to read, where they are known.
     """
     name = keys.columns[0]
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
-        none = pa.table({"k": pa.array([], pa.int64()), "part": pa.array([], pa.int32()),
-                         "number": pa.array([], pa.int64()), "copies": pa.array([], pa.int64())})
+        none = pa.table({c: pa.array([], pa.int64()) for c in ("k", *PLACE)})
         if not len(left) or not len(right):
             return none
         get = lambda c, kind: np.frombuffer(right.column(c)[0].as_py(), kind)
@@ -174,14 +182,14 @@ def find(spark: SparkSession, root: str, keys: DataFrame, buckets: int) -> DataF
             ok[ok] = get("prints", "<u4")[slot[ok]] == _print32(u[ok])
         slot = slot[ok]
         return pa.table({"k": k.filter(pa.array(ok)).combine_chunks().cast(pa.int64()),
-                         "part": pa.array(get("parts", "<i8")[slot].astype(np.int32)),
-                         "number": pa.array(get("numbers", "<i8")[slot]),
-                         "copies": pa.array(get("copies", "<i8")[slot])})
+                         **{c: pa.array(get(c, "<i8")[slot]) for c in PLACE}})
 
     asked = _with_bucket(keys.select(F.col(name).cast("long").alias("k")), buckets)
     index = spark.read.parquet(f"{root}/index")
+    if only is not None:
+        index = index.where(F.col("bucket").isin(only))
     return (asked.groupBy("bucket").cogroup(index.groupBy("bucket"))
-            .applyInArrow(look, "k long, part int, number long, copies long")
+            .applyInArrow(look, "k long, " + ", ".join(f"{c} long" for c in PLACE))
             .withColumnRenamed("k", name))
 
 
@@ -224,3 +232,40 @@ def read_documents(spark: SparkSession, root: str, keys: DataFrame, buckets: int
     at = find(spark, root, keys, buckets)
     at = at.select(name, "part", F.explode(F.sequence("number", F.col("number") + F.col("copies") - 1)).alias("number"))
     return at.join(scan(spark, root), ["part", "number"]).select(name, "start", "n_tokens", "ids_crc32")
+
+
+def lookup(spark: SparkSession, root: str, keys: list[int | None], buckets: int) -> DataFrame:
+    """Ids of the documents of a request's keys: key, copy (from 0), ids.
+
+    The index buckets of the keys are read, and of the shards the blocks that the found places
+    name. Places come to the driver, one per asked key; for keys by the million use
+    :func:`read_documents`. Null is a key; a key asked for twice counts once; absent keys give
+    no row. A key's documents follow one another, into the next blocks if need be.
+    """
+    asked = list(dict.fromkeys(keys))
+    known = np.array([k for k in asked if k is not None], np.int64)
+    only = np.unique(np.mod(spark_xxhash64(known), buckets)).tolist() + [-1] * (None in asked)
+    request = spark.createDataFrame([(k,) for k in asked], "k long")
+    places = [tuple(r) for r in find(spark, root, request, buckets, only).select("k", *PLACE).collect()]
+    named = [(F.col("part") == part) & (F.col("first") < number + copies) & (F.col("last") >= number)
+             for _, part, number, _, _, copies in places] or [F.lit(False)]
+    while len(named) > 1:  # a flat tree: a chain of many keys would be too deep for the planner
+        named = [a | b for a, b in zip(named[::2], named[1::2])] + named[len(named) & ~1:]
+
+    def cut(batches):
+        for b in batches:
+            for part, first, last, payload, lens, ats in zip(*(b.column(c) for c in b.schema.names)):
+                part, first, last = part.as_py(), first.as_py(), last.as_py()
+                raw = np.frombuffer(payload.as_buffer(), "<u4")
+                for k, p, number, at, n, copies in places:
+                    if p != part:
+                        continue
+                    for d in range(max(first, number), min(last, number + copies - 1) + 1):
+                        if d > number:
+                            at, n = ats[d - first].as_py(), lens[d - first].as_py()
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([k], pa.int64()), pa.array([d - number], pa.int64()),
+                            pa.array([raw[at:at + n].astype(np.int64)], pa.list_(pa.int64()))], names=["key", "copy", "ids"])
+
+    blocks = spark.read.parquet(f"{root}/shards").where(named[0])
+    return blocks.select("part", "first", "last", "payload", "lens", "ats").mapInArrow(cut, "key long, copy long, ids array<long>")

@@ -83,6 +83,35 @@ def test_token_files_round_trip(spark, make_docs, tmp_dir):
     assert token_files.find(spark, f"{tmp_dir}/t", absent, nb).count() == 0
 
 
+def scanned(df):
+    """Rows that the scan below an executed DataFrame gave."""
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_lookup_reads_the_blocks_it_names(spark, make_docs, tmp_dir):
+    rows = awkward() + [(1000 + i, f"word{i} " * 40) for i in range(400)] + [(5, "more of the same key " * 30)] * 8
+    docs, root = make_docs(rows), f"{tmp_dir}/lookup"
+    token_files.write_shards(docs, root, block_ids=200)
+    nb = token_files.write_index(spark, root, keys_per_bucket=30)
+    enc = tokens.encoder()
+    want = defaultdict(list)
+    for i, t in sorted(((i, t) for i, t, *_ in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, (x[1] or "").encode())):
+        want[i].append(enc.tokenizer.encode(t or "", add_special_tokens=False).ids + [0])
+    all_blocks = spark.read.parquet(f"{root}/shards").select("part", "first", "last", "keys").collect()
+    for keys in ([1234], [5], [None], [102, 1000, 1399, 1399, 77777], [77777], []):
+        out = token_files.lookup(spark, root, keys, nb)
+        got = defaultdict(list)
+        for r in sorted(out.collect(), key=lambda r: r.copy):
+            assert r.copy == len(got[r.key])
+            got[r.key].append(r.ids)
+        assert got == {k: want[k] for k in keys if k in want}
+        if got:
+            assert scanned(out) == sum(bool(set(b["keys"]) & set(got)) for b in all_blocks) < len(all_blocks) / 2
+    every = token_files.lookup(spark, root, list(want), nb).collect()
+    assert sorted(map(tuple, ((r.key or -1, r.copy, tuple(r.ids)) for r in every))) == sorted(
+        (k or -1, c, tuple(x)) for k, xs in want.items() for c, x in enumerate(xs))
+
+
 def test_token_files_of_no_documents(spark, make_docs, tmp_dir):
     docs = make_docs([])
     token_files.write_shards(docs, f"{tmp_dir}/t")
