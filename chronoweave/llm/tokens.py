@@ -14,7 +14,7 @@ import numpy as np
 
 _WIDE = re.compile(r" \s|\s ")
 #: ASCII white space: a text without other characters beside a space is cut at spaces.
-_ASCII_WIDE = tuple(f" {c}" for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f") + tuple(f"{c} " for c in "\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_ASCII_SPACES = "\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _CACHE: dict[tuple[str, int, bool], "TextEncoder"] = {}
 
 
@@ -94,15 +94,12 @@ class TextEncoder:
     def _whole(self, text: str) -> bool:
         """Whether a text has to be encoded as one string."""
         if text.isascii():
-            wide = any(w in text for w in _ASCII_WIDE)
+            wide = "  " in text or any(c in text and (f" {c}" in text or f"{c} " in text) for c in _ASCII_SPACES)
         else:
             wide = _WIDE.search(text) is not None
         return wide or text[-1:].isspace() or any(s in text for s in self.special)
 
     def _chunk(self, texts: list[str]) -> list[bytes] | list[int]:
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        cache = self.cache
         pieces: list[list[str] | None] = []
         met: set[str] = set()
         for t in texts:
@@ -110,6 +107,10 @@ class TextEncoder:
             pieces.append(p)
             if p:
                 met.update(p)
+        if len(self.cache) > self.limit:
+            # the words that this chunk has too are those that come again
+            self.cache = {w: self.cache[w] for w in met if w in self.cache}
+        cache = self.cache
         # the first piece has no space before it: those are encoded apart, below
         words = [w for w in met.difference(cache) if w and not w[0].isspace() and not w[-1].isspace()]
         for i in range(0, len(words), 20_000):
