@@ -30,6 +30,15 @@ def _parts(fs, Path, d: str) -> list[str]:
                   if s.getPath().getName().startswith("part-"))
 
 
+def _move(fs, Path, src: str, dst: str) -> None:
+    """``src`` becomes ``dst``, in place of a file of an earlier run; raises where it can't."""
+    fs.mkdirs(Path(dst).getParent())
+    if fs.exists(Path(dst)):
+        fs.delete(Path(dst), False)
+    if not fs.rename(Path(src), Path(dst)):
+        raise OSError(f"could not move {src} to {dst}")
+
+
 def _write_text(fs, Path, p: str, text: str) -> None:
     out = fs.create(Path(p), True)
     out.write(bytearray(text.encode("utf-8")))
@@ -39,8 +48,10 @@ def _write_text(fs, Path, p: str, text: str) -> None:
 def write_lerobot(spark: SparkSession, silver: DataFrame, streams: DataFrame, meta: DataFrame,
                   root: str, layout: str = "v3", files: int | None = None) -> dict:
     """Write a LeRobot dataset for every session of ``silver`` (one session =
-    one episode). Returns the info record. ``files`` (v3) sets the number of
-    data files; by default Spark's partitioning decides."""
+    one episode). Returns the info record. v3 files hold consecutive frames by
+    their global ``index``; ``files`` sets how many (by default Spark's
+    shuffle partitions). v2 files hold one whole episode each and keep its
+    ``episode_index``; an episode in several parts raises, nothing is dropped."""
     if layout not in LEROBOT_DATA_PATH:
         raise ValueError(f"lerobot layout must be 'v2' or 'v3' (got {layout!r})")
     fs, Path = _fs(spark, root)
@@ -48,26 +59,28 @@ def write_lerobot(spark: SparkSession, silver: DataFrame, streams: DataFrame, me
     frames = ex.lerobot_frames(silver, streams).drop("session_id")
     template = LEROBOT_DATA_PATH[layout]
     if layout == "v3":
-        df = frames.repartition(files) if files else frames
-        df.sortWithinPartitions("episode_index", "frame_index").write.mode("overwrite") \
-          .option("compression", "zstd").parquet(tmp)
+        df = frames.repartitionByRange(files, "index") if files else frames.repartitionByRange("index")
+        df.sortWithinPartitions("index").write.mode("overwrite").option("compression", "zstd").parquet(tmp)
         for i, src in enumerate(_parts(fs, Path, tmp)):
             dst = f"{root}/" + template.format(chunk_index=i // CHUNKS_SIZE, file_index=i % CHUNKS_SIZE)
-            fs.mkdirs(Path(dst).getParent())
-            fs.rename(Path(src), Path(dst))
+            _move(fs, Path, src, dst)
     else:
-        # v2 is one file per episode by definition: one writer per episode
-        (frames.repartition("episode_index").sortWithinPartitions("frame_index")
-         .write.mode("overwrite").option("compression", "zstd").partitionBy("episode_index").parquet(tmp))
+        # v2 is one file per episode by definition: one writer per episode, of unlimited length;
+        # the partition column is a copy, so that the files keep theirs
+        (frames.withColumn("_episode", F.col("episode_index"))
+         .repartition("_episode").sortWithinPartitions("_episode", "frame_index")
+         .write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", 0)
+         .partitionBy("_episode").parquet(tmp))
         for st in fs.listStatus(Path(tmp)):
             name = st.getPath().getName()
-            if not name.startswith("episode_index="):
+            if not name.startswith("_episode="):
                 continue
             e = int(name.split("=", 1)[1])
             parts = _parts(fs, Path, st.getPath().toString())
+            if len(parts) != 1:
+                raise ValueError(f"episode {e} was written in {len(parts)} parts; a v2 file holds a whole episode")
             dst = f"{root}/" + template.format(chunk_index=e // CHUNKS_SIZE, episode_index=e)
-            fs.mkdirs(Path(dst).getParent())
-            fs.rename(Path(parts[0]), Path(dst))
+            _move(fs, Path, parts[0], dst)
     fs.delete(Path(tmp), True)
 
     # meta/episodes.jsonl and meta/tasks.jsonl: one small record per episode
@@ -79,7 +92,7 @@ def write_lerobot(spark: SparkSession, silver: DataFrame, streams: DataFrame, me
                                           F.col("session_id").alias("task")))):
         etmp = f"{root}/_staging_{name}"
         df.orderBy(df.columns[0]).coalesce(1).write.mode("overwrite").json(etmp)
-        fs.rename(Path(_parts(fs, Path, etmp)[0]), Path(f"{root}/meta/{name}.jsonl"))
+        _move(fs, Path, _parts(fs, Path, etmp)[0], f"{root}/meta/{name}.jsonl")
         fs.delete(Path(etmp), True)
 
     info = ex.lerobot_info(silver, meta, layout).collect()[0].asDict()

@@ -226,6 +226,22 @@ def test_lerobot_directory_layouts(spark, tmp_dir):
     names = sorted(os.path.basename(p) for p in glob.glob(f"{r2}/data/chunk-000/*.parquet"))
     assert names[0] == "episode_000000.parquet" and len(names) == 30
     assert not os.path.exists(f"{r2}/_staging")
+    # v3: consecutive frames; v2: whole episodes with their column, also where the session limits file length
+    v3 = [pq.read_table(p).column("index").to_pylist() for p in sorted(glob.glob(f"{r3}/data/chunk-000/*.parquet"))]
+    assert sum(v3, []) == list(range(total)) and all(v3)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 3)
+    try:
+        write_lerobot(spark, s, inp["streams"], inp["session_meta"], r2, "v2")  # a second run replaces the files
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    index = []
+    for e, name in enumerate(names):
+        t = pq.read_table(f"{r2}/data/chunk-000/{name}")
+        assert set(t.column("episode_index").to_pylist()) == {e} and "_episode" not in t.column_names
+        assert t.column("frame_index").to_pylist() == sorted(t.column("frame_index").to_pylist())
+        assert t.num_rows == eps[e]["length"] > 3
+        index += t.column("index").to_pylist()
+    assert index == list(range(total))
 
 
 def test_uri_and_source_assertions(spark):
