@@ -11,7 +11,7 @@ about ``target_rows`` rows each (:mod:`.depth`) and what crosses them is carried
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_unit
@@ -42,6 +42,20 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], *, t: str, cel
             .drop("_b", "_off", "_t", "_o"))
 
 
+# What follows a row is what precedes it in the reverse order. Spark keeps a running value over a
+# frame that begins where the partition does; one that ends there is read again for every row.
+def _upto(part: WindowSpec, *order: str) -> WindowSpec:
+    return part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _upto_back(part: WindowSpec, *order: str) -> WindowSpec:
+    return part.orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _before(ordered: WindowSpec) -> WindowSpec:
+    return ordered.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _edges(cells_or_rows: DataFrame, keys: list[str], r: str = "_r") -> DataFrame:
     return cells_or_rows.groupBy(*keys, "_c").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min(r).alias("_first"), F.max(r).alias("_last"))
@@ -73,10 +87,10 @@ def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t
     w = DepthWindows(cells, both, keys, cell=cell_us, target=target_rows)
     per = w.summaries(w.cells.select(*keys, "_c", "_first", "_last"), r, [F.min("_r").alias("_first"), F.max("_r").alias("_last")],
                       [F.min("_first").alias("_first"), F.max("_last").alias("_last")], "_t", "_r")
-    wk = Window.partitionBy(*keys).orderBy("_b")
+    wk = Window.partitionBy(*keys)
     hdr = w.all_windows().join(per, [*keys, "_b"], "left").select(
-        *keys, "_b", F.last("_last", True).over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
-        F.first("_first", True).over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"))
+        *keys, "_b", F.last("_last", True).over(_before(wk.orderBy("_b"))).alias("_cin"),
+        F.last("_first", True).over(_before(wk.orderBy(F.desc("_b")))).alias("_cout"))
     ltype = F.struct(*[F.col(c) for c in lcols])
     lrows = w.assign(lf, "_t").select(
         *keys, "_b", "_t", F.lit(1).alias("_side"), ltype.alias("_l"), F.lit(None).cast(rtype).alias("_r"),
@@ -90,13 +104,11 @@ def asof_neighbors(left: DataFrame, right: DataFrame, keys: list[str], *, left_t
                        "_cin", "_cout")
     u = lrows.unionByName(rrows).unionByName(hrows)
     part = Window.partitionBy(*keys, "_b")
-    ordered = part.orderBy("_t", "_side", "_r")
+    upto, back = _upto(part, "_t", "_side", "_r"), _upto_back(part, "_t", "_side", "_r")
     out = u.select(
         "_side", "_l",
-        F.coalesce(F.last("_r", True).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-                   F.max("_cin").over(part)).alias(prev),
-        F.coalesce(F.first("_r", True).over(ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
-                   F.max("_cout").over(part)).alias(nxt),
+        F.coalesce(F.last("_r", True).over(upto), F.max("_cin").over(part)).alias(prev),
+        F.coalesce(F.last("_r", True).over(back), F.max("_cout").over(part)).alias(nxt),
     ).where("_side = 1")
     timed = F.col("_l")[left_t].isNotNull()
     return out.select(*[F.col("_l")[c].alias(c) for c in lcols], F.when(timed, F.col(prev)).alias(prev), F.when(timed, F.col(nxt)).alias(nxt))
@@ -179,13 +191,13 @@ def align_samples(samples: DataFrame, bounds: DataFrame | None, streams: DataFra
          F.max(F.when(syn, F.col("t_us"))).alias("_slast")],
         [F.sum("_cnt").alias("_cnt"), F.min("_first").alias("_first"), F.max("_last").alias("_last"),
          F.min("_sfirst").alias("_sfirst"), F.max("_slast").alias("_slast")], "t_us", "_o")
-    wk = Window.partitionBy(*keys).orderBy("_b")
-    before, later = wk.rowsBetween(Window.unboundedPreceding, -1), wk.rowsBetween(1, Window.unboundedFollowing)
+    wk = Window.partitionBy(*keys)
+    before, later = _before(wk.orderBy("_b")), _before(wk.orderBy(F.desc("_b")))
     hdr = windows.all_windows().join(per, [*keys, "_b"], "left").select(
         *keys, "_b", F.coalesce("_cnt", F.lit(0)).alias("_hcnt"),
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_hoff"),
-        F.last("_last", True).over(before).alias("_cin"), F.first("_first", True).over(later).alias("_cout"),
-        F.last("_slast", True).over(before).alias("_scin"), F.first("_sfirst", True).over(later).alias("_scout"))
+        F.last("_last", True).over(before).alias("_cin"), F.last("_first", True).over(later).alias("_cout"),
+        F.last("_slast", True).over(before).alias("_scin"), F.last("_sfirst", True).over(later).alias("_scout"))
     s = windows.assign(s, "t_us", "_o")
     left = windows.assign(grid.join(st, "session_id"), "t_ref_us")
 
@@ -204,17 +216,15 @@ def align_samples(samples: DataFrame, bounds: DataFrame | None, streams: DataFra
          .unionByName(rows(left.withColumnRenamed("t_ref_us", "_t"), 1, {"_t", "frame_index", "kernel"}))
          .unionByName(rows(hdr, -1, {"_hcnt", "_hoff", "_cin", "_cout", "_scin", "_scout"})))
     part = Window.partitionBy(*keys, "_b")
-    w = part.orderBy("_t", "_side", "_kind", "_o")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    upto, back = _upto(part, "_t", "_side", "_kind", "_o"), _upto_back(part, "_t", "_side", "_kind", "_o")
     smp, syn = (F.col("_side") == 0) & smp, (F.col("_side") == 0) & syn
     out = u.select(
         *keys, "_side", "_kind", "_t", "value", "frame_index", "kernel",
         F.sum(smp.cast("long")).over(upto).alias("_k"),
         F.last(F.when(smp, F.col("_t")), True).over(upto).alias("_pt"),
-        F.first(F.when(smp, F.col("_t")), True).over(after).alias("_nt"),
+        F.last(F.when(smp, F.col("_t")), True).over(back).alias("_nt"),
         F.last(F.when(syn, F.col("_t")), True).over(upto).alias("_spt"),
-        F.first(F.when(syn, F.col("_t")), True).over(after).alias("_snt"),
+        F.last(F.when(syn, F.col("_t")), True).over(back).alias("_snt"),
         F.max("_hoff").over(part).alias("_off"), F.max("_hcnt").over(part).alias("_cnt"),
         F.max("_cin").over(part).alias("_ci"), F.max("_cout").over(part).alias("_co"),
         F.max("_scin").over(part).alias("_sci"), F.max("_scout").over(part).alias("_sco"))

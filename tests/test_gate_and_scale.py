@@ -194,3 +194,27 @@ def test_small_windows_match_default(spark):
     a = dt.event_inputs(spark, SF)["alignment"].select(*cols).collect()
     b = dt.event_inputs(spark, SF, target_rows=50)["alignment"].select(*cols).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_windows_are_read_once(spark):
+    """No frame runs from a row to the end of its window: Spark reads such a frame again for every row."""
+    inp = dt.event_inputs(spark, SF)
+    samples = inp["payload"].select("session_id", "t_us", "row")
+    nb = asof_neighbors(inp["grid"], samples, ["session_id"], left_t="t_ref_us", right_t="t_us", right_cols=["row"])
+    for df in (inp["alignment"], inp["payload"], nb):
+        plan = df._jdf.queryExecution().executedPlan().toString().lower()
+        assert "unboundedpreceding$(), currentrow$()" in plan
+        assert "currentrow$(), unboundedfollowing$()" not in plan and "1, unboundedfollowing$()" not in plan
+
+
+def test_asof_of_a_deep_window(spark):
+    """200,000 samples in one window: minutes where every row reads the rest of its window."""
+    import time
+    n = 200_000
+    right = spark.range(n).select(F.lit("k").alias("key"), "id", (F.col("id") * 10).alias("t"))
+    left = spark.range(0, n, 100).select(F.lit("k").alias("key"), (F.col("id") * 10 + 3).alias("at"))
+    begun = time.time()
+    nb = asof_neighbors(left, right, ["key"], left_t="at", right_t="t", right_cols=["id"], cell_us=10**9, target_rows=1 << 18)
+    bad = nb.where("prev.id <> floor(at / 10) OR coalesce(next.id, -1) <> CASE WHEN floor(at / 10) + 1 < 200000 THEN floor(at / 10) + 1 ELSE -1 END")
+    assert bad.count() == 0 and nb.count() == n // 100
+    assert time.time() - begun < 60
