@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import shape_width
 from ..schemas import STREAM_KEYS
-from .grid import grid_deltas, infer_grid_rate
+from .grid import delta_bounds, infer_grid_rate
 
 KEYS = STREAM_KEYS
 CHECK_ORDER = ("grid_frame_index_aligned", "stream_shapes_consistent", "schema_version_present",
@@ -68,9 +68,7 @@ def schema_checks(silver: DataFrame, grid: DataFrame, streams: DataFrame,
 def timeline_checks(silver: DataFrame, grid: DataFrame, meta: DataFrame) -> DataFrame:
     """Q4 monotonic (Δt in frame order > 0), Q5 bounded step
     (min Δt ≥ 1 and max Δt ≤ 2·min Δt), Q6 no fabricated gaps."""
-    d = grid_deltas(grid).groupBy("session_id").agg(
-        F.bool_and(F.col("dt_us") > 0).alias("_mono"),
-        F.min("dt_us").alias("_dmin"), F.max("dt_us").alias("_dmax"))
+    d = delta_bounds(grid)
     gaps = (silver.where("not valid").groupBy("session_id")
             .agg(F.bool_and(F.forall("value", lambda x: F.isnan(x))).alias("_nofab")))
     return (meta.select("session_id").join(d, "session_id", "left").join(gaps, "session_id", "left")
@@ -142,9 +140,7 @@ def session_quality(silver: DataFrame, grid: DataFrame, streams: DataFrame,
         F.count(F.lit(1)).alias("n_grid"), F.count("frame_index").alias("_nf"),
         F.countDistinct("frame_index").alias("_nd"),
         F.min("frame_index").alias("_fmin"), F.max("frame_index").alias("_fmax"))
-    d = grid_deltas(grid).groupBy("session_id").agg(
-        F.bool_and(F.col("dt_us") > 0).alias("_mono"),
-        F.min("dt_us").alias("_dmin"), F.max("dt_us").alias("_dmax"))
+    d = delta_bounds(grid)
     per = (st.select(*KEYS).join(per, KEYS, "left").join(g.select("session_id", "n_grid"), "session_id", "left"))
     n = F.coalesce("n_grid", F.lit(0))
     ses = per.groupBy("session_id").agg(

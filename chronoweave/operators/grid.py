@@ -67,6 +67,20 @@ def grid_deltas(grid: DataFrame) -> DataFrame:
                         (F.col("t_ref_us") - F.col("_tp")).alias("dt_us")))
 
 
+def delta_bounds(grid: DataFrame) -> DataFrame:
+    """(session_id, _mono, _dmin, _dmax) over the steps of :func:`grid_deltas`; no row without one.
+
+    A step between repeated frames is one of each pair of their rows. Its least and greatest follow
+    from the ends of each frame's times, so a frame of n rows is n rows here and never n² pairs.
+    """
+    per = grid.groupBy("session_id", "frame_index").agg(F.min("t_ref_us").alias("_lo"), F.max("t_ref_us").alias("_hi"))
+    prev = per.select("session_id", (F.col("frame_index") + 1).alias("frame_index"),
+                      F.col("_lo").alias("_plo"), F.col("_hi").alias("_phi"))
+    d = per.join(prev, ["session_id", "frame_index"]).groupBy("session_id").agg(
+        F.min(F.col("_lo") - F.col("_phi")).alias("_dmin"), F.max(F.col("_hi") - F.col("_plo")).alias("_dmax"))
+    return d.select("session_id", (F.col("_dmin") > 0).alias("_mono"), "_dmin", "_dmax")
+
+
 def infer_grid_rate(grid: DataFrame) -> DataFrame:
     """rate = 1e6 / median(Δt); fewer than two points or Δt ≤ 0 → 0.0.
 

@@ -218,3 +218,24 @@ def test_asof_of_a_deep_window(spark):
     bad = nb.where("prev.id <> floor(at / 10) OR coalesce(next.id, -1) <> CASE WHEN floor(at / 10) + 1 < 200000 THEN floor(at / 10) + 1 ELSE -1 END")
     assert bad.count() == 0 and nb.count() == n // 100
     assert time.time() - begun < 60
+
+
+def test_steps_of_repeated_frames_make_no_pairs(spark):
+    """Steps' bounds equal those over all pairs of rows; no join makes more rows than there are frames."""
+    import random
+    from chronoweave.operators.grid import delta_bounds, grid_deltas
+    rnd = random.Random(4)
+    rows = [(s, rnd.randrange(6), rnd.choice([None, *range(40)])) for s in ("a", "b", "c", "") for _ in range(25)]
+    rows += [("gap", 0, 5), ("gap", 2, 9), ("null", 0, None), ("null", 1, 3), (None, 0, 1), (None, 1, 2), ("x", None, 4)]
+    g = spark.createDataFrame(rows, "session_id string, frame_index long, t_ref_us long")
+    want = grid_deltas(g).groupBy("session_id").agg(F.bool_and(F.col("dt_us") > 0), F.min("dt_us"), F.max("dt_us"))
+    assert sorted(map(tuple, delta_bounds(g).collect())) == sorted(map(tuple, want.collect()))
+    from chronoweave.operators import checks as ck
+    n = 60_000                                # 1.8e9 pairs
+    big = spark.range(n).select(F.lit("").alias("session_id"), (F.col("id") % 2).alias("frame_index"), F.col("id").alias("t_ref_us"))
+    meta = spark.createDataFrame([("",)], "session_id string")
+    silver = spark.createDataFrame([], "session_id string, valid boolean, value array<float>")
+    r = ck.timeline_checks(silver, big, meta).collect()[0]
+    assert not r.grid_monotonic and not r.bounded_step
+    plan = ck.timeline_checks(silver, big, meta)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min(t_ref_us") >= 2    # both sides of the join are frames, not rows
