@@ -17,6 +17,7 @@ from . import sql_events as q
 from .catalog import _ev, register
 from .catalog_lineage import _DIFF_SQL, _DSID, _SUMMARY_CTES, _versions
 
+FILES_A_TASK = 500  # a file costs a task its creation and its move
 DIFF_CHUNK = 16  # frames a leaf, so that the test tables have trees of more than one layer
 
 
@@ -70,7 +71,11 @@ def row_file_hashes_q(spark, sf):
     """Every supplier's name written as a file of its own, and the files' digests."""
     root = _scratch(spark, "supplier-files")
     s = dt.read(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("value"))
-    s.repartition("s_suppkey").write.partitionBy("s_suppkey").text(root)
+    # a given number of tasks, as the rows are too small for their bytes to tell; a task moves its own
+    # files into place, the folder being read only if all have
+    tasks = max(spark.sparkContext.defaultParallelism, -(-s.count() // FILES_A_TASK))
+    (s.repartition(tasks, "s_suppkey").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("s_suppkey").text(root))
     h = pv.file_hashes(spark, root)
     return h.select(F.regexp_extract("path", r"s_suppkey=(-?\d+)/", 1).cast("long").alias("s_suppkey"), "length", "sha256")
 

@@ -197,3 +197,14 @@ def test_changed_frames_between_versions(spark):
     assert sum(r.end_frame - r.first_frame for r in ranges) == 10 * len(want)
     assert vd.changed_chunks(la, la).count() == 0
     assert {r.status for r in vd.changed_chunks(la.limit(0), lb).collect()} == {"added"}
+
+
+def test_row_files_are_written_by_many_tasks(spark, monkeypatch):
+    """A file costs a task its creation and its move: few small rows are not all given to one task."""
+    from chronoweave.operators import provenance as pv
+    from chronoweave.plans.catalog import QUERIES
+    roots, real = [], pv.file_hashes
+    monkeypatch.setattr(pv, "file_hashes", lambda spark, root: roots.append(root) or real(spark, root))
+    n = QUERIES["row_file_hashes"](spark, "/root/testdata/sf0.01").count()
+    parts = {r.path.rsplit("/", 1)[1].split("-")[1] for r in real(spark, roots[0]).collect()}
+    assert n == 100 and len(parts) > 1
