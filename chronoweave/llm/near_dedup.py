@@ -153,6 +153,16 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def fewer_edges(edges: DataFrame) -> DataFrame:
+    """Edges (``a``, ``b``) of a graph with the components of ``edges``: each ``b`` keeps one to the
+    least of its neighbours ``a`` and itself, and that one has edges to the others. A large group's
+    members share their neighbours, so those edges are the same for all, and about one a member is left."""
+    of = edges.groupBy("b").agg(F.collect_set("a").alias("all"))
+    low = F.least(F.array_min("all"), F.col("b"))
+    return (of.select(low.alias("a"), F.explode(F.array_append("all", F.col("b"))).alias("b"))
+            .where("a <> b").distinct())
+
+
 class _Sets:
     """Sorted shingle hashes of some texts with their weights, and the links among them, by prefix
     filtering."""
@@ -246,8 +256,8 @@ def near_classes(docs: DataFrame, *, least: float = 0.8, width: int = 5, bands:
     band = (sig.join(reps, "v").where("k = rep").select("v", "bands").dropDuplicates(["v"])
             .select("v", F.posexplode("bands").alias("band", "code")))
     head = band.groupBy("band", "code").agg(F.min("v").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = band.join(head, ["band", "code"]).where("v <> a").select("a", F.col("v").alias("b")).distinct()
-    coarse = components(edges)
+    edges = band.join(head, ["band", "code"]).where("v <> a").select("a", F.col("v").alias("b"))
+    coarse = components(fewer_edges(edges))
     of_text = coarse.join(reps, "v")
     load = of_text.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
     whole = (F.col("n") <= docs_per_task) & (F.col("bytes") <= bytes_per_task)

@@ -334,3 +334,18 @@ def test_line_dedup_against_sql(spark):
     for name in ORACLE:
         ok, msg = compare(QUERIES[name](spark, SF_SMALL), duck(SF_SMALL), ORACLE[name])
         assert ok, (name, msg)
+
+
+def test_a_large_group_has_few_edges(spark):
+    """Members that meet in 32 bands keep about one edge each; the components stay the same."""
+    import random
+    from chronoweave.llm.near_dedup import components, fewer_edges
+    rnd = random.Random(8)
+    heads = list(range(-40, 0))
+    rows = [(rnd.choice(heads), v) for v in range(1500) for _ in range(32)]          # one large group
+    rows += [(10_000 + rnd.randrange(300), 10_000 + rnd.randrange(300)) for _ in range(160)]   # many small ones
+    edges = spark.createDataFrame([r for r in rows if r[0] != r[1]], "a long, b long")
+    few = fewer_edges(edges)
+    assert edges.distinct().count() > 20_000 and few.where("a < 0").count() < 2 * (1500 + 40 * 40 / 2)
+    assert few.where("b >= 0 AND b < 10000").count() == 1500
+    assert {(r.v, r.c) for r in components(few).collect()} == {(r.v, r.c) for r in components(edges).collect()}
