@@ -2,19 +2,27 @@
 
 A text is encoded piece by piece where that is exact: at a single space between two
 non-space characters the tokenizer's own split pattern always starts a new piece, so the ids
-of ``" word"`` do not depend on what stands before it, and can be remembered. Texts with
+of ``" word"`` do not depend on what stands before it, and can be remembered. A new word of
+printable ASCII is cut by that pattern, and its pieces are remembered, too. Texts with
 other white space around a space, or holding a special token's string, are encoded as one
 string. Either way the ids are those of ``encode(text, add_special_tokens=False)``.
 """
 from __future__ import annotations
 
+import json
 import re
+import sys
+from array import array
 
 import numpy as np
 
 _WIDE = re.compile(r" \s|\s ")
 #: ASCII white space: a text without other characters beside a space is cut at spaces.
 _ASCII_SPACES = "\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
+#: Words of printable ASCII characters, with single line feeds inside.
+_PRINTABLE = re.compile(r"[!-~]+(?:\n[!-~]+)*").fullmatch
+#: The byte-level split pattern as it reads on such words.
+_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\n").findall
 _CACHE: dict[tuple[str, int, bool], "TextEncoder"] = {}
 
 
@@ -32,6 +40,20 @@ def encoder(path: str | None = None, cache_words: int = 300_000, count: bool = F
     return _CACHE[key]
 
 
+class _Pieces(dict):
+    """Ids (or their number) of what the split pattern leaves whole, by the tokenizer's model."""
+
+    def __init__(self, model, count: bool):
+        super().__init__()
+        self.tokenize, self.count = model.tokenize, count
+
+    def __missing__(self, piece: str) -> bytes | int:
+        # space and line feed as the byte alphabet writes them; the others stand for themselves
+        found = self.tokenize(piece.replace(" ", "\u0120").replace("\n", "\u010a"))
+        x = self[piece] = len(found) if self.count else array("I", [t.id for t in found]).tobytes()
+        return x
+
+
 class TextEncoder:
     """Ids of texts, or only their number (``count``), with the words met so far remembered: at most
     ``cache_words`` and what one chunk of texts adds."""
@@ -51,9 +73,17 @@ class TextEncoder:
         self.cache: dict[str, bytes | int] = {}
         self.limit, self.count = cache_words, count
         self._sum = sum if count else b"".join
+        # words are cut further where the tokenizer splits by the byte-level pattern and nothing else
+        split = json.loads(self.tokenizer.to_str())
+        known = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        plain = split["normalizer"] is None and split["model"]["type"] == "BPE" and not split["model"].get("dropout")
+        cuts = plain and known.items() <= (split["pre_tokenizer"] or {}).items() and array("I").itemsize == 4 and sys.byteorder == "little"
+        self.pieces = _Pieces(self.tokenizer.model, count) if cuts else None
 
     def forget(self) -> None:
         self.cache.clear()
+        if self.pieces is not None:
+            self.pieces.clear()
 
     def _plain(self, text: str) -> bytes | int:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -113,6 +143,17 @@ class TextEncoder:
         cache = self.cache
         # the first piece has no space before it: those are encoded apart, below
         words = [w for w in met.difference(cache) if w and not w[0].isspace() and not w[-1].isspace()]
+        if self.pieces is not None:
+            if len(self.pieces) > self.limit:
+                self.pieces.clear()
+            look, total = self.pieces.__getitem__, self._sum
+            rest = []
+            for w in words:
+                if _PRINTABLE(w):
+                    cache[w] = total(map(look, _SPLIT(" " + w)))
+                else:
+                    rest.append(w)
+            words = rest
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
             cache.update(zip(part, self._joined(part, " ")))

@@ -66,6 +66,24 @@ def test_encoder_is_the_tokenizer():
         assert list(zip(a.tolist(), b.tolist())) == want.offsets
 
 
+def test_new_words_are_cut_into_pieces():
+    """Words of printable ASCII go to the model in the pieces of the tokenizer's split
+    pattern, which come again more often than words; the ids stay the tokenizer's."""
+    import random
+    rnd = random.Random(3)
+    some = ["'s", "'t", "'re", "'ll", "'", "s", "ab", "Z9", "12", "--", ",", "\n", "\n\n", "\u00e9", "\u00ff", "\u00d7", "\u00df", "\u00aa",
+            "\u00b5", "\u00a0", "\u00ad", "\u00bd", "\u4e2d", "\t", "_", "\x1c", "\x0b", "\x7f", "~"]
+    texts = [" ".join("".join(rnd.choice(some) for _ in range(rnd.randrange(6))) for _ in range(rnd.randrange(1, 12))) for _ in range(3000)]
+    texts += [" ".join(f"{a}{b}{c}" for a in ("x", "y", "z") for b in (",", ".") for c in range(40))] * 2
+    enc, num = tokens.TextEncoder(tokens.default_path(), 500), tokens.TextEncoder(tokens.default_path(), 500, True)
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_many(texts)] == want
+    assert num.encode_many(texts) == [len(x) for x in want]
+    enc.forget()
+    enc.encode_many(texts[-1:])
+    assert len(enc.cache) == 240 and len(enc.pieces) == 3 + 2 + 40
+
+
 def test_token_files_round_trip(spark, make_docs, tmp_dir):
     rows = awkward()
     docs = make_docs(rows)
