@@ -52,7 +52,9 @@ def episodes(silver: DataFrame) -> DataFrame:
     """One episode per session: ``episode_index`` = rank of the session id,
     ``length`` = frames, ``index_offset`` = frames of the earlier episodes.
     Prefix sums over the per-session aggregate, in ranges of session ids."""
-    per = silver.groupBy("session_id").agg(F.countDistinct("frame_index").cast("long").alias("length"), F.lit(1).alias("_one"))
+    # a column of its own: Silver's would stand on both sides of a join with Silver's frames
+    per = silver.groupBy(F.col("session_id").alias("session_id")).agg(
+        F.countDistinct("frame_index").cast("long").alias("length"), F.lit(1).alias("_one"))
     # a row per session, which the sums read three times
     out = sums_before(written(per), ["session_id"], {"episode_index": "_one", "index_offset": "length"})
     return out.select("session_id", "episode_index", "length", "index_offset")
