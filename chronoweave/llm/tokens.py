@@ -1,28 +1,46 @@
 """Whole-text encoding with a public byte-level tokenizer.
 
-A text is encoded piece by piece where that is exact: at a single space between two
-non-space characters the tokenizer's own split pattern always starts a new piece, so the ids
-of ``" word"`` do not depend on what stands before it, and can be remembered. A new word of
-printable ASCII is cut by that pattern, and its pieces are remembered, too. Texts with
-other white space around a space, or holding a special token's string, are encoded as one
-string. Either way the ids are those of ``encode(text, add_special_tokens=False)``.
+A text is encoded piece by piece where that is exact. Texts of common alphabets are cut by the
+tokenizer's own split pattern, whose pieces its model encodes one by one, and the ids of a piece
+are remembered. In others that pattern always starts a new piece at a single space between two
+non-space characters, so the ids of ``" word"`` do not depend on what stands before it, and are
+remembered. Texts with other white space around a space there, or holding a special token's
+string, are encoded as one string. Either way the ids are those of
+``encode(text, add_special_tokens=False)``.
 """
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import sys
+import unicodedata
 from array import array
+from itertools import islice
 
 import numpy as np
 
 _WIDE = re.compile(r" \s|\s ")
 #: ASCII white space: a text without other characters beside a space is cut at spaces.
 _ASCII_SPACES = "\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
-#: Words of printable ASCII characters, with single line feeds inside.
-_PRINTABLE = re.compile(r"[!-~]+(?:\n[!-~]+)*").fullmatch
-#: The byte-level split pattern as it reads on such words.
-_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\n").findall
+#: Characters whose class every Unicode version gives alike: Latin, Greek, Cyrillic, punctuation.
+_KNOWN = [chr(c) for c in (*range(0x530), *range(0x2010, 0x2028), 0x20ac) if unicodedata.category(chr(c)) != "Cn"]
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0"
+
+
+def _class(kind: str) -> str:
+    return "".join(re.escape(c) for c in _KNOWN if unicodedata.category(c)[0] == kind)
+
+
+_LETTERS, _NUMBERS = _class("L"), _class("N")
+_PLAIN = re.compile(f"[{''.join(map(re.escape, _KNOWN))}]*").fullmatch
+#: The byte-level split pattern as it reads on such texts; what can't begin alike may change places.
+_SPLIT = re.compile(f" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_WHITE}{_LETTERS}{_NUMBERS}]+| ?[{_NUMBERS}]+"
+                    f"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+").findall
+#: The byte alphabet: printable bytes stand for themselves, the others for what follows U+00FF.
+_SELF = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+_ALPHABET = "".join(chr(b if b in _SELF else 0x100 + sum(x not in _SELF for x in range(b))) for b in range(0x100))
+_LONG = 64  # characters of the longest piece that is remembered
 _CACHE: dict[tuple[str, int, bool], "TextEncoder"] = {}
 
 
@@ -48,11 +66,17 @@ class _Pieces(dict):
         self.tokenize, self.count = model.tokenize, count
 
     def __missing__(self, piece: str) -> bytes | int:
-        # space and line feed as the byte alphabet writes them; the others stand for themselves
-        found = self.tokenize(piece.replace(" ", "\u0120").replace("\n", "\u010a"))
-        x = self[piece] = len(found) if self.count else array("I", [t.id for t in found]).tobytes()
+        found = self.tokenize(codecs.charmap_decode(piece.encode(), "strict", _ALPHABET)[0])
+        x = len(found) if self.count else array("I", [t.id for t in found]).tobytes()
+        if len(piece) <= _LONG:
+            self[piece] = x
         return x
 
+    def shorten(self, n: int) -> None:
+        first = list(islice(self.items(), n))
+        self.clear()
+        self.update(first)
+
 
 class TextEncoder:
     """Ids of texts, or only their number (``count``), with the words met so far remembered: at most
@@ -130,6 +154,26 @@ class TextEncoder:
         return wide or text[-1:].isspace() or any(s in text for s in self.special)
 
     def _chunk(self, texts: list[str]) -> list[bytes] | list[int]:
+        if self.pieces is None:
+            return self._by_words(texts)
+        if len(self.pieces) > self.limit:
+            self.pieces.shorten(self.limit // 2)
+        look, total = self.pieces.__getitem__, self._sum
+        out: list = []
+        for t in texts:
+            x = None
+            if _PLAIN(t) and not any(s in t for s in self.special):
+                found = _SPLIT(t)
+                # words of many pieces take fewer look-ups as words
+                if len(found) <= 2 * (t.count(" ") + 1):
+                    x = total(map(look, found))
+            out.append(x)
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._by_words([texts[i] for i in rest])):
+            out[i] = x
+        return out
+
+    def _by_words(self, texts: list[str]) -> list[bytes] | list[int]:
         pieces: list[list[str] | None] = []
         met: set[str] = set()
         for t in texts:
@@ -144,12 +188,10 @@ class TextEncoder:
         # the first piece has no space before it: those are encoded apart, below
         words = [w for w in met.difference(cache) if w and not w[0].isspace() and not w[-1].isspace()]
         if self.pieces is not None:
-            if len(self.pieces) > self.limit:
-                self.pieces.clear()
             look, total = self.pieces.__getitem__, self._sum
             rest = []
             for w in words:
-                if _PRINTABLE(w):
+                if _PLAIN(w):
                     cache[w] = total(map(look, _SPLIT(" " + w)))
                 else:
                     rest.append(w)

@@ -84,6 +84,26 @@ def test_new_words_are_cut_into_pieces():
     assert len(enc.cache) == 240 and len(enc.pieces) == 3 + 2 + 40
 
 
+def test_texts_of_common_alphabets_are_cut_whole():
+    """Latin, Greek and Cyrillic texts with any white space are cut by the split pattern and keep no
+    words; whatever a text holds, its ids are the tokenizer's."""
+    rnd = random.Random(9)
+    known = [*tokens._KNOWN, "'s", "'ll", "'ve", "'S", " ", "  ", "\n ", " \n", "\u4e2d", "\U0001f600", "\u2028", "\u3000", "\u0378", "<|endoftext|>"]
+    texts = ["".join(rnd.choice(known) + rnd.choice(["", "", " ", "ab"]) for _ in range(rnd.randrange(1, 40))) for _ in range(4000)]
+    texts += [f"{a}{c}{b}" for c in tokens._KNOWN for a, b in (("a", "b"), (" ", " "), ("1", "  2"), ("'", "s"))]
+    texts += ["x" * 1000, " " * 1000 + "x", "\u00e9" * 70 + " \u00e9"]
+    enc, num = tokens.TextEncoder(tokens.default_path(), 5000), tokens.TextEncoder(tokens.default_path(), 5000, True)
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for t, x, ids in zip(texts, enc.encode_many(texts, 10_000), want):
+        assert np.frombuffer(x, "<u4").tolist() == ids, repr(t)
+    assert num.encode_many(texts, 10_000) == [len(x) for x in want]
+    assert max(map(len, enc.pieces)) <= 64
+    enc.forget()
+    text = "ein  \u00fcber\nZaun, \u043d\u0435 the  one, an\u0303o "
+    enc.encode_many([text] * 3)
+    assert not enc.cache and set(enc.pieces) == set(tokens._SPLIT(text))
+
+
 def test_token_files_round_trip(spark, make_docs, tmp_dir):
     rows = awkward()
     docs = make_docs(rows)
